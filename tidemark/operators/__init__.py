@@ -8,6 +8,7 @@ from tidemark.operators.parsing import (
     apply_schema,
     flatten_struct,
     infer_schema,
+    only_documents,
     parse_documents,
     parse_struct,
 )
@@ -29,6 +30,7 @@ __all__ = [
     "kpi_totals",
     "latest_kpi",
     "list_topics",
+    "only_documents",
     "parse_documents",
     "parse_struct",
     "poll",

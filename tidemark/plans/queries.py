@@ -24,11 +24,11 @@ from tidemark.functions.values import (
 )
 from tidemark.operators.counting import kpi_count, kpi_totals, latest_kpi, produced_row_count
 from tidemark.operators.parsing import (
-    STORED,
     apply_schema,
     document_field,
     flatten_struct,
     infer_schema,
+    only_documents,
     parse_documents,
     parse_struct,
 )
@@ -236,8 +236,8 @@ def _classify_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("parse_document")
 def _parse_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = parse_documents(_event_messages(spark, sf_dir)).where(F.col("status") == STORED)
-    return stored.select("event_id", document_field("doc", "$.k", "bigint").alias("k"))
+    documents = only_documents(_event_messages(spark, sf_dir))
+    return documents.select("event_id", document_field("doc", "$.k", "bigint").alias("k"))
 
 
 @_query("row_to_json_array")
@@ -283,8 +283,8 @@ def _cells_of_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("kpi_count")
 def _kpi_per_field(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = parse_documents(messages(spark, sf_dir)).where(F.col("status") == STORED)
-    return kpi_count(stored.select(document_field("doc", "$.k", "bigint").alias("k")), "k")
+    documents = only_documents(messages(spark, sf_dir))
+    return kpi_count(documents.select(document_field("doc", "$.k", "bigint").alias("k")), "k")
 
 
 @_query("route_by_topic")

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.rowtext import row_json_array
 from tidemark.functions.values import named
-from tidemark.operators.parsing import STORED, parse_documents
+from tidemark.operators.parsing import document_items, only_documents, text_rows
 
 # Type names of result envelopes that Spark spells differently.
 _TYPE_NAMES = {
@@ -77,8 +77,7 @@ def _spark_type(name: str) -> str:
 
 def page_schema(pages: DataFrame, body: str = "body") -> T.StructType:
     """The row schema named in the ``columns`` of one stored page."""
-    documents = parse_documents(pages.select(named(body)), body).where(F.col("status") == STORED)
-    columns = documents.select(
+    columns = only_documents(pages.select(named(body)), body).select(
         F.try_variant_get("doc", "$.columns", "array<struct<name:string,type:string>>").alias("c")
     )
     found = columns.where(F.col("c").isNotNull()).limit(1).first()
@@ -89,11 +88,19 @@ def page_schema(pages: DataFrame, body: str = "body") -> T.StructType:
     )
 
 
-def _typed_cell(position: int, dtype: T.DataType) -> Column:
-    path = f"$[{position}]"
-    if isinstance(dtype, T.BinaryType):
-        return F.unbase64(F.variant_get("__row", path, "string"))
-    return F.variant_get("__row", path, dtype.simpleString())
+# Types whose JSON text casts back to the same value.  Decimals are not among
+# them: a text parse takes fractions through a double.
+_TEXT_TYPES = (
+    T.StringType,
+    T.IntegralType,
+    T.FloatType,
+    T.DoubleType,
+    T.BooleanType,
+    T.DateType,
+    T.TimestampType,
+    T.TimestampNTZType,
+    T.BinaryType,
+)
 
 
 def flatten_pages(
@@ -103,13 +110,18 @@ def flatten_pages(
 
     A page without ``data`` (still running) has no rows.  Bodies that are
     not JSON objects give none either; find them with ``parse_documents``.
-    A cell that does not fit its declared type fails the query.
+    A cell that does not fit its declared type fails the query in ANSI mode.
     """
-    kept = [named(k) for k in keep or []]
-    documents = parse_documents(pages.select(*kept, named(body)), body)
-    rows = documents.where(F.col("status") == STORED).select(
-        *kept,
-        F.explode(F.try_variant_get("doc", "$.data", "array<variant>")).alias("__row"),
-    )
-    cells = [_typed_cell(i, f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
-    return rows.select(*kept, *cells)
+    as_text = all(isinstance(f.dataType, _TEXT_TYPES) for f in schema.fields)
+    rows = (text_rows if as_text else document_items)(pages, "data", body, "__row", keep)
+
+    def cell(position: int, dtype: T.DataType) -> Column:
+        if as_text:
+            text = F.get("__row", F.lit(position))
+            return F.unbase64(text) if isinstance(dtype, T.BinaryType) else text.cast(dtype)
+        if isinstance(dtype, T.BinaryType):
+            return F.unbase64(F.variant_get("__row", f"$[{position}]", "string"))
+        return F.variant_get("__row", f"$[{position}]", dtype.simpleString())
+
+    cells = [cell(i, f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
+    return rows.select(*[named(k) for k in keep or []], *cells)
