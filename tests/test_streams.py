@@ -1,0 +1,295 @@
+"""Streams over topic directories: same results as batch, restarts add nothing."""
+
+import json
+import threading
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.operators import (
+    apply_schema,
+    kpi_count,
+    kpi_totals,
+    latest_kpi,
+    parse_documents,
+)
+from tidemark.plans import publish_tables, topic_to_documents, topic_to_kpi
+from tidemark.plans.relations import messages, mixed_messages
+from tidemark.sources import (
+    TopicSource,
+    append_topic,
+    collection_scan,
+    flatten_pages,
+    read_documents,
+    read_topic,
+    rejected_messages,
+    stream_topic,
+)
+from tidemark.streaming import (
+    delivery_counts,
+    kpi_per_batch,
+    read_kpi_store,
+    run_all,
+    running_kpi,
+    start,
+    store_documents,
+    store_topic_catalog,
+    stream_to_topic,
+    with_delivery,
+    write_topic,
+)
+
+K = T.StructType([T.StructField("k", T.LongType())])
+
+
+def _bag(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.fixture
+def events(spark, sf_dir, folder):
+    path = f"{folder}/log"
+    write_topic(messages(spark, sf_dir, positions=True), format="parquet", path=path)
+    return TopicSource(format="parquet", path=path)
+
+
+@pytest.fixture
+def mixed(spark, sf_dir, folder):
+    path = f"{folder}/mixed"
+    write_topic(
+        mixed_messages(spark, sf_dir).withColumnRenamed("id", "key"),
+        "mixed", format="parquet", path=path,
+    )
+    return TopicSource(("mixed",), format="parquet", path=path)
+
+
+def test_stored_plus_rejected_is_the_input(spark, mixed, folder):
+    store = f"{folder}/store"
+    topic_to_documents(spark, mixed, store, f"{folder}/ck").awaitTermination()
+    log = read_topic(spark, mixed)
+    stored, rejected = collection_scan(spark, store, "mixed"), rejected_messages(spark, store)
+    assert stored.count() + rejected.count() == log.count()
+    batch = parse_documents(log).groupBy("status").count()
+    assert _bag(batch) == _bag(read_documents(spark, store).groupBy("status").count())
+    assert stored.where("doc IS NULL OR raw IS NOT NULL").isEmpty()
+    raw = rejected.select(F.col("raw").alias("value"), "offset")
+    assert _bag(raw.join(log.select("offset", "value"), ["offset", "value"])) == _bag(
+        raw.select("offset", "value")
+    )
+
+
+def test_restart_adds_nothing_and_picks_up_new_messages(spark, events, folder):
+    store, checkpoint = f"{folder}/store", f"{folder}/ck"
+    for _ in range(2):
+        topic_to_documents(spark, events, store, checkpoint).awaitTermination()
+    before = read_topic(spark, events).count()
+    assert read_documents(spark, store).count() == before
+    more = spark.createDataFrame([('{"k":1}',), ("junk",)], "value string")
+    append_topic(more, events.path, "fresh")
+    topic_to_documents(spark, events, store, checkpoint).awaitTermination()
+    assert read_documents(spark, store).count() == before + 2
+    assert collection_scan(spark, store, "fresh").count() == 1
+
+
+@pytest.mark.parametrize("rebalance", [False, True])
+def test_batch_store_equals_stream_store(spark, events, folder, rebalance):
+    store_documents(read_topic(spark, events), f"{folder}/batch", rebalance=rebalance)
+    topic_to_documents(spark, events, f"{folder}/stream", f"{folder}/ck").awaitTermination()
+    columns = ["topic", "status", "partition", "offset", F.to_json("doc").alias("doc")]
+    batch = read_documents(spark, f"{folder}/batch").select(*columns)
+    stream = read_documents(spark, f"{folder}/stream").select(*columns)
+    assert _bag(batch) == _bag(stream)
+
+
+def test_a_collection_is_read_from_its_own_folder(spark, events, folder):
+    store_documents(read_topic(spark, events), folder + "/store")
+    plan = collection_scan(spark, folder + "/store", "click")._jdf.queryExecution().executedPlan()
+    assert "(topic" in plan.toString().split("PartitionFilters")[1].split("]")[0]
+
+
+def test_kpi_stores_agree_with_the_batch_count(spark, events, folder):
+    rows = apply_schema(stream_topic(spark, events, "earliest", max_per_trigger=1), K)
+    batch = kpi_count(apply_schema(read_topic(spark, events), K), "k")
+    query = kpi_per_batch(rows, "k", store=f"{folder}/per", checkpoint=f"{folder}/ck1")
+    query.awaitTermination()
+    assert len(query.recentProgress) > 2
+    per_batch = read_kpi_store(spark, f"{folder}/per", K)
+    assert _bag(kpi_totals(per_batch, "k")) == _bag(batch)
+    running_kpi(rows, "k", store=f"{folder}/run", checkpoint=f"{folder}/ck2").awaitTermination()
+    running = read_kpi_store(spark, f"{folder}/run", K)
+    assert _bag(latest_kpi(running, "k")) == _bag(batch)
+    assert running.count() > batch.count()
+
+
+def test_a_repeated_batch_does_not_count_twice(spark, events, folder):
+    source = stream_topic(spark, events, "earliest")
+    rows = apply_schema(source, K)
+    store = f"{folder}/kpi"
+    # The same first batch under two checkpoints, as after a lost commit.
+    for checkpoint in ("one", "two"):
+        kpi_per_batch(rows, "k", store=store, checkpoint=f"{folder}/{checkpoint}").awaitTermination()
+    total = read_kpi_store(spark, store, K).agg(F.sum("count")).first()[0]
+    assert total == read_topic(spark, events).count()
+
+
+def test_kpi_flow_infers_its_schema(spark, events, folder):
+    topic_to_kpi(spark, events, ["k"], f"{folder}/kpi", f"{folder}/ck").awaitTermination()
+    totals = kpi_totals(read_kpi_store(spark, f"{folder}/kpi", K), "k")
+    assert _bag(totals) == _bag(kpi_count(apply_schema(read_topic(spark, events), K), "k"))
+
+
+def test_unknown_kpi_fields_are_refused_before_anything_starts(spark, events, folder):
+    rows = apply_schema(stream_topic(spark, events, "earliest"), K)
+    with pytest.raises(ValueError, match="no such column: some_field"):
+        kpi_per_batch(rows, "some_field", store=f"{folder}/s", checkpoint=f"{folder}/ck")
+    with pytest.raises(ValueError, match="at least one"):
+        kpi_count(rows)
+
+
+def test_null_is_a_group(spark):
+    df = spark.createDataFrame([("a",), (None,), (None,)], "g string")
+    assert {tuple(r) for r in kpi_count(df, "g").collect()} == {("a", 1), (None, 2)}
+
+
+def test_latest_start_outlives_a_restart(spark, folder):
+    path, out = f"{folder}/log", f"{folder}/out"
+    source = TopicSource(("t",), format="parquet", path=path)
+
+    def send(*values):
+        append_topic(spark.createDataFrame([(v,) for v in values], "value string"), path, "t")
+
+    def run():
+        stream = stream_topic(spark, source, "latest", f"{folder}/start")
+        start(stream.select("value"), f"{folder}/ck", path=out).awaitTermination()
+        return sorted(r[0].decode() for r in spark.read.parquet(out).collect())
+
+    send("old")
+    stream_topic(spark, source, "latest", f"{folder}/start")
+    send("new 1", "new 2")
+    assert run() == ["new 1", "new 2"]
+    send("while down")
+    assert run() == ["new 1", "new 2", "while down"]
+
+
+def test_a_cut_short_start_position_is_written_again(spark, folder):
+    path = f"{folder}/log"
+    source = TopicSource(("t",), format="parquet", path=path)
+    append_topic(spark.createDataFrame([("old",)], "value string"), path, "t")
+    schema = "topic string, partition int, __end bigint"
+    spark.createDataFrame([], schema).write.parquet(f"{folder}/start")  # no closing row
+    stream = stream_topic(spark, source, "latest", f"{folder}/start")
+    start(stream.select("value"), f"{folder}/ck", path=f"{folder}/out").awaitTermination()
+    assert spark.read.schema("value binary").parquet(f"{folder}/out").isEmpty()
+
+
+def test_topic_to_topic_keeps_positions(spark, events, folder):
+    stream = stream_topic(spark, events, "earliest")
+    copy = f"{folder}/copy"
+    stream_to_topic(stream, f"{folder}/ck", format="parquet", path=copy).awaitTermination()
+    copied = read_topic(spark, TopicSource(format="parquet", path=copy))
+    assert _bag(copied) == _bag(read_topic(spark, events))
+
+
+def test_a_checkpoint_is_required(spark, events, folder):
+    with pytest.raises(ValueError, match="checkpoint"):
+        start(stream_topic(spark, events, "earliest"), "", path=f"{folder}/out")
+
+
+def test_delivery_counts(spark, mixed, folder):
+    stream = parse_documents(stream_topic(spark, mixed, "earliest", max_per_trigger=1))
+    watched = with_delivery(stream, F.col("status") != "stored").select("status")
+    query = start(watched, f"{folder}/ck", path=f"{folder}/out")
+    query.awaitTermination()
+    counts = delivery_counts(query).values()
+    assert sum(c["messages"] for c in counts) == read_topic(spark, mixed).count()
+    rejected = spark.read.parquet(f"{folder}/out").where("status <> 'stored'").count()
+    assert sum(c["failed"] for c in counts) == rejected > 0
+
+
+def test_a_failing_query_stops_the_others(spark, events, folder):
+    def fail(batch, number):
+        raise RuntimeError("sink is gone")
+
+    stream = stream_topic(spark, events, "earliest")
+    endless = start(
+        stream, f"{folder}/ck1", path=f"{folder}/out", every="1 second", name="endless"
+    )
+    failing = start(stream, f"{folder}/ck2", each_batch=fail)
+    with pytest.raises(StreamingQueryException, match="sink is gone"):
+        run_all(spark, [endless, failing], check_every=0.2)
+    assert not endless.isActive
+
+
+def test_waiting_ends_when_all_queries_end(spark, events, folder):
+    stream = stream_topic(spark, events, "earliest")
+    queries = [start(stream, f"{folder}/ck{i}", path=f"{folder}/out{i}") for i in range(2)]
+    waiting = threading.Thread(target=run_all, args=(spark, queries, 0.2))
+    waiting.start()
+    waiting.join(60)
+    assert not waiting.is_alive()
+
+
+def test_catalog_snapshots(spark, events, folder):
+    topics = read_topic(spark, events)
+    for _ in range(2):
+        store_topic_catalog(topics, f"{folder}/snapshot")
+        store_topic_catalog(topics, f"{folder}/runs", run_id="a")
+    store_topic_catalog(topics, f"{folder}/runs", run_id="b")
+    n = topics.select("topic").distinct().count()
+    assert spark.read.parquet(f"{folder}/snapshot").count() == n
+    assert spark.read.parquet(f"{folder}/runs").groupBy("run_id").count().collect()[0]["count"] == n
+
+
+@pytest.fixture
+def views(spark, sf_dir):
+    for name in ("nation", "orders"):
+        location = f"{sf_dir}/{name}.parquet"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS default.t_{name} USING parquet LOCATION '{location}'")
+
+
+def test_publishing_goes_on_after_a_table_that_fails(spark, views, folder):
+    names = ["default.t_nation", "default.missing", "one.two.three.four", "spark_catalog.default.t_orders"]
+    reports = publish_tables(spark, names, "rows", format="parquet", path=folder)
+    by_table = {r.table: r for r in reports}
+    assert by_table["default.t_nation"].rows == 25
+    orders = spark.table("default.t_orders").count()
+    assert by_table["spark_catalog.default.t_orders"].rows == orders
+    assert "TABLE_OR_VIEW_NOT_FOUND" in by_table["default.missing"].error
+    assert "parts" in by_table["one.two.three.four"].error
+    log = read_topic(spark, TopicSource(("rows",), format="parquet", path=folder))
+    assert log.count() == 25 + orders
+    assert all(isinstance(json.loads(r["value"]), list) for r in log.collect())
+
+
+def test_publishing_fails_per_table_at_run_time_too(spark, views, folder):
+    good = spark.table("default.t_nation")
+    bad = good.select(F.raise_error(F.lit("no connection")).cast("string").alias("x"))
+    reports = publish_tables(
+        spark, ["bad", "good"], "rows", format="parquet", path=folder,
+        tables={"bad": bad, "good": good},
+    )
+    assert [r.rows for r in reports] == [None, 25]
+    assert "no connection" in reports[0].error
+
+
+def test_published_pages_flatten_back(spark, views, folder):
+    orders = spark.table("default.t_orders")
+    (report,) = publish_tables(
+        spark, ["default.t_orders"], "pages", row_format="pages", rows_per_page=100,
+        format="parquet", path=folder,
+    )
+    assert report.rows == orders.count()
+    log = read_topic(spark, TopicSource(("pages",), format="parquet", path=folder))
+    assert log.count() >= report.rows // 100
+    assert _bag(flatten_pages(log, orders.schema, "value")) == _bag(orders)
+
+
+def test_no_broker_connector_is_an_error_that_is_reported(spark):
+    from tidemark.plans.flows import PublishReport
+
+    table = spark.range(1)
+    (report,) = publish_tables(spark, ["t"], "topic", tables={"t": table})
+    assert isinstance(report, PublishReport)
+    assert "kafka" in report.error.lower()

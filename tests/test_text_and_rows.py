@@ -1,0 +1,149 @@
+"""Decoding, suffixes, ISO times and rows as JSON text."""
+
+import datetime as dt
+import decimal
+import json
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidemark.functions import (
+    append_suffix,
+    decode_text,
+    iso_timestamps,
+    row_cells,
+    row_json_array,
+    row_json_object,
+    text_bytes,
+    wrap_document,
+)
+
+
+def test_decode_strict_turns_bad_bytes_into_null(spark):
+    df = spark.createDataFrame([(b"caf\xc3\xa9",), (b"\xff\xfe",), (None,)], "value binary")
+    rows = df.select(
+        decode_text(F.col("value")).alias("loose"), decode_text(F.col("value"), True).alias("strict")
+    ).collect()
+    assert rows[0]["strict"] == "café" == rows[0]["loose"]
+    assert rows[1]["strict"] is None and rows[1]["loose"] is not None
+    assert rows[2]["strict"] is None and rows[2]["loose"] is None
+
+
+def test_suffix_keeps_null_and_bytes_round_trip(spark):
+    df = spark.createDataFrame([("a",), (None,)], "value string")
+    got = df.select(append_suffix(text_bytes(F.col("value"))).alias("Result")).collect()
+    assert [r["Result"] for r in got] == ["a Hello Spark!", None]
+
+
+def test_wrap_document(spark):
+    df = spark.createDataFrame([("t", b"x"), ("t", None)], "topic string, value binary")
+    assert [tuple(r) for r in wrap_document(df).collect()] == [("t", "x"), ("t", None)]
+
+
+TIMES = [
+    dt.datetime(2024, 1, 1),
+    dt.datetime(2024, 1, 1, 12, 30, 5),
+    dt.datetime(2024, 1, 1, 0, 0, 0, 500000),
+    dt.datetime(2024, 1, 1, 0, 0, 0, 1),
+    dt.datetime(2024, 1, 1, 0, 0, 0, 120300),
+    dt.datetime(1, 1, 1),
+    dt.datetime(1969, 12, 31, 23, 59, 59, 999999),
+    dt.datetime(9999, 12, 31, 23, 59, 59, 999999),
+    None,
+]
+
+
+def test_iso_equals_isoformat(spark):
+    df = spark.createDataFrame([(t,) for t in TIMES], "t timestamp_ntz")
+    got = [r["t"] for r in iso_timestamps(df).collect()]
+    assert got == [t and t.isoformat() for t in TIMES]
+
+
+def test_local_times_do_not_depend_on_the_session_zone(spark):
+    gap = dt.datetime(2024, 3, 10, 2, 30)  # this local time does not exist in New York
+    df = spark.createDataFrame([(gap,)], "t timestamp_ntz")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert iso_timestamps(df).first()["t"] == "2024-03-10T02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_iso_reaches_every_depth(spark):
+    df = spark.sql(
+        """
+        SELECT named_struct('a.b', timestamp_ntz'2024-01-02 03:04:05.5',
+                            'l', array(named_struct('t', timestamp_ntz'2024-01-02', 'n', 1), null)) AS s,
+               map(timestamp_ntz'2024-01-02', timestamp_ntz'2024-01-03 00:00:00.000001') AS m,
+               CAST(null AS struct<t: timestamp_ntz>) AS nothing,
+               timestamp'2024-01-02 03:04:05' AS instant, 7 AS kept
+        """
+    )
+    row = iso_timestamps(df, with_zone=True).first()
+    assert row["s"]["a.b"] == "2024-01-02T03:04:05.500000"
+    assert row["s"]["l"][0]["t"] == "2024-01-02T00:00:00" and row["s"]["l"][0]["n"] == 1
+    assert row["s"]["l"][1] is None
+    assert row["m"] == {"2024-01-02T00:00:00": "2024-01-03T00:00:00.000001"}
+    assert row["nothing"] is None
+    assert row["instant"] == "2024-01-02T03:04:05+00:00"
+    assert row["kept"] == 7
+    assert iso_timestamps(df, ["instant"]).schema["s"] == df.schema["s"]
+
+
+def test_row_as_json_array(spark):
+    df = spark.sql(
+        """
+        SELECT 1 AS `a.b`, CAST(null AS string) AS n, 'q"\\\\é\n' AS s, 1.10BD AS d, 2.5D AS f,
+               double('NaN') AS nan, true AS yes, date'2024-01-02' AS day,
+               timestamp_ntz'2024-01-02 03:04:05.25' AS t, array(1, null) AS l,
+               named_struct('x', CAST(null AS int), 't', timestamp_ntz'2024-01-02') AS o,
+               X'0102' AS raw, parse_json('{"v":[1]}') AS v, map('k', 1) AS m
+        """
+    )
+    text = df.select(row_json_array(df).alias("v")).first()["v"]
+    assert text.startswith('[1, null, "q')
+    assert json.loads(text, parse_float=decimal.Decimal) == [
+        1, None, 'q"\\é\n', decimal.Decimal("1.10"), decimal.Decimal("2.5"), "NaN", True, "2024-01-02",
+        "2024-01-02T03:04:05.250000", [1, None], {"x": None, "t": "2024-01-02T00:00:00"},
+        "AQI=", {"v": [1]}, {"k": 1},
+    ]
+
+
+def test_row_as_json_object_keeps_nulls_and_microseconds(spark):
+    df = spark.sql(
+        "SELECT 1 AS a, CAST(null AS string) AS n, timestamp_ntz'2024-01-02 03:04:05.123456' AS t,"
+        " named_struct('z', CAST(null AS int)) AS s"
+    )
+    text = df.select(row_json_object(df).alias("v")).first()["v"]
+    assert text == '{"a":1,"n":null,"t":"2024-01-02T03:04:05.123456","s":{"z":null}}'
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.tuples(
+            st.one_of(st.none(), st.text(st.characters(exclude_categories=["Cs"]))),
+            st.one_of(st.none(), st.integers(-(2**63), 2**63 - 1)),
+            st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False)),
+        ),
+        min_size=30,
+        max_size=60,
+    )
+)
+def test_json_text_reads_back_as_the_row(spark, rows):
+    df = spark.createDataFrame(
+        [(i, *r) for i, r in enumerate(rows)], "i int, s string, n bigint, f double"
+    )
+    got = df.select("i", row_json_array(df).alias("a"), row_json_object(df).alias("o")).collect()
+    for r in got:
+        expected = rows[r["i"]]
+        assert tuple(json.loads(r["a"])) == (r["i"], *expected)
+        assert json.loads(r["o"]) == dict(zip("isnf", (r["i"], *expected), strict=True))
+
+
+def test_cells_follow_the_column_order(spark):
+    df = spark.createDataFrame([(7, None, "x"), (8, 1.5, "y")], "id int, f double, `s.t` string")
+    got = {tuple(r) for r in row_cells(df, ["id"]).collect()}
+    assert got == {(7, 0, "7"), (7, 1, None), (7, 2, "x"), (8, 0, "8"), (8, 1, "1.5"), (8, 2, "y")}

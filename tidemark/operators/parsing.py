@@ -153,21 +153,28 @@ def _as_ddl(inferred: str) -> str:
 
 
 def infer_schema(
-    messages: DataFrame, value: str = "value", first_by: list[str] | None = None
+    messages: DataFrame,
+    value: str = "value",
+    sample: int | None = None,
+    order_by: list[str] | None = None,
 ) -> T.StructType:
     """The struct type of the JSON objects in a bounded read of a topic.
 
     By default every object counts: the types are merged in one aggregation
     with partial results on the map side, and only the type comes back.  With
-    ``first_by`` the first object in that order decides for all, which is
-    cheap but binds later messages to one sample.  Fields whose types
-    disagree become ``variant``.
+    ``sample`` a handful of objects decide for all (1: the first one), in
+    ``order_by`` order or as they are found, which reads no further than
+    needed.  Fields whose types disagree become ``variant``.
     """
     if messages.isStreaming:
         raise ValueError("infer the schema from a bounded read of the topic, not from the stream")
     objects = only_documents(messages, value)
-    if first_by is not None:
-        objects = objects.orderBy(*[named(c) for c in first_by]).limit(1)
+    if sample is not None:
+        if order_by:
+            objects = objects.orderBy(*[named(c) for c in order_by])
+        texts = objects.select(_text_of(objects, value).alias("value")).limit(sample).collect()
+        picked = messages.sparkSession.createDataFrame(texts, "value string")
+        objects = only_documents(picked)
     inferred = objects.agg(F.schema_of_variant_agg("doc").alias("t")).first()["t"]
     if inferred is None or not inferred.startswith("OBJECT<") or inferred == "OBJECT<>":
         raise ValueError("no JSON object with fields to infer a schema from")

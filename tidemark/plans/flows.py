@@ -94,16 +94,18 @@ def topic_to_kpi(
     checkpoint: str,
     *,
     schema: T.StructType | None = None,
+    sample: int | None = None,
     starting: str = "earliest",
     max_per_trigger: int | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
     """Counts per group over the JSON objects of a topic.
 
-    Without a schema, it is inferred once from what the topic holds now.
+    Without a schema, it is inferred once from what the topic holds now, or
+    from a ``sample`` of that many objects.
     """
     if schema is None:
-        schema = infer_schema(read_topic(spark, source))
+        schema = infer_schema(read_topic(spark, source), sample=sample)
     messages = stream_topic(
         spark, source, starting, state=f"{checkpoint}-start", max_per_trigger=max_per_trigger
     )

@@ -115,7 +115,7 @@ def oracle() -> dict[str, str]:
         "produced_row_count": f"SELECT source_table, count(*) AS n FROM ({_PUBLISHED}) GROUP BY source_table",
         "published_messages": f"SELECT value FROM ({_PUBLISHED})",
         "stream_quarantine": f"{_MIXED} SELECT id, status,"
-        " CASE WHEN status <> 'stored' THEN value END AS raw FROM classified",
+        " CASE WHEN status = 'stored' THEN '' ELSE value END AS raw FROM classified",
         "stream_fan_out": f"{_MESSAGES} SELECT topic, {_K.format('value')} AS k FROM messages"
         " WHERE topic IN ('click', 'view')",
         "delivery_report": f"{_MESSAGES} SELECT topic, partition, 'stored' AS status,"

@@ -370,7 +370,9 @@ def _stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = TopicSource(("mixed",), format="parquet", path=path)
     topic_to_documents(spark, source, store, f"{store}-checkpoint").awaitTermination()
     return read_documents(spark, store).select(
-        F.col("key").cast("string").alias("id"), "status", F.col("raw").cast("string").alias("raw")
+        F.col("key").cast("string").alias("id"),
+        "status",
+        F.coalesce(F.col("raw").cast("string"), F.lit("")).alias("raw"),
     )
 
 

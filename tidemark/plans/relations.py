@@ -23,7 +23,7 @@ def dense_positions(
     group is; the counts per range are small and aggregated map-side.
     """
     keys = [*group, "__range"]
-    ranged = df.withColumn("__range", F.floor(F.col(order) / F.lit(span)))
+    ranged = df.withColumn("__range", F.expr(f"`{order}` div {span}"))
     sizes = ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     earlier = Window.partitionBy(*group).orderBy("__range").rowsBetween(
         Window.unboundedPreceding, -1

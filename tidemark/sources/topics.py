@@ -27,6 +27,13 @@ ENVELOPE = (
     .add("timestamp", T.TimestampType())
     .add("timestampType", T.IntegerType())
 )
+# One read task takes at most this many messages, so that a topic with a single
+# partition, or with one that holds most of it, is still read by many tasks.
+MESSAGES_PER_TASK = 1_000_000
+# Bounds of a micro-batch: messages of a broker, files of a directory.
+MESSAGES_PER_BATCH = 100_000_000
+FILES_PER_BATCH = 10_000
+
 INTERNAL_COLUMNS = ["topic", "partition", "offset", "timestamp", "key", "value"]
 
 
@@ -54,12 +61,28 @@ class TopicSource:
         if self.format != "kafka" and not self.path:
             raise ValueError(f"format {self.format} needs a path")
 
-    def subscription(self) -> dict[str, str]:
+    def reader_options(
+        self, starting: str | None = None, max_per_trigger: int | None = None
+    ) -> dict[str, str]:
+        """The options of a read; what the caller set in ``options`` wins.
+
+        ``starting`` is given for a stream only.
+        """
+        if self.format != "kafka":
+            bound = {"maxFilesPerTrigger": str(max_per_trigger or FILES_PER_BATCH)}
+            return {**(bound if starting else {}), **self.options}
+        found = {"maxRecordsPerPartition": str(MESSAGES_PER_TASK)}
+        if starting:
+            found["startingOffsets"] = starting
+            found["maxOffsetsPerTrigger"] = str(max_per_trigger or MESSAGES_PER_BATCH)
         if self.pattern:
-            return {"subscribePattern": self.pattern}
-        return {"subscribe": ",".join(self.topics)}
+            found["subscribePattern"] = self.pattern
+        else:
+            found["subscribe"] = ",".join(self.topics)
+        return {**found, **self.options}
 
     def only_subscribed(self, messages: DataFrame) -> DataFrame:
+        messages = messages.select(*ENVELOPE.names)
         if self.pattern:
             return messages.where(F.col("topic").rlike(f"^(?:{self.pattern})$"))
         if self.topics:
@@ -69,9 +92,9 @@ class TopicSource:
 
 def read_topic(spark: SparkSession, source: TopicSource) -> DataFrame:
     """A bounded read of everything retained, from the earliest message on."""
-    reader = spark.read.options(**source.options).format(source.format)
+    reader = spark.read.format(source.format).options(**source.reader_options())
     if source.format == "kafka":
-        return reader.options(**source.subscription()).load()
+        return reader.load()
     return source.only_subscribed(reader.schema(ENVELOPE).load(source.path))
 
 
@@ -87,18 +110,16 @@ def stream_topic(
     ``starting`` counts for the first start only; afterwards the checkpoint
     of the query says where to go on.  A directory has no built-in notion of
     *latest*: the end positions of its first start are kept under ``state``.
-    ``max_per_trigger`` bounds a micro-batch (messages of a broker, files of
-    a directory), which a replay of a long log needs.
+    Micro-batches are bounded, also when a long log is replayed;
+    ``max_per_trigger`` changes the bound.
     """
     if starting not in ("earliest", "latest"):
         raise ValueError("starting is 'earliest' or 'latest'")
-    reader = spark.readStream.options(**source.options).format(source.format)
+    reader = spark.readStream.format(source.format).options(
+        **source.reader_options(starting, max_per_trigger)
+    )
     if source.format == "kafka":
-        if max_per_trigger:
-            reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
-        return reader.options(**source.subscription()).option("startingOffsets", starting).load()
-    if max_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+        return reader.load()
     messages = source.only_subscribed(reader.schema(ENVELOPE).load(source.path))
     if starting == "earliest":
         return messages
@@ -116,13 +137,11 @@ def from_latest(
     them while their file is under its size limit and shuffles otherwise.
     """
     ends = retained.groupBy("topic", "partition").agg(F.max("offset").alias("__end"))
-    try:
-        spark.read.schema(ends.schema).parquet(state)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        ends.write.parquet(state)
-    ends = spark.read.schema(ends.schema).parquet(state)
+    # A row without a topic is written along: where it is missing, the write was cut short.
+    closing = spark.createDataFrame([(None, None, None)], ends.schema)
+    if not _is_complete(spark, state, ends.schema):
+        ends.unionByName(closing).write.mode("overwrite").parquet(state)
+    ends = spark.read.schema(ends.schema).parquet(state).where(F.col("topic").isNotNull())
     return (
         stream.join(ends, ["topic", "partition"], "left")
         .where(F.col("__end").isNull() | (F.col("offset") > F.col("__end")))
@@ -130,6 +149,16 @@ def from_latest(
     )
 
 
+def _is_complete(spark: SparkSession, state: str, schema: T.StructType) -> bool:
+    try:
+        written = spark.read.schema(schema).parquet(state)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return not written.where(F.col("topic").isNull()).isEmpty()
+
+
 def append_topic(
     df: DataFrame,
     path: str,

@@ -78,14 +78,19 @@ def as_documents(messages: DataFrame) -> DataFrame:
     )
 
 
-def store_documents(messages: DataFrame, path: str, mode: str = "append") -> None:
+def store_documents(
+    messages: DataFrame, path: str, mode: str = "append", rebalance: bool = False
+) -> None:
     """Write a bounded set of messages to the document store.
 
-    The rows are first rebalanced by folder: small topics end up in few
-    files, while a topic that holds most of the rows is spread over many
-    tasks of about the advisory size.
+    Nothing is shuffled: each task writes a file per topic it meets.  With
+    very many topics those files get small; ``rebalance`` then shuffles the
+    rows by folder first.  Small topics end up in few files, and a topic that
+    holds most of the rows is still split over many tasks.
     """
-    documents = as_documents(messages).hint("rebalance", "status", "topic")
+    documents = as_documents(messages)
+    if rebalance:
+        documents = documents.hint("rebalance", "status", "topic")
     documents.write.mode(mode).partitionBy("status", "topic").parquet(path)
 
 
