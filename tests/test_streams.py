@@ -15,7 +15,7 @@ from tidemark.operators import (
     latest_kpi,
     parse_documents,
 )
-from tidemark.plans import publish_tables, topic_to_documents, topic_to_kpi
+from tidemark.plans import publish_tables, topic_to_documents, topic_to_kpi, topic_to_table
 from tidemark.plans.relations import messages, mixed_messages
 from tidemark.sources import (
     TopicSource,
@@ -23,6 +23,7 @@ from tidemark.sources import (
     collection_scan,
     flatten_pages,
     read_documents,
+    read_messages,
     read_topic,
     rejected_messages,
     stream_topic,
@@ -36,6 +37,7 @@ from tidemark.streaming import (
     start,
     store_documents,
     store_topic_catalog,
+    stream_messages,
     stream_to_topic,
     with_delivery,
     write_topic,
@@ -140,6 +142,27 @@ def test_kpi_flow_infers_its_schema(spark, events, folder):
     assert _bag(totals) == _bag(kpi_count(apply_schema(read_topic(spark, events), K), "k"))
 
 
+def test_typed_table_keeps_a_topic_field_of_the_documents(spark, folder):
+    log = spark.createDataFrame(
+        [("a", '{"topic":"own","n":1}'), ("b", '{"n":2}'), ("b", "junk")], "topic string, value string"
+    )
+    append_topic(log, f"{folder}/log")
+    source = TopicSource(format="parquet", path=f"{folder}/log")
+    for _ in range(2):
+        topic_to_table(spark, source, f"{folder}/out", f"{folder}/ck").awaitTermination()
+    got = spark.read.parquet(f"{folder}/out").select("_topic", "topic", "n").collect()
+    assert {tuple(r) for r in got} == {("a", "own", 1), ("b", None, 2)} and len(got) == 2
+
+
+def test_raw_messages_are_routed_whole(spark, mixed, folder):
+    messages = stream_topic(spark, mixed, "earliest")
+    for _ in range(2):
+        stream_messages(messages, f"{folder}/raw", f"{folder}/ck").awaitTermination()
+    sent = read_topic(spark, mixed).select(F.col("value").cast("string"))
+    assert _bag(read_messages(spark, f"{folder}/raw", "mixed").toDF("value")) == _bag(sent)
+    assert read_messages(spark, f"{folder}/raw", "other").isEmpty()
+
+
 def test_unknown_kpi_fields_are_refused_before_anything_starts(spark, events, folder):
     rows = apply_schema(stream_topic(spark, events, "earliest"), K)
     with pytest.raises(ValueError, match="no such column: some_field"):

@@ -5,6 +5,7 @@ from tidemark.plans.flows import (
     publish_tables,
     topic_to_documents,
     topic_to_kpi,
+    topic_to_table,
     watch_table,
 )
 
@@ -13,5 +14,6 @@ __all__ = [
     "publish_tables",
     "topic_to_documents",
     "topic_to_kpi",
+    "topic_to_table",
     "watch_table",
 ]

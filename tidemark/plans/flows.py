@@ -1,4 +1,4 @@
-"""The four jobs the library exists for, each a short composition of operators."""
+"""The jobs the library exists for, each a short composition of operators."""
 
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ from tidemark.sources.pages import result_pages
 from tidemark.sources.tables import resolve_tables
 from tidemark.sources.topics import TopicSource, read_topic, stream_topic
 from tidemark.streaming.kpi import kpi_per_batch
+from tidemark.streaming.queries import start
 from tidemark.streaming.sinks import stream_documents, write_topic
 
 
@@ -86,6 +87,44 @@ def topic_to_documents(
     return stream_documents(messages, path, checkpoint, every=every)
 
 
+def topic_to_table(
+    spark: SparkSession,
+    source: TopicSource,
+    path: str | None,
+    checkpoint: str,
+    *,
+    schema: T.StructType | None = None,
+    sample: int | None = None,
+    starting: str = "earliest",
+    max_per_trigger: int | None = None,
+    every: str | None = None,
+    format: str = "parquet",
+    options: Mapping[str, str] | None = None,
+) -> StreamingQuery:
+    """The JSON objects of topics as typed columns, next to their topic.
+
+    Without a schema, it is inferred once, see ``infer_schema``.  Files are
+    kept in one folder per topic; other formats get the topic as a column,
+    called ``_topic`` where the documents have a ``topic`` of their own.
+    """
+    if schema is None:
+        schema = infer_schema(read_topic(spark, source), sample=sample)
+    messages = stream_topic(
+        spark, source, starting, state=f"{checkpoint}-start", max_per_trigger=max_per_trigger
+    )
+    name = "_topic" if "topic" in schema.fieldNames() else "topic"
+    rows = apply_schema(messages.withColumnRenamed("topic", name), schema, keep=[name])
+    return start(
+        rows,
+        checkpoint,
+        format=format,
+        path=path,
+        options=options,
+        partition_by=(name,) if path else (),
+        every=every,
+    )
+
+
 def topic_to_kpi(
     spark: SparkSession,
     source: TopicSource,

@@ -75,7 +75,9 @@ def oracle() -> dict[str, str]:
         " FROM messages WHERE topic = 'click'",
         "internal_columns": f"{_MESSAGES} SELECT {_LOG}, timestamp, {_K.format('value')} AS k"
         " FROM messages WHERE topic = 'click'",
-        "collection_scan": f"{_MESSAGES} SELECT {_K.format('value')} AS k"
+        "collection_scan": f"{_MESSAGES} SELECT value AS message FROM messages"
+        " WHERE topic = 'click'",
+        "document_scan": f"{_MESSAGES} SELECT {_K.format('value')} AS k"
         " FROM messages WHERE topic = 'click'",
         "decode_value": f'{_MESSAGES} SELECT topic, partition, "offset", value FROM messages',
         "append_suffix": f"{_MESSAGES} SELECT value || ' Hello Spark!' AS \"Result\""
@@ -95,6 +97,9 @@ def oracle() -> dict[str, str]:
         "row_cells": "SELECT c_custkey, unnest([0, 1, 2, 3, 4]) AS pos,"
         " unnest([CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR),"
         " CAST(c_acctbal AS VARCHAR), c_mktsegment]) AS cell FROM customer",
+        "text_serialise": "SELECT event_id, hex(encode(CAST(value AS VARCHAR))) AS bytes FROM events",
+        "stream_typed_table": f"{_MESSAGES} SELECT topic, {_K.format('value')} AS k FROM messages",
+        "topic_copy": f"{_MESSAGES} SELECT {_LOG} FROM messages",
         "kpi_count": _KPI,
         "stream_kpi": _KPI,
         "stream_running_kpi": _KPI,

@@ -35,16 +35,23 @@ from tidemark.operators.parsing import (
 from tidemark.operators.polling import POLL_ROWS, Mark, TableWatch, high_water_mark, poll
 from tidemark.operators.topic_stats import list_topics, topic_partitions, topic_peek
 from tidemark.operators.union import tables_to_topic
-from tidemark.plans.flows import publish_tables, topic_to_documents, topic_to_kpi
+from tidemark.plans.flows import publish_tables, topic_to_documents, topic_to_kpi, topic_to_table
 from tidemark.plans.relations import messages, mixed_messages, table
 from tidemark.session import configure, run_dir
-from tidemark.sources.documents import collection_scan, read_documents
+from tidemark.sources.documents import collection_scan, read_documents, read_messages
 from tidemark.sources.pages import flatten_pages, page_schema, result_pages
 from tidemark.sources.tables import qualified_scan, text_lines
 from tidemark.sources.topics import TopicSource, decoded, read_topic, stream_topic, topic_table
 from tidemark.streaming.kpi import read_kpi_store, running_kpi
 from tidemark.streaming.queries import run_all, start
-from tidemark.streaming.sinks import deliver, store_documents, store_topic_catalog, write_topic
+from tidemark.streaming.sinks import (
+    deliver,
+    store_documents,
+    store_topic_catalog,
+    stream_messages,
+    stream_to_topic,
+    write_topic,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -187,8 +194,21 @@ def _internal_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topic_table(log, "click", EVENT_PAYLOAD, include_internal=True)
 
 
+def _routed(spark: SparkSession, sf_dir: str) -> str:
+    source = _topic_folder(spark, sf_dir, "topics")
+    store = run_dir(spark, "collections")
+    stream = stream_topic(spark, source, "earliest")
+    stream_messages(stream, store, f"{store}-checkpoint").awaitTermination()
+    return store
+
+
 @_query("collection_scan")
-def _document_collection_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _collection_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_messages(spark, _routed(spark, sf_dir), "click")
+
+
+@_query("document_scan")
+def _document_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = run_dir(spark, "documents")
     store_documents(messages(spark, sf_dir), store)
     click = collection_scan(spark, store, "click")
@@ -273,6 +293,12 @@ def _wrap_message_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrap_document(messages(spark, sf_dir))
 
 
+@_query("text_serialise")
+def _text_serialise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sent = table(spark, sf_dir, "events").select("event_id", text_bytes(F.col("value")).alias("value"))
+    return sent.select("event_id", F.hex("value").alias("bytes"))
+
+
 @_query("row_cells")
 def _cells_of_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_cells(table(spark, sf_dir, "customer"), ["c_custkey"])
@@ -289,10 +315,7 @@ def _kpi_per_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("route_by_topic")
 def _route_by_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = _topic_folder(spark, sf_dir, "topics")
-    store = run_dir(spark, "documents")
-    topic_to_documents(spark, source, store, f"{store}-checkpoint").awaitTermination()
-    return kpi_count(read_documents(spark, store), "topic", count="n")
+    return kpi_count(read_messages(spark, _routed(spark, sf_dir)), "topic", count="n")
 
 
 @_query("list_topics")
@@ -376,6 +399,23 @@ def _stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("stream_typed_table")
+def _stream_typed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = _topic_folder(spark, sf_dir, "topics")
+    out = run_dir(spark, "typed")
+    topic_to_table(spark, source, out, f"{out}-checkpoint").awaitTermination()
+    return spark.read.schema("topic string, k bigint").parquet(out)
+
+
+@_query("topic_copy")
+def _topic_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = _topic_folder(spark, sf_dir, "topics")
+    out = run_dir(spark, "copied")
+    stream = stream_topic(spark, source, "earliest")
+    stream_to_topic(stream, f"{out}-checkpoint", format="parquet", path=out).awaitTermination()
+    return decoded(read_topic(spark, TopicSource(format="parquet", path=out))).select(*_LOG)
+
+
 @_query("stream_kpi")
 def _stream_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = _topic_folder(spark, sf_dir, "topics")

@@ -1,6 +1,11 @@
 """Where data comes from: topics, tables, result pages, document collections."""
 
-from tidemark.sources.documents import collection_scan, read_documents, rejected_messages
+from tidemark.sources.documents import (
+    collection_scan,
+    read_documents,
+    read_messages,
+    rejected_messages,
+)
 from tidemark.sources.pages import flatten_pages, page_schema, result_pages
 from tidemark.sources.tables import (
     qualified_scan,
@@ -29,6 +34,7 @@ __all__ = [
     "page_schema",
     "qualified_scan",
     "read_documents",
+    "read_messages",
     "read_topic",
     "rejected_messages",
     "resolve_tables",

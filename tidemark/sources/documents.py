@@ -1,4 +1,4 @@
-"""The document store: one folder per status and topic."""
+"""Stored collections: one folder per topic, for documents also per status."""
 
 from __future__ import annotations
 
@@ -21,6 +21,15 @@ STORE = (
 )
 
 
+MESSAGES = T.StructType().add("message", T.StringType()).add("topic", T.StringType())
+
+
+def read_messages(spark: SparkSession, path: str, topic: str | None = None) -> DataFrame:
+    """Messages stored as they came (``message``), of one topic or of all with ``topic``."""
+    stored = spark.read.schema(MESSAGES).parquet(path)
+    return stored if topic is None else stored.where(F.col("topic") == topic).select("message")
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """All stored documents and rejected messages."""
     return spark.read.schema(STORE).parquet(path)

@@ -8,6 +8,7 @@ from tidemark.streaming.sinks import (
     store_documents,
     store_topic_catalog,
     stream_documents,
+    stream_messages,
     stream_to_topic,
     topic_catalog,
     write_topic,
@@ -25,6 +26,7 @@ __all__ = [
     "store_documents",
     "store_topic_catalog",
     "stream_documents",
+    "stream_messages",
     "stream_to_topic",
     "topic_catalog",
     "with_delivery",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.values import wrap_document
 from tidemark.operators.counting import kpi_count
 from tidemark.operators.parsing import STORED, parse_documents
 from tidemark.sources.documents import STORE
@@ -108,6 +109,15 @@ def stream_documents(
     )
 
 
+def stream_messages(
+    messages: DataFrame, path: str, checkpoint: str, *, every: str | None = None
+) -> StreamingQuery:
+    """Route a stream of many topics as it is, each message wrapped as ``message``."""
+    return start(
+        wrap_document(messages), checkpoint, path=path, partition_by=("topic",), every=every
+    )
+
+
 def topic_catalog(topics: DataFrame, run_id: str | None = None) -> DataFrame:
     """One entry per topic, with the ``run_id`` that saw it when one is given."""
     entries = topics.select("topic").distinct()
