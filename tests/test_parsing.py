@@ -142,6 +142,8 @@ def test_first_object_can_decide_the_schema(spark):
     assert infer_schema(df, sample=1, order_by=["o"]).fieldNames() == ["a"]
     assert infer_schema(df.where("o < 2"), sample=1).fieldNames() == ["a"]
     assert infer_schema(df, sample=5).fieldNames() == ["a", "b"]
+    with pytest.raises(ValueError, match="use all"):
+        infer_schema(df, sample=10**6)
 
 
 def test_no_object_no_schema(spark):

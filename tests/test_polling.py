@@ -30,6 +30,8 @@ def test_first_poll_takes_everything_later_ones_what_is_past_the_mark(spark):
     assert _ids(poll(df, "c", mark=Mark("20"))) == []
     assert _ids(poll(df, "c", "id", Mark("20", "2"))) == [3]
     assert [r["id"] for r in poll(df, "c", "id", limit=2).collect()] == [1, 2]
+    with pytest.raises(ValueError, match="leave it out"):
+        poll(df, "c", "id", limit=10**9)
 
 
 def test_mark_is_the_largest_pair(spark):

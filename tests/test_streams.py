@@ -29,6 +29,7 @@ from tidemark.sources import (
     stream_topic,
 )
 from tidemark.streaming import (
+    deliver,
     delivery_counts,
     kpi_per_batch,
     read_kpi_store,
@@ -231,6 +232,28 @@ def test_delivery_counts(spark, mixed, folder):
     assert sum(c["failed"] for c in counts) == rejected > 0
 
 
+def test_a_batch_cut_short_is_delivered_once(spark, events, folder):
+    calls = []
+
+    def save(batch, number):
+        calls.append(number)
+        deliver(batch, number, f"{folder}/out", f"{folder}/report")
+        if calls == [0, 1]:
+            raise RuntimeError("executor lost after the write")
+
+    def run():
+        stream = stream_topic(spark, events, "earliest", max_per_trigger=1)
+        start(stream, f"{folder}/ck", each_batch=save).awaitTermination()
+
+    with pytest.raises(StreamingQueryException, match="executor lost"):
+        run()
+    run()
+    assert calls[:3] == [0, 1, 1]
+    n = read_topic(spark, events).count()
+    assert read_documents(spark, f"{folder}/out").count() == n
+    assert spark.read.parquet(f"{folder}/report").agg(F.sum("count")).first()[0] == n
+
+
 def test_a_failing_query_stops_the_others(spark, events, folder):
     def fail(batch, number):
         raise RuntimeError("sink is gone")

@@ -18,6 +18,8 @@ STORED = "stored"  # a JSON object: can be stored as a document
 NOT_DOCUMENT = "not_document"  # valid JSON, but an array or a scalar
 MALFORMED = "malformed"  # not UTF-8, not JSON, empty or NULL
 
+LARGEST_SAMPLE = 10_000  # a sample passes through the driver
+
 _JSON_SPACE = " \t\n\r"
 
 
@@ -81,7 +83,11 @@ def only_documents(df: DataFrame, value: str = "value", doc: str = "doc") -> Dat
 
 
 def document_items(
-    df: DataFrame, field: str, value: str = "value", out: str = "item", keep: list[str] | None = None
+    df: DataFrame,
+    field: str,
+    value: str = "value",
+    out: str = "item",
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """One row per element (variant ``out``) of the array ``field`` of each JSON object."""
     items = F.try_variant_get("__parsed", f"$[0].{field}", "array<variant>")
@@ -170,6 +176,8 @@ def infer_schema(
         raise ValueError("infer the schema from a bounded read of the topic, not from the stream")
     objects = only_documents(messages, value)
     if sample is not None:
+        if sample > LARGEST_SAMPLE:
+            raise ValueError(f"a sample has up to {LARGEST_SAMPLE} objects; leave it out to use all")
         if order_by:
             objects = objects.orderBy(*[named(c) for c in order_by])
         texts = objects.select(_text_of(objects, value).alias("value")).limit(sample).collect()
@@ -227,7 +235,11 @@ def apply_schema(
 
 
 def text_rows(
-    df: DataFrame, field: str, value: str = "value", out: str = "item", keep: list[str] | None = None
+    df: DataFrame,
+    field: str,
+    value: str = "value",
+    out: str = "item",
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """One row per inner array of the nested array ``field`` of each JSON object.
 

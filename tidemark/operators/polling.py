@@ -22,6 +22,7 @@ from tidemark.functions.values import named
 
 POLL_SECONDS = 10  # fixed value: pause between polls
 POLL_ROWS = 3  # fixed value: rows per poll of the original watcher
+LARGEST_LIMIT = 100_000  # the rows of a limited poll meet in one task
 
 _STATE = "poll bigint, cursor string, key string"
 
@@ -71,6 +72,8 @@ def poll(
     rows = df if mark is None else df.where(past_mark(df, mark, cursor, key))
     if limit is None:
         return rows
+    if limit > LARGEST_LIMIT:
+        raise ValueError(f"a limit is for samples of up to {LARGEST_LIMIT} rows; leave it out")
     order = [named(cursor).asc_nulls_last()]
     if key is not None:
         order.append(named(key).asc())
@@ -83,7 +86,7 @@ def high_water_mark(df: DataFrame, cursor: str, key: str | None = None) -> DataF
     if key is None:
         return seen.agg(F.max(named(cursor)).alias(cursor))
     top = seen.agg(F.max(F.struct(named(cursor), named(key))).alias("top"))
-    return top.select(named("top").getField(cursor).alias(cursor), named("top").getField(key).alias(key))
+    return top.select(*[named("top").getField(c).alias(c) for c in (cursor, key)])
 
 
 @dataclass(frozen=True)

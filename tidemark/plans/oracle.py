@@ -31,7 +31,9 @@ WITH mixed AS (
 _K = "CAST(json_extract_string({}, '$.k') AS BIGINT)"
 _EVENT_K = f"SELECT event_id, {_K.format('props')} AS k FROM events"
 _KPI = f"SELECT {_K.format('props')} AS k, count(*) AS count FROM events GROUP BY 1"
-_LINES = "SELECT {}unnest(string_split(text, chr(10))) || ' and hello spark' AS value FROM documents"
+_LINES = (
+    "SELECT {}unnest(string_split(text, chr(10))) || ' and hello spark' AS value FROM documents"
+)
 _ISO = "regexp_replace(strftime({}, '%Y-%m-%dT%H:%M:%S.%f'), '\\.000000$', '')"
 
 _JSON_ROWS = {
@@ -56,7 +58,8 @@ _LOG = 'topic, partition, "offset", key, value'
 def oracle() -> dict[str, str]:
     return {
         "topic_envelope": f"{_MESSAGES} SELECT {_LOG}, timestamp FROM messages",
-        "multi_topic_read": f"{_MESSAGES} SELECT {_LOG} FROM messages WHERE topic IN ('click', 'view')",
+        "multi_topic_read": f"{_MESSAGES} SELECT {_LOG} FROM messages"
+        " WHERE topic IN ('click', 'view')",
         "pattern_read": f"{_MESSAGES} SELECT {_LOG} FROM messages"
         " WHERE topic = 'click' OR topic LIKE '%up'",
         "replay_from_earliest": f"{_MESSAGES} SELECT {_LOG} FROM messages",
@@ -89,7 +92,8 @@ def oracle() -> dict[str, str]:
         "classify_messages": f"{_MIXED} SELECT id, status FROM classified",
         "row_to_json_array": "SELECT '[' || c_custkey || ', \"' || c_name || '\", ' || c_nationkey"
         " || ', ' || c_acctbal || ', \"' || c_mktsegment || '\"]' AS value FROM customer",
-        "row_to_json_object": f"SELECT CAST({_JSON_ROWS['orders']} AS VARCHAR) AS value FROM orders",
+        "row_to_json_object": f"SELECT CAST({_JSON_ROWS['orders']} AS VARCHAR) AS value"
+        " FROM orders",
         "iso_timestamps": f"SELECT event_id, {_ISO.format('ts')} AS ts_iso FROM events",
         "iso_nested_times": f"SELECT event_id, {_ISO.format('ts')} AS ts,"
         " strftime(ts, '%Y-%m-%dT00:00:00') AS day FROM events",
@@ -97,7 +101,8 @@ def oracle() -> dict[str, str]:
         "row_cells": "SELECT c_custkey, unnest([0, 1, 2, 3, 4]) AS pos,"
         " unnest([CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR),"
         " CAST(c_acctbal AS VARCHAR), c_mktsegment]) AS cell FROM customer",
-        "text_serialise": "SELECT event_id, hex(encode(CAST(value AS VARCHAR))) AS bytes FROM events",
+        "text_serialise": "SELECT event_id, hex(encode(CAST(value AS VARCHAR))) AS bytes"
+        " FROM events",
         "stream_typed_table": f"{_MESSAGES} SELECT topic, {_K.format('value')} AS k FROM messages",
         "topic_copy": f"{_MESSAGES} SELECT {_LOG} FROM messages",
         "kpi_count": _KPI,
@@ -117,7 +122,8 @@ def oracle() -> dict[str, str]:
         "last_position": "SELECT o_orderdate, o_orderkey FROM orders"
         " ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1",
         "tables_to_topic": _PUBLISHED,
-        "produced_row_count": f"SELECT source_table, count(*) AS n FROM ({_PUBLISHED}) GROUP BY source_table",
+        "produced_row_count": f"SELECT source_table, count(*) AS n FROM ({_PUBLISHED})"
+        " GROUP BY source_table",
         "published_messages": f"SELECT value FROM ({_PUBLISHED})",
         "stream_quarantine": f"{_MIXED} SELECT id, status,"
         " CASE WHEN status = 'stored' THEN '' ELSE value END AS raw FROM classified",

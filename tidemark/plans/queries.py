@@ -147,14 +147,16 @@ def _qualified_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("paged_result_flatten")
 def _paged_result_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = table(spark, sf_dir, "customer")
-    return flatten_pages(result_pages(customer), customer.schema)
+    path = run_dir(spark, "pages")
+    result_pages(table(spark, sf_dir, "customer")).write.parquet(path)
+    pages = spark.read.schema("body string, n_rows int").parquet(path)
+    return flatten_pages(pages, page_schema(pages))
 
 
 @_query("build_result_pages")
 def _build_result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = result_pages(table(spark, sf_dir, "orders"))
-    return flatten_pages(pages, page_schema(pages))
+    orders = table(spark, sf_dir, "orders")
+    return flatten_pages(result_pages(orders), orders.schema)
 
 
 @_query("text_line_suffix")
@@ -280,11 +282,9 @@ def _iso_event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("iso_nested_times")
 def _iso_nested_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select(
-        "event_id",
-        F.struct(F.array("ts", F.date_trunc("day", "ts").cast("timestamp_ntz")).alias("at")).alias("e"),
-    )
-    nested = iso_timestamps(events)
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    times = F.struct(F.array("ts", day).alias("at")).alias("e")
+    nested = iso_timestamps(table(spark, sf_dir, "events").select("event_id", times))
     return nested.select("event_id", F.col("e.at")[0].alias("ts"), F.col("e.at")[1].alias("day"))
 
 
@@ -295,8 +295,8 @@ def _wrap_message_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("text_serialise")
 def _text_serialise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sent = table(spark, sf_dir, "events").select("event_id", text_bytes(F.col("value")).alias("value"))
-    return sent.select("event_id", F.hex("value").alias("bytes"))
+    sent = F.hex(text_bytes(F.col("value"))).alias("bytes")
+    return table(spark, sf_dir, "events").select("event_id", sent)
 
 
 @_query("row_cells")

@@ -67,8 +67,8 @@ def result_pages(df: DataFrame, rows_per_page: int = 1000) -> DataFrame:
 
 def _spark_type(name: str) -> str:
     name = name.strip().lower()
-    if name.startswith("timestamp"):
-        return "timestamp" if name in ("timestamp",) or "with time zone" in name else "timestamp_ntz"
+    if name.startswith("timestamp("):
+        return "timestamp" if name.endswith("with time zone") else "timestamp_ntz"
     base = re.sub(r"\(.*\)$", "", name)
     if base in _TYPE_NAMES:
         return _TYPE_NAMES[base]

@@ -171,8 +171,8 @@ def append_topic(
     ``df`` has ``value`` and optionally ``key``, ``topic``, ``partition``,
     ``offset`` and ``timestamp``.  Without offsets, each message gets the
     next free position: unique and growing, with gaps, and assigned without
-    a shuffle.  One writer at a time.  Assign offsets to a scan or to
-    checkpointed rows, whose order a lost executor cannot change.
+    a shuffle by the task that writes them, so a repeated task cannot give
+    a position twice.  One writer at a time.
     """
     spark = df.sparkSession
     have = set(df.columns)
@@ -190,7 +190,8 @@ def append_topic(
         partition = F.lit(0)
     elif "key" in have:
         by_key = F.xxhash64(F.col("key").cast("binary"))
-        partition = F.pmod(F.when(F.col("key").isNull(), arrival).otherwise(by_key), F.lit(partitions))
+        spread = F.when(F.col("key").isNull(), arrival).otherwise(by_key)
+        partition = F.pmod(spread, F.lit(partitions))
     else:
         partition = F.pmod(arrival, F.lit(partitions))
     df.select(

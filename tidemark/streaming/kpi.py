@@ -8,10 +8,10 @@ with the number of groups and is the default choice.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.values import named
 from tidemark.operators.counting import kpi_count
 from tidemark.streaming.queries import start
 
@@ -49,7 +49,5 @@ def running_kpi(
 
 def read_kpi_store(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
     """The stored counts: the group fields of ``schema``, ``count`` and ``batch_id``."""
-    full = T.StructType(
-        [*schema.fields, T.StructField("count", T.LongType()), T.StructField("batch_id", T.LongType())]
-    )
-    return spark.read.schema(full).parquet(store).select(*[F.col(f"`{n}`") for n in full.fieldNames()])
+    full = T.StructType(list(schema.fields)).add("count", T.LongType()).add("batch_id", T.LongType())
+    return spark.read.schema(full).parquet(store).select(*[named(n) for n in full.fieldNames()])

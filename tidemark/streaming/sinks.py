@@ -56,7 +56,13 @@ def stream_to_topic(
     messages = df.select(*[F.col(c) for c in wanted if c in df.columns])
     by = () if format == "kafka" else ("topic",)
     return start(
-        messages, checkpoint, format=format, path=path, options=options, partition_by=by, every=every
+        messages,
+        checkpoint,
+        format=format,
+        path=path,
+        options=options,
+        partition_by=by,
+        every=every,
     )
 
 
