@@ -124,6 +124,13 @@ def test_kpi_stores_agree_with_the_batch_count(spark, events, folder):
     running = read_kpi_store(spark, f"{folder}/run", K)
     assert _bag(latest_kpi(running, "k")) == _bag(batch)
     assert running.count() > batch.count()
+    whole = running_kpi(
+        rows, "k", store=f"{folder}/all", checkpoint=f"{folder}/ck3", mode="complete"
+    )
+    whole.awaitTermination()
+    stored = read_kpi_store(spark, f"{folder}/all", K)
+    last = stored.agg(F.max("batch_id")).first()[0]
+    assert _bag(stored.where(F.col("batch_id") == last).select("k", "count")) == _bag(batch)
 
 
 def test_a_repeated_batch_does_not_count_twice(spark, events, folder):

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import list_topics, topic_partitions, topic_peek
 from tidemark.plans.relations import dense_positions
-from tidemark.sources import TopicSource, append_topic, read_topic, stream_topic, topic_table
+from tidemark.sources import TopicSource, append_topic, read_topic, stream_topic, topic_table, topic_views
 from tidemark.sources.topics import ENVELOPE
 
 
@@ -95,6 +95,18 @@ def test_topic_as_table_hides_internal_columns(spark):
     }
 
 
+def test_topics_are_tables_in_sql(spark, folder):
+    rows = [("a.b", '{"k":1}'), ("a.b", "junk"), ("c", '{"k":5}')]
+    append_topic(spark.createDataFrame(rows, "topic string, value string"), folder)
+    source = TopicSource(format="parquet", path=folder)
+    schema = T.StructType().add("k", T.LongType())
+    names = topic_views(spark, source, {"a.b": schema, "c": schema}, prefix="t_")
+    assert names == ["t_a_b", "t_c"]
+    assert spark.sql("SELECT * FROM t_a_b").collect() == [(1,)]
+    with pytest.raises(ValueError, match="two topics"):
+        topic_views(spark, source, {"a.b": schema, "a_b": schema})
+
+
 def test_broker_options():
     source = TopicSource(("a", "b"), options={"kafka.bootstrap.servers": "broker:9092"})
     bounded = source.reader_options()

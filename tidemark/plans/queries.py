@@ -41,7 +41,14 @@ from tidemark.session import configure, run_dir
 from tidemark.sources.documents import collection_scan, read_documents, read_messages
 from tidemark.sources.pages import flatten_pages, page_schema, result_pages
 from tidemark.sources.tables import qualified_scan, text_lines
-from tidemark.sources.topics import TopicSource, decoded, read_topic, stream_topic, topic_table
+from tidemark.sources.topics import (
+    TopicSource,
+    decoded,
+    read_topic,
+    stream_topic,
+    topic_table,
+    topic_views,
+)
 from tidemark.streaming.kpi import read_kpi_store, running_kpi
 from tidemark.streaming.queries import run_all, start
 from tidemark.streaming.sinks import (
@@ -190,6 +197,17 @@ def _hide_internal_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topic_table(messages(spark, sf_dir), "click", EVENT_PAYLOAD)
 
 
+@_query("topic_sql")
+def _topic_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = _topic_folder(spark, sf_dir, "topics")
+    topics = {name: EVENT_PAYLOAD for name in ("click", "view")}
+    click, view = topic_views(spark, source, topics, prefix="topic_")
+    return spark.sql(
+        f"SELECT k, count(*) AS n FROM (SELECT k FROM {click} UNION ALL SELECT k FROM {view})"
+        " WHERE k >= 50 GROUP BY k"
+    )
+
+
 @_query("internal_columns")
 def _internal_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = decoded(messages(spark, sf_dir, positions=True))

@@ -22,6 +22,7 @@ from tidemark.sources.topics import (
     read_topic,
     stream_topic,
     topic_table,
+    topic_views,
 )
 
 __all__ = [
@@ -44,4 +45,5 @@ __all__ = [
     "stream_topic",
     "text_lines",
     "topic_table",
+    "topic_views",
 ]

@@ -6,8 +6,9 @@ subscribing prunes whole folders.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -241,6 +242,29 @@ def topic_table(
     return apply_schema(renamed, schema, value, keep)
 
 
+def topic_views(
+    spark: SparkSession,
+    source: TopicSource,
+    schemas: Mapping[str, T.StructType],
+    include_internal: bool = False,
+    prefix: str = "",
+) -> list[str]:
+    """Make topics queryable by name in ``spark.sql``; returns the view names.
+
+    Only the topics of ``schemas`` become views.  Characters that a plain SQL
+    name cannot hold are written as ``_``.
+    """
+    names = []
+    for topic, schema in schemas.items():
+        log = read_topic(spark, replace(source, topics=(topic,), pattern=None))
+        name = prefix + re.sub(r"\W", "_", topic)
+        if name in names:
+            raise ValueError(f"two topics want the view name {name}")
+        topic_table(log, topic, schema, include_internal).createOrReplaceTempView(name)
+        names.append(name)
+    return names
+
+
 def decoded(messages: DataFrame, strict: bool = False) -> DataFrame:
     """The log with ``key`` and ``value`` as text."""
     return messages.withColumns(

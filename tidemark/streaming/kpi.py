@@ -33,18 +33,24 @@ def kpi_per_batch(
 
 
 def running_kpi(
-    df: DataFrame, *fields: str, store: str, checkpoint: str, every: str | None = None
+    df: DataFrame,
+    *fields: str,
+    store: str,
+    checkpoint: str,
+    mode: str = "update",
+    every: str | None = None,
 ) -> StreamingQuery:
     """Keep running counts; each batch stores the groups it changed.
 
     A group appears again whenever it grows: read the store with
-    ``latest_kpi``, where the last count of a group wins.
+    ``latest_kpi``, where the last count of a group wins.  With ``mode``
+    ``complete`` every batch stores all groups.
     """
 
     def save(changed: DataFrame, batch_id: int) -> None:
         changed.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
 
-    return start(kpi_count(df, *fields), checkpoint, each_batch=save, mode="update", every=every)
+    return start(kpi_count(df, *fields), checkpoint, each_batch=save, mode=mode, every=every)
 
 
 def read_kpi_store(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
