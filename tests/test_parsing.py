@@ -1,6 +1,7 @@
 """What counts as a document, and how fields come out of it."""
 
 import json
+from random import Random
 
 import pytest
 from pyspark.sql import types as T
@@ -22,13 +23,14 @@ OBJECTS = [
     '{"k":5.0}', '{"k":"x","Name":"z"}', '{"k":"x"}', '{"k":12345678901234567890}', '{"k":1e3}',
     '{"d":{"x":1,"y":[1,2]}}', '{"d":{"x":"q","y":[1,"w"]},"k":1}', '{"d":[1]}',
     '{"d":5,"Name":"r"}', '  {"Name":"w"}\n', '\t{"Name":"tab"}', '{"Name":"1","Name":"2"}',
+    '{"k":1,"x":NaN}', '{"x":[-Infinity,Infinity],"k":2}',
     '{"Name":"é\\n\\u00e9 \\"q\\""}', '{"__seal":5,"Name":"s"}', '{"Name":"]"}', '{"Name":"}{"}',
 ]
 OTHERS = ['["a","b"]', '[{"Name":"x"},{"Name":"y"}]', '"s"', "5", "null", "true", "[]", "[{}]"]
 BROKEN = [
     "not json", "", " ", None, '{"a":1} x', '{"a":1}{"b":2}', '{"a":1},{"b":2}', '{"a":1}] x',
     '{"a":1}],[{"b":1}', "{'Name':1}", '{"Name":', '1,{"__seal":5}', '{"a":1}, 7] x',
-    '{"a":1} // c', '{"Name":"x"}\x00', "\ufeff{}", '{"a":01}', "{a:1}", '{"a":1}}', '{"a":1}],"x":[{}',
+    '{"a":1} // c', '{"Name":"x"}\x00', "\ufeff{}", '{"a":01}', "{a:1}", '{"x":INF}', '{"x":-INF,"k":1}', '{"Name":"NaN",}', 'NaN of {"a":1}', '{"a":1}}', '{"a":1}],"x":[{}',
 ]
 
 SCHEMA = (
@@ -57,6 +59,57 @@ def test_status_is_what_a_json_decoder_says(messages):
     assert got == {v: _python_status(v) for v in [*OBJECTS, *OTHERS, *BROKEN]}
 
 
+def _json_like(random, depth=0):
+    kind = random.randrange(8 if depth < 3 else 5)
+    if kind == 0:
+        return random.choice(["null", "true", "false", "nul", "NaN", "Infinity", "-Infinity"])
+    if kind == 1:
+        return random.choice(
+            ["0", "-0", "-1", "01", "1.", "-1.50", "1E+5", "1e", "1e400", ".5", "+1", "-", "1" * 60]
+        )
+    if kind in (2, 3):
+        parts = ["", "a", "é", "\\n", "\\u00e9", "\\ud800", "\\x", "\\", "\t", "\x00", "😀", '\\"', "]", "}"]
+        return '"' + "".join(random.choices(parts, k=2)) + '"'
+    if kind in (4, 5):
+        names = ['"k"', '"Name"', '"d"', '"x"', '"y"', '""', "a", "'q'"]
+        weights = [8, 8, 8, 4, 4, 2, 1, 1]
+        pairs = [
+            random.choices(names, weights)[0] + random.choice([":", " : "]) + _json_like(random, depth + 1)
+            for _ in range(random.randrange(4))
+        ]
+        return "{" + ",".join(pairs) + random.choice([""] * 6 + [","]) + "}"
+    return "[" + ",".join(_json_like(random, depth + 1) for _ in range(random.randrange(4))) + "]"
+
+
+def _damaged(random, text):
+    for _ in range(random.choice([0, 0, 0, 1, 1, 2])):
+        at, how = random.randrange(len(text) + 1), random.randrange(4)
+        if how == 0:
+            text = text[:at] + text[at + 1 :]
+        elif how == 1:
+            text = text[:at] + random.choice('{}[]",:\\ 0ae-.\n\x0b\xa0') + text[at:]
+        elif how == 2:
+            text += random.choice([" x", "}", "]", ",1", "{}", " ", "\n", "\x00", "//c", ',{"__seal":1}'])
+        else:
+            text = random.choice([" ", "\ufeff", "\n", "\x0c", "/*c*/", "[", "{"]) + text
+    return text
+
+
+def test_generated_messages(spark):
+    random = Random(7)
+    cases = sorted({_damaged(random, _json_like(random)) for _ in range(6000)})
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, value string").repartition(8)
+    status = {r["i"]: r["status"] for r in parse_documents(df).collect()}
+    wrong = [c for i, c in enumerate(cases) if status[i] != _python_status(c)]
+    assert not wrong, wrong[:5]
+    stored = {i for i, s in status.items() if s == "stored"}
+    assert len(stored) > 150
+    assert {r["i"] for r in only_documents(df).select("i").collect()} == stored
+    typed = {r["i"]: str(tuple(r)[1:]) for r in apply_schema(df, SCHEMA, keep=["i"]).collect()}
+    plain = {r["i"]: r["data"] for r in parse_struct(df, SCHEMA).collect()}
+    assert typed == {i: str(tuple(plain[i])) for i in stored}
+
+
 def test_only_objects_have_a_document(messages):
     parsed = parse_documents(messages).collect()
     assert {r["value"] for r in parsed if r["doc"] is not None} == set(OBJECTS)

@@ -37,12 +37,21 @@ def _sealed(df: DataFrame, value: str) -> DataFrame:
     framed = df.withColumn("__text", _text_of(df, value)).withColumn(
         "__seal", F.xxhash64("__text")
     )
-    boxed = F.concat(F.lit("["), "__text", F.lit(","), F.col("__seal").cast("string"), F.lit("]"))
-    return framed.withColumn("__parsed", F.try_parse_json(boxed))
+    return framed.withColumn("__parsed", _parsed())
 
 
-def _is_json() -> Column:
-    seal = F.try_variant_get("__parsed", "$[1]", "bigint")
+def _parsed() -> Column:
+    seal = F.col("__seal").cast("string")
+    boxed = F.concat(F.lit("["), "__text", F.lit(","), seal, F.lit("]"))
+    # Common encoders write these words for doubles that JSON has no literal
+    # for.  The slower parser that knows them only runs where the other failed.
+    words = F.col("__text").contains("NaN") | F.col("__text").contains("Infinity")
+    lenient = F.from_json(boxed, "variant", {"allowSingleQuotes": "false"})
+    return F.coalesce(F.try_parse_json(boxed), F.when(words, lenient))
+
+
+def _is_json(parsed: Column) -> Column:
+    seal = F.try_variant_get(parsed, "$[1]", "bigint")
     return F.coalesce(seal == F.col("__seal"), F.lit(False))
 
 
@@ -60,7 +69,7 @@ def parse_documents(
     """
     framed = _sealed(df, value).withColumn(
         status,
-        F.when(~_is_json(), MALFORMED).when(_is_braced(), STORED).otherwise(NOT_DOCUMENT),
+        F.when(~_is_json(F.col("__parsed")), MALFORMED).when(_is_braced(), STORED).otherwise(NOT_DOCUMENT),
     )
     parsed = F.when(
         named(status) == STORED, F.try_variant_get("__parsed", "$[0]", "variant")
@@ -78,7 +87,7 @@ def only_documents(df: DataFrame, value: str = "value", doc: str = "doc") -> Dat
     document = F.array(F.try_variant_get("__parsed", "$[0]", "variant"))
     return _sealed(df, value).select(
         *[named(c) for c in df.columns if c != doc],
-        F.explode(F.when(_is_json() & _is_braced(), document)).alias(doc),
+        F.explode(F.when(_is_json(F.col("__parsed")) & _is_braced(), document)).alias(doc),
     )
 
 
@@ -93,7 +102,7 @@ def document_items(
     items = F.try_variant_get("__parsed", f"$[0].{field}", "array<variant>")
     return _sealed(df, value).select(
         *[named(k) for k in keep or []],
-        F.explode(F.when(_is_json() & _is_braced(), items)).alias(out),
+        F.explode(F.when(_is_json(F.col("__parsed")) & _is_braced(), items)).alias(out),
     )
 
 
@@ -199,26 +208,39 @@ def flatten_struct(df: DataFrame, column: str = "data", keep: list[str] | None =
 
 
 def _sealed_structs(df: DataFrame, schema: T.StructType, value: str) -> tuple[DataFrame, Column]:
-    """Parse the objects among the messages to ``schema``, in one parse.
+    """Parse the objects among the messages to ``schema``, normally in one parse.
 
     Returns the frame with the parse added and a column that holds, for an
     object, an array of its one struct, and NULL for any other message.  The
-    text read is ``[text, {"__seal": hash(text)}]``, see ``_sealed``.
+    text read is ``{"rows": [text, {"__seal": hash(text)}]}``, see ``_sealed``.
+    Where the parser had to leave something out, it does not tell a field of
+    another type from broken JSON; only those messages are checked again.
     """
     boxed = F.concat(
-        F.lit("["), "__text", F.lit(',{"__seal":'), F.col("__seal").cast("string"), F.lit("}]")
+        F.lit('{"rows":['),
+        "__text",
+        F.lit(',{"__seal":'),
+        F.col("__seal").cast("string"),
+        F.lit("}]}"),
     )
     element = T.StructType([*schema.fields, T.StructField("__seal", T.LongType())])
-    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    frame = T.StructType().add("rows", T.ArrayType(element)).add("__left_out", T.StringType())
+    options = {"columnNameOfCorruptRecord": "__left_out", "allowSingleQuotes": "false"}
     framed = (
         df.withColumn("__text", _text_of(df, value))
         .withColumn("__seal", F.xxhash64("__text"))
-        .withColumn("__read", F.from_json(boxed, T.ArrayType(element), strict))
+        .withColumn("__read", F.from_json(boxed, frame, options))
+    )
+    rows = F.col("__read").getField("rows")
+    first = F.get(rows, F.lit(0))
+    sealed = (F.size(rows) == 2) & (F.get(rows, F.lit(1)).getField("__seal") == F.col("__seal"))
+    # This parser also takes INF for a number, which other decoders do not.
+    clean = F.col("__read").getField("__left_out").isNull() & ~F.col("__text").contains("INF")
+    is_object = F.when(clean, sealed & first.isNotNull()).otherwise(
+        _is_json(_parsed()) & _is_braced()
     )
-    read = F.col("__read")
-    whole = (F.size(read) == 2) & (F.get(read, F.lit(1)).getField("__seal") == F.col("__seal"))
-    is_object = whole & F.get(read, F.lit(0)).isNotNull()
-    return framed, F.when(is_object, F.slice(read, 1, 1))
+    empty = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in element.fields])
+    return framed, F.when(is_object, F.array(F.coalesce(first, empty)))
 
 
 def apply_schema(
