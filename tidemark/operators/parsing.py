@@ -85,10 +85,16 @@ def only_documents(df: DataFrame, value: str = "value", doc: str = "doc") -> Dat
     generator that yields no or one document is not.
     """
     document = F.array(F.try_variant_get("__parsed", "$[0]", "variant"))
-    return _sealed(df, value).select(
-        *[named(c) for c in df.columns if c != doc],
-        F.explode(F.when(_is_json(F.col("__parsed")) & _is_braced(), document)).alias(doc),
+    found = _sealed(df, value).withColumn(
+        "__found", F.when(_is_json(F.col("__parsed")) & _is_braced(), document)
     )
+    kept = [named(c) for c in df.columns if c != doc]
+    return found.select(*kept, F.explode(_only_element("__found")).alias(doc))
+
+
+def _only_element(array: str) -> Column:
+    # Spark infers a filter from a generator over a plain column, and pushes it down.
+    return F.slice(array, 1, 1)
 
 
 def document_items(
@@ -252,8 +258,10 @@ def apply_schema(
     not fit its type is NULL.
     """
     framed, objects = _sealed_structs(df, schema, value)
+    kept = [named(k) for k in keep or []]
+    found = framed.select(*kept, objects.alias("__found"))
     # A generator, not a filter: see only_documents.
-    return framed.select(*[named(k) for k in keep or []], F.inline(objects)).drop("__seal")
+    return found.select(*kept, F.inline(_only_element("__found"))).drop("__seal")
 
 
 def text_rows(
