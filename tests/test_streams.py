@@ -302,9 +302,13 @@ def views(spark, sf_dir):
         spark.sql(f"CREATE TABLE IF NOT EXISTS default.t_{name} USING parquet LOCATION '{location}'")
 
 
-def test_publishing_goes_on_after_a_table_that_fails(spark, views, folder):
+@pytest.mark.parametrize("together", [False, True])
+def test_publishing_goes_on_after_a_table_that_fails(spark, views, folder, together):
     names = ["default.t_nation", "default.missing", "one.two.three.four", "spark_catalog.default.t_orders"]
-    reports = publish_tables(spark, names, "rows", format="parquet", path=folder)
+    reports = publish_tables(
+        spark, names, "rows", together=together, format="parquet", path=folder
+    )
+    assert [r.table for r in reports] == names
     by_table = {r.table: r for r in reports}
     assert by_table["default.t_nation"].rows == 25
     orders = spark.table("default.t_orders").count()

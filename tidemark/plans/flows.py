@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -38,6 +39,7 @@ def publish_tables(
     *,
     row_format: str = "array",
     rows_per_page: int = 1000,
+    together: bool = False,
     format: str = "kafka",
     path: str | None = None,
     options: Mapping[str, str] | None = None,
@@ -47,27 +49,45 @@ def publish_tables(
 
     ``row_format`` is ``array``, ``object`` or ``pages`` (result envelopes).
     A table that cannot be read or sent is reported and the next one follows.
+    ``together`` sends all readable tables in one job, which keeps a cluster
+    busy when many are small; a failure while sending then concerns them all.
     """
+    names = list(names)
     if tables is None:
         found, failed = resolve_tables(spark, names)
     else:
         found = {n: tables[n] for n in names if n in tables}
         failed = {n: "no such table" for n in names if n not in tables}
-    reports = [PublishReport(name, None, reason) for name, reason in failed.items()]
-    for name, table in found.items():
-        sent = Observation(f"publish {name}")
+    reports = {name: PublishReport(name, None, reason) for name, reason in failed.items()}
+
+    def send(group: list[str]) -> None:
+        sent = {name: Observation() for name in group}
+        messages = [
+            _table_messages(name, found[name], row_format, rows_per_page, sent[name])
+            for name in group
+        ]
         try:
-            if row_format == "pages":
-                pages = result_pages(table, rows_per_page).withColumnRenamed("body", "value")
-                counted = pages.observe(sent, F.sum("n_rows").alias("rows")).select("value")
-            else:
-                messages = tables_to_topic({name: table}, row_format)
-                counted = messages.observe(sent, F.count(F.lit(1)).alias("rows")).select("value")
-            write_topic(counted, topic, format=format, path=path, options=options)
-            reports.append(PublishReport(name, sent.get["rows"] or 0, None))
+            everything = reduce(DataFrame.unionByName, messages)
+            write_topic(everything, topic, format=format, path=path, options=options)
+            for name in group:
+                reports[name] = PublishReport(name, sent[name].get["rows"] or 0, None)
         except PySparkException as error:
-            reports.append(PublishReport(name, None, str(error).splitlines()[0]))
-    return reports
+            reason = str(error).splitlines()[0]
+            reports.update({name: PublishReport(name, None, reason) for name in group})
+
+    for group in ([list(found)] if together and found else [[name] for name in found]):
+        send(group)
+    return [reports[name] for name in dict.fromkeys(names)]
+
+
+def _table_messages(
+    name: str, table: DataFrame, row_format: str, rows_per_page: int, sent: Observation
+) -> DataFrame:
+    if row_format == "pages":
+        pages = result_pages(table, rows_per_page).withColumnRenamed("body", "value")
+        return pages.observe(sent, F.sum("n_rows").alias("rows")).select("value")
+    messages = tables_to_topic({name: table}, row_format)
+    return messages.observe(sent, F.count(F.lit(1)).alias("rows")).select("value")
 
 
 def topic_to_documents(

@@ -394,7 +394,14 @@ def _published_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "published")
     tables = _tables(spark, sf_dir)
     publish_tables(
-        spark, tables, "tables", row_format="object", format="parquet", path=path, tables=tables
+        spark,
+        tables,
+        "tables",
+        row_format="object",
+        together=True,
+        format="parquet",
+        path=path,
+        tables=tables,
     )
     log = read_topic(spark, TopicSource(("tables",), format="parquet", path=path))
     return decoded(log).select("value")
