@@ -133,6 +133,15 @@ def test_empty_polls_keep_the_mark(spark, folder):
     assert watch.last() == (0, Mark("5", "1"))
 
 
+def test_the_key_can_be_the_cursor(spark, folder):
+    df = spark.createDataFrame([(1,), (2,), (3,)], "id int")
+    watch = watch_table(
+        spark, lambda: df, "id", "id", f"{folder}/out", f"{folder}/mark", limit=2
+    )
+    assert list(watch.run(every=0, polls=3)) == [2, 1, 0]
+    assert high_water_mark(df, "id", "id").collect() == [(3,)]
+
+
 def test_rows_without_cursor_are_taken_once(spark, folder):
     df = spark.createDataFrame([(1, None), (2, 7)], "id int, c int")
     watch = _watch(spark, folder, lambda: df)

@@ -39,9 +39,8 @@ def _typed(df: DataFrame, column: str, text: str) -> Column:
     return F.lit(text).cast(df.schema[column].dataType)
 
 
-def _mark_text(df: DataFrame, column: str) -> Column:
-    value = named(column)
-    if isinstance(df.schema[column].dataType, T.TimestampType):
+def _mark_text(value: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.TimestampType):
         # With its offset, so that the text means the same instant in any session zone.
         return F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSSxxx")
     return value.cast("string")
@@ -83,7 +82,7 @@ def poll(
 def high_water_mark(df: DataFrame, cursor: str, key: str | None = None) -> DataFrame:
     """One row: the largest ``cursor``, and with ``key`` the largest key at it."""
     seen = df.where(named(cursor).isNotNull())
-    if key is None:
+    if key is None or key == cursor:
         return seen.agg(F.max(named(cursor)).alias(cursor))
     top = seen.agg(F.max(F.struct(named(cursor), named(key))).alias("top"))
     return top.select(*[named("top").getField(c).alias(c) for c in (cursor, key)])
@@ -129,27 +128,19 @@ class TableWatch:
         target = f"{self.out}/poll={number}"
         new.write.mode("overwrite").parquet(target)
         written = self.spark.read.schema(new.schema).parquet(target)
-        position = F.when(
-            named(self.cursor).isNotNull(), F.struct(named(self.cursor), named(self.key))
-        )
-        summary = written.agg(F.count(F.lit(1)).alias("n"), F.max(position).alias("top"))
-        top = summary.select(
-            "n",
-            named("top").getField(self.cursor).alias(self.cursor),
-            named("top").getField(self.key).alias(self.key),
-        )
-        state = top.select(
-            "n",
-            F.lit(number).cast("bigint").alias("poll"),
-            F.coalesce(_mark_text(top, self.cursor), F.lit(mark and mark.cursor).cast("string"))
-            .alias("cursor"),
-            F.coalesce(_mark_text(top, self.key), F.lit(mark and mark.key).cast("string"))
-            .alias("key"),
-        ).first()
+        position = F.struct(named(self.cursor).alias("cursor"), named(self.key).alias("key"))
+        top = F.max(F.when(named(self.cursor).isNotNull(), position))
+        texts = [
+            F.coalesce(
+                _mark_text(F.col("top").getField(part), new.schema[column].dataType),
+                F.lit(getattr(mark, part, None)).cast("string"),
+            ).alias(part)
+            for part, column in (("cursor", self.cursor), ("key", self.key))
+        ]
+        summary = written.agg(F.count(F.lit(1)).alias("n"), top.alias("top"))
+        state = summary.select("n", *texts).first()
         if state["n"]:
-            slot = self.spark.createDataFrame(
-                [(state["poll"], state["cursor"], state["key"])], _STATE
-            )
+            slot = self.spark.createDataFrame([(number, state["cursor"], state["key"])], _STATE)
             slot.coalesce(1).write.mode("overwrite").parquet(f"{self.state}/slot={number % 2}")
         return state["n"]
 

@@ -190,7 +190,7 @@ def append_topic(
     elif partitions == 1:
         partition = F.lit(0)
     elif "key" in have:
-        by_key = F.xxhash64(F.col("key").cast("binary"))
+        by_key = F.xxhash64(text_bytes(F.col("key")))
         spread = F.when(F.col("key").isNull(), arrival).otherwise(by_key)
         partition = F.pmod(spread, F.lit(partitions))
     else:
