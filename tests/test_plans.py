@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 import __spark_entry__ as contract
 from tidemark.operators import apply_schema, only_documents, parse_documents
 from tidemark.operators.parsing import document_field
+from tidemark.streaming import as_documents
 
 K = T.StructType([T.StructField("k", T.LongType())])
 
@@ -62,6 +63,8 @@ def test_each_message_is_parsed_once(events):
     documents = only_documents(events, "props").select(k).groupBy("k").count()
     assert _plan(documents).count("parseJson") == 1
     assert _plan(parse_documents(events, "props").select("status", "doc")).count("parseJson") == 1
+    log = events.selectExpr("event_type AS topic", "CAST(props AS binary) AS value")
+    assert _plan(as_documents(log)).count("parseJson") == 1
     # The typed parse; the others in its plan only run for messages it could not take whole.
     typed = _plan(apply_schema(events, K, "props").groupBy("k").count())
     assert typed.count("from_json(StructField(rows") == 1
