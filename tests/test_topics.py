@@ -43,6 +43,15 @@ def test_peek_takes_the_first_messages_of_each_topic(log):
     assert len(got["small"]) == 4 and len(got["__internal"]) == 1
 
 
+def test_pruned_peek_is_the_same_and_bounds_the_scan(spark, log, folder):
+    append_topic(log, folder)
+    stored = read_topic(spark, TopicSource(format="parquet", path=folder))
+    pruned = topic_peek(stored, prune=True)
+    assert sorted(map(str, pruned.collect())) == sorted(map(str, topic_peek(stored).collect()))
+    assert "LessThanOrEqual(offset,15)" in pruned._jdf.queryExecution().executedPlan().toString()
+    assert topic_peek(stored.where("topic = 'none'"), prune=True).isEmpty()
+
+
 def test_peek_limits_every_task_before_each_shuffle(log):
     plan = topic_peek(log)._jdf.queryExecution().executedPlan().toString()
     assert plan.count(", 6, Partial") == 2 and plan.count(", 6, Final") == 2

@@ -32,15 +32,27 @@ def topic_partitions(messages: DataFrame, topic: str | None = None) -> DataFrame
     )
 
 
-def topic_peek(messages: DataFrame, rows: int = PEEK_ROWS) -> DataFrame:
+def topic_peek(messages: DataFrame, rows: int = PEEK_ROWS, prune: bool = False) -> DataFrame:
     """The first ``rows`` messages of each topic in (partition, offset) order.
 
     Ranked per (topic, partition) and then per topic.  Spark keeps at most
     ``rows`` rows per group in every task before each shuffle, so a topic
     that holds most of the log is never gathered in one place.
+
+    With ``prune`` the positions are ranked first, without the messages, and
+    the largest one found bounds the read.  In a topic directory that skips
+    almost every row group; it runs one narrow job when the plan is made.
     """
     if not rows < 1000:
         raise ValueError("a peek is a handful of rows; read the topic for more")
+    if prune:
+        positions = _first_rows(messages.select("topic", "partition", "offset"), rows)
+        last = positions.agg(F.max("offset").alias("last")).first()["last"]
+        messages = messages.where(F.col("offset") <= F.lit(last))
+    return _first_rows(messages, rows).select("topic", "partition", "offset", "key", "value")
+
+
+def _first_rows(messages: DataFrame, rows: int) -> DataFrame:
     within = Window.partitionBy("topic", "partition").orderBy("offset")
     across = Window.partitionBy("topic").orderBy("partition", "offset")
     return (
@@ -48,5 +60,4 @@ def topic_peek(messages: DataFrame, rows: int = PEEK_ROWS) -> DataFrame:
         .where(F.col("__rank") <= rows)
         .withColumn("__rank", F.row_number().over(across))
         .where(F.col("__rank") <= rows)
-        .select("topic", "partition", "offset", "key", "value")
     )

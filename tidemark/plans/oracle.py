@@ -54,6 +54,11 @@ _PUBLISHED = " UNION ALL ".join(
 )
 _LOG = 'topic, partition, "offset", key, value'
 
+_PEEK = (
+    f"{_MESSAGES} SELECT {_LOG} FROM messages"
+    ' QUALIFY row_number() OVER (PARTITION BY topic ORDER BY partition, "offset") <= 6'
+)
+
 
 def oracle() -> dict[str, str]:
     return {
@@ -118,8 +123,8 @@ def oracle() -> dict[str, str]:
         "topic_partitions": f"{_MESSAGES} SELECT topic,"
         " array_to_string(list_sort(list(DISTINCT partition)), ',') AS partitions,"
         " count(*) AS n_messages FROM messages GROUP BY topic",
-        "topic_peek": f"{_MESSAGES} SELECT {_LOG} FROM messages"
-        ' QUALIFY row_number() OVER (PARTITION BY topic ORDER BY partition, "offset") <= 6',
+        "topic_peek_stored": _PEEK,
+        "topic_peek": _PEEK,
         "high_water_mark": "SELECT max(ts) AS last_check_time FROM events",
         "last_position": "SELECT o_orderdate, o_orderkey FROM orders"
         " ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1",

@@ -352,6 +352,12 @@ def _first_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded(topic_peek(messages(spark, sf_dir, positions=True)))
 
 
+@_query("topic_peek_stored")
+def _topic_peek_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = _topic_folder(spark, sf_dir, "topics")
+    return decoded(topic_peek(read_topic(spark, source), prune=True))
+
+
 @_query("topic_catalog")
 def _topic_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "topic-catalog")
