@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import types as T
 
 import __spark_entry__ as contract
-from tidemark.operators import apply_schema, only_documents, parse_documents
+from tidemark.operators import apply_schema, only_documents, parse_documents, parse_struct
 from tidemark.operators.parsing import document_field
 from tidemark.streaming import as_documents
 
@@ -63,6 +63,11 @@ def test_each_message_is_parsed_once(events):
     documents = only_documents(events, "props").select(k).groupBy("k").count()
     assert _plan(documents).count("parseJson") == 1
     assert _plan(parse_documents(events, "props").select("status", "doc")).count("parseJson") == 1
+    stored = parse_documents(events, "props").where("status = 'stored' AND user_id > 5").select(k)
+    assert _plan(stored).count("parseJson") == 1
+    assert "PushedFilters: [IsNotNull(user_id), GreaterThan(user_id,5)]" in _plan(stored)
+    fitting = _plan(parse_struct(events, K, "props", corrupt="bad").where("bad IS NULL"))
+    assert fitting.count("from_json") == 1
     log = events.selectExpr("event_type AS topic", "CAST(props AS binary) AS value")
     assert _plan(as_documents(log)).count("parseJson") == 1
     # The typed parse; the others in its plan only run for messages it could not take whole.

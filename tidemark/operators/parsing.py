@@ -64,25 +64,29 @@ def parse_documents(
 ) -> DataFrame:
     """Add ``status`` and, for objects, the parsed document ``doc`` (variant).
 
-    A bad message is data, not an error: nothing here can fail a query.  To
-    go on with the documents only, use ``only_documents``.
+    A bad message is data, not an error: nothing here can fail a query.  The
+    result comes out of a generator, because Spark would push a filter on it
+    below a plain projection and parse every message twice.
     """
+    of_json = F.when(_is_braced(), STORED).otherwise(NOT_DOCUMENT)
     framed = _sealed(df, value).withColumn(
-        status,
-        F.when(~_is_json(F.col("__parsed")), MALFORMED).when(_is_braced(), STORED).otherwise(NOT_DOCUMENT),
+        "__status", F.when(_is_json(F.col("__parsed")), of_json).otherwise(MALFORMED)
     )
     parsed = F.when(
-        named(status) == STORED, F.try_variant_get("__parsed", "$[0]", "variant")
+        F.col("__status") == STORED, F.try_variant_get("__parsed", "$[0]", "variant")
+    )
+    found = F.array(F.struct(F.col("__status").alias(status), parsed.alias(doc)))
+    kept = [named(c) for c in df.columns if c not in (status, doc)]
+    return framed.select(*kept, found.alias("__found")).select(
+        *kept, F.inline(_only_element("__found"))
     )
-    return framed.withColumn(doc, parsed).drop("__text", "__seal", "__parsed")
 
 
 def only_documents(df: DataFrame, value: str = "value", doc: str = "doc") -> DataFrame:
     """The messages that are JSON objects, with the parsed document ``doc`` added.
 
-    Same rows as ``parse_documents`` filtered on its status.  But a filter on
-    a parse result is pushed below the parse and makes Spark parse twice; a
-    generator that yields no or one document is not.
+    Same rows as ``parse_documents`` filtered on its status; here the
+    generator itself leaves out the others.
     """
     document = F.array(F.try_variant_get("__parsed", "$[0]", "variant"))
     found = _sealed(df, value).withColumn(
@@ -135,11 +139,15 @@ def parse_struct(
     parsed = F.from_json(
         _text_of(df, value), full, {"columnNameOfCorruptRecord": "__corrupt", "mode": "PERMISSIVE"}
     )
-    with_corrupt = df.withColumn("__parsed", parsed)
     fields = [F.col("__parsed").getField(f.name).alias(f.name) for f in schema.fields]
-    return with_corrupt.withColumn(
-        out, F.when(F.col("__parsed").isNotNull(), F.struct(*fields))
-    ).withColumn(corrupt, F.col("__parsed").getField("__corrupt")).drop("__parsed")
+    data = F.when(F.col("__parsed").isNotNull(), F.struct(*fields))
+    left_out = F.col("__parsed").getField("__corrupt")
+    kept = [named(c) for c in df.columns if c not in (out, corrupt)]
+    found = df.withColumn("__parsed", parsed).select(
+        *kept, F.array(F.struct(data.alias(out), left_out.alias(corrupt))).alias("__found")
+    )
+    # A generator, as in parse_documents: the result is there to be filtered on.
+    return found.select(*kept, F.inline(_only_element("__found")))
 
 
 _INFERRED_TYPE = re.compile(
@@ -260,7 +268,7 @@ def apply_schema(
     framed, objects = _sealed_structs(df, schema, value)
     kept = [named(k) for k in keep or []]
     found = framed.select(*kept, objects.alias("__found"))
-    # A generator, not a filter: see only_documents.
+    # A generator, not a filter: see parse_documents.
     return found.select(*kept, F.inline(_only_element("__found"))).drop("__seal")
 
 
