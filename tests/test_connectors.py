@@ -53,7 +53,7 @@ def test_remote_table_is_read_in_ranges():
     asked = scan_jdbc(_session(), "jdbc:x://h", "s.t", "id", 0, 10**9, 64, secret)
     assert asked["format"] == "jdbc" and asked["dbtable"] == "s.t" and asked["driver"] == "some.Driver"
     assert (asked["partitionColumn"], asked["lowerBound"], asked["upperBound"]) == ("id", "0", "1000000000")
-    assert asked["numPartitions"] == "64"
+    assert asked["numPartitions"] == "64" and asked["preferTimestampNTZ"] == "true"
 
 
 @pytest.mark.parametrize("name", ["table", "a.b.c.d", "a..b", ".a", ""])

@@ -51,11 +51,13 @@ def scan_jdbc(
     """A remote table, fetched by many tasks over ranges of ``partition_column``.
 
     The bounds only place the ranges; rows outside them are read as well.
-    Credentials and the driver class go into ``options``.
+    Choose a column whose values are spread evenly.  Credentials and the
+    driver class go into ``options``.  Timestamps without a zone stay so.
     """
+    defaults = {"preferTimestampNTZ": "true", "fetchsize": "10000"}
     return (
         spark.read.format("jdbc")
-        .options(**(options or {}))
+        .options(**{**defaults, **(options or {})})
         .option("url", url)
         .option("dbtable", table)
         .option("partitionColumn", partition_column)
