@@ -271,14 +271,14 @@ def test_a_failing_query_stops_the_others(spark, events, folder):
     )
     failing = start(stream, f"{folder}/ck2", each_batch=fail)
     with pytest.raises(StreamingQueryException, match="sink is gone"):
-        run_all(spark, [endless, failing], check_every=0.2)
+        run_all([endless, failing], check_every=0.2)
     assert not endless.isActive
 
 
 def test_waiting_ends_when_all_queries_end(spark, events, folder):
     stream = stream_topic(spark, events, "earliest")
     queries = [start(stream, f"{folder}/ck{i}", path=f"{folder}/out{i}") for i in range(2)]
-    waiting = threading.Thread(target=run_all, args=(spark, queries, 0.2))
+    waiting = threading.Thread(target=run_all, args=(queries, 0.2))
     waiting.start()
     waiting.join(60)
     assert not waiting.is_alive()

@@ -481,7 +481,7 @@ def _stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for name in ("click", "view")
     ]
-    run_all(spark, queries)
+    run_all(queries)
     found = read_documents(spark, f"{store}/click").unionByName(
         read_documents(spark, f"{store}/view")
     )

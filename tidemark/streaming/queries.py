@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import suppress
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -48,9 +49,7 @@ def start(
     return writer.start(path) if path else writer.start()
 
 
-def run_all(
-    spark: SparkSession, queries: Sequence[StreamingQuery], check_every: float = 1.0
-) -> None:
+def run_all(queries: Sequence[StreamingQuery], check_every: float = 1.0) -> None:
     """Wait for all queries; when one fails, stop the others and raise its error."""
     while True:
         active = [q for q in queries if q.isActive]
@@ -61,7 +60,8 @@ def run_all(
             raise failed.exception()
         if not active:
             return
-        active[0].awaitTermination(check_every) if len(active) == 1 else time.sleep(check_every)
+        with suppress(StreamingQueryException):  # found as failed on the next turn
+            active[0].awaitTermination(check_every)
 
 
 def with_delivery(df: DataFrame, failed: Column | None = None, name: str = DELIVERY) -> DataFrame:
