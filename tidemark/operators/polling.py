@@ -24,7 +24,12 @@ POLL_SECONDS = 10  # fixed value: pause between polls
 POLL_ROWS = 3  # fixed value: rows per poll of the original watcher
 LARGEST_LIMIT = 100_000  # the rows of a limited poll meet in one task
 
-_STATE = "poll bigint, cursor string, key string"
+_STATE = (
+    T.StructType()
+    .add("poll", T.LongType())
+    .add("cursor", T.StringType())
+    .add("key", T.StringType())
+)
 
 
 @dataclass(frozen=True)
@@ -140,8 +145,11 @@ class TableWatch:
         summary = written.agg(F.count(F.lit(1)).alias("n"), top.alias("top"))
         state = summary.select("n", *texts).first()
         if state["n"]:
-            slot = self.spark.createDataFrame([(number, state["cursor"], state["key"])], _STATE)
-            slot.coalesce(1).write.mode("overwrite").parquet(f"{self.state}/slot={number % 2}")
+            row = {"poll": number, "cursor": state["cursor"], "key": state["key"]}
+            slot = self.spark.range(0, 1, 1, 1).select(
+                *[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in _STATE.fields]
+            )
+            slot.write.mode("overwrite").parquet(f"{self.state}/slot={number % 2}")
         return state["n"]
 
     def run(self, every: float = POLL_SECONDS, polls: int | None = None) -> Iterator[int]:

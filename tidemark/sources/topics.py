@@ -139,7 +139,9 @@ def from_latest(
     """
     ends = retained.groupBy("topic", "partition").agg(F.max("offset").alias("__end"))
     # A row without a topic is written along: where it is missing, the write was cut short.
-    closing = spark.createDataFrame([(None, None, None)], ends.schema)
+    closing = spark.range(0, 1, 1, 1).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in ends.schema.fields]
+    )
     if not _is_complete(spark, state, ends.schema):
         ends.unionByName(closing).write.mode("overwrite").parquet(state)
     ends = spark.read.schema(ends.schema).parquet(state).where(F.col("topic").isNotNull())
