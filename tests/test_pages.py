@@ -42,6 +42,18 @@ def test_pages_are_bounded_and_well_formed(spark):
         assert len(body["data"]) == page["n_rows"]
 
 
+def test_pages_of_long_rows_are_bounded_by_size(spark):
+    df = spark.range(200).repartition(2).selectExpr(
+        "id", "repeat('x', IF(id % 50 = 0, 5000, CAST(id AS int))) AS text"
+    )
+    pages = result_pages(df, 1000, 1000).collect()
+    assert sum(p["n_rows"] for p in pages) == 200
+    assert all(len(p["body"]) < 1600 for p in pages if p["n_rows"] > 1)
+    assert sum(p["n_rows"] == 1 and len(p["body"]) > 5000 for p in pages) == 4
+    again = flatten_pages(spark.createDataFrame(pages), df.schema)
+    assert sorted(map(str, again.collect())) == sorted(map(str, df.collect()))
+
+
 def test_pages_need_no_shuffle(spark, sf_dir):
     pages = result_pages(spark.read.parquet(f"{sf_dir}/orders.parquet"))
     assert "Exchange" not in pages._jdf.queryExecution().executedPlan().toString()

@@ -5,8 +5,8 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -29,12 +29,15 @@ _TYPE_NAMES = {
 }
 
 
-def result_pages(df: DataFrame, rows_per_page: int = 1000) -> DataFrame:
+def result_pages(
+    df: DataFrame, rows_per_page: int = 1000, bytes_per_page: int = 8 << 20
+) -> DataFrame:
     """The rows of ``df`` as envelope messages: ``body``, ``n_rows``.
 
-    A page holds at most ``rows_per_page`` consecutive rows of one task, so
-    no row moves between tasks and no page grows with the table.  Rows
-    become JSON text in the JVM; per Arrow batch, only the joining of
+    A page holds consecutive rows of one task, at most ``rows_per_page`` of
+    them and, unless it is a single row, at most ``bytes_per_page`` of row
+    text.  So no row moves between tasks and no page grows with the table.
+    Rows become JSON text in the JVM; per Arrow batch, only the joining of
     those texts into page bodies is left to vectorised Arrow calls, because
     any grouping operator would shuffle the whole table.
     """
@@ -49,10 +52,12 @@ def result_pages(df: DataFrame, rows_per_page: int = 1000) -> DataFrame:
         )
         for batch in batches:
             rows = batch.column(0).cast(pa.large_string())
-            starts = [*range(0, len(rows), rows_per_page), len(rows)]
-            for first, end in pairwise(starts):
-                # One page at a time: the pages of a batch need not fit in memory together.
-                page = rows.slice(first, end - first)
+            ends = np.cumsum(pc.binary_length(rows).to_numpy())
+            first = 0
+            while first < len(rows):
+                room = bytes_per_page + (ends[first - 1] if first else 0)
+                fitting = int(np.searchsorted(ends, room, side="right"))
+                page = rows.slice(first, min(rows_per_page, max(1, fitting - first)))
                 joined = pc.binary_join(
                     pa.ListArray.from_arrays(pa.array([0, len(page)], pa.int32()), page), comma
                 )
@@ -61,6 +66,7 @@ def result_pages(df: DataFrame, rows_per_page: int = 1000) -> DataFrame:
                     [body.cast(pa.string()), pa.array([len(page)], pa.int32())],
                     names=["body", "n_rows"],
                 )
+                first += len(page)
 
     return df.select(row_json_array(df).alias("row")).mapInArrow(bodies, "body string, n_rows int")
 
