@@ -39,6 +39,7 @@ from tidemark.streaming import (
     store_documents,
     store_topic_catalog,
     stream_messages,
+    stream_rejected,
     stream_to_topic,
     with_delivery,
     write_topic,
@@ -162,6 +163,16 @@ def test_typed_table_keeps_a_topic_field_of_the_documents(spark, folder):
     assert {tuple(r) for r in got} == {("a", "own", 1), ("b", None, 2)} and len(got) == 2
 
 
+def test_typed_table_and_quarantine_hold_everything(spark, mixed, folder):
+    table = topic_to_table(spark, mixed, f"{folder}/out", f"{folder}/ck1", schema=K)
+    stream = stream_topic(spark, mixed, "earliest")
+    rejects = stream_rejected(stream, f"{folder}/bad", f"{folder}/ck2")
+    run_all([table, rejects], check_every=0.2)
+    rows, bad = spark.read.parquet(f"{folder}/out"), rejected_messages(spark, f"{folder}/bad")
+    assert rows.count() + bad.count() == read_topic(spark, mixed).count()
+    assert bad.count() == read_documents(spark, f"{folder}/bad").count() > 0
+
+
 def test_raw_messages_are_routed_whole(spark, mixed, folder):
     messages = stream_topic(spark, mixed, "earliest")
     for _ in range(2):

@@ -126,6 +126,8 @@ def topic_to_table(
     Without a schema, it is inferred once, see ``infer_schema``.  Files are
     kept in one folder per topic; other formats get the topic as a column,
     called ``_topic`` where the documents have a ``topic`` of their own.
+    Messages that are no objects are not in the table: ``stream_rejected``
+    over the same source keeps them.
     """
     if schema is None:
         schema = infer_schema(read_topic(spark, source), sample=sample)

@@ -110,6 +110,8 @@ def oracle() -> dict[str, str]:
         " CAST(c_acctbal AS VARCHAR), c_mktsegment]) AS cell FROM customer",
         "text_serialise": "SELECT event_id, hex(encode(CAST(value AS VARCHAR))) AS bytes"
         " FROM events",
+        "stream_rejected": f"{_MIXED} SELECT id, status, value AS raw FROM classified"
+        " WHERE status <> 'stored'",
         "stream_typed_table": f"{_MESSAGES} SELECT topic, {_K.format('value')} AS k FROM messages",
         "topic_copy": f"{_MESSAGES} SELECT {_LOG} FROM messages",
         "kpi_count": _KPI,

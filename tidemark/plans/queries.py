@@ -38,7 +38,12 @@ from tidemark.operators.union import tables_to_topic
 from tidemark.plans.flows import publish_tables, topic_to_documents, topic_to_kpi, topic_to_table
 from tidemark.plans.relations import messages, mixed_messages, table
 from tidemark.session import configure, run_dir
-from tidemark.sources.documents import collection_scan, read_documents, read_messages
+from tidemark.sources.documents import (
+    collection_scan,
+    read_documents,
+    read_messages,
+    rejected_messages,
+)
 from tidemark.sources.pages import flatten_pages, page_schema, result_pages
 from tidemark.sources.tables import qualified_scan, text_lines
 from tidemark.sources.topics import (
@@ -56,6 +61,7 @@ from tidemark.streaming.sinks import (
     store_documents,
     store_topic_catalog,
     stream_messages,
+    stream_rejected,
     stream_to_topic,
     write_topic,
 )
@@ -438,6 +444,18 @@ def _stream_typed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("topic string, k bigint").parquet(out)
 
 
+@_query("stream_rejected")
+def _stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, out = run_dir(spark, "mixed"), run_dir(spark, "rejected")
+    mixed = mixed_messages(spark, sf_dir).withColumnRenamed("id", "key")
+    write_topic(mixed, "mixed", format="parquet", path=path)
+    stream = stream_topic(spark, TopicSource(format="parquet", path=path), "earliest")
+    stream_rejected(stream, out, f"{out}-checkpoint").awaitTermination()
+    return rejected_messages(spark, out).select(
+        F.col("key").cast("string").alias("id"), "status", F.col("raw").cast("string").alias("raw")
+    )
+
+
 @_query("topic_copy")
 def _topic_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = _topic_folder(spark, sf_dir, "topics")

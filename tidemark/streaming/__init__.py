@@ -9,6 +9,7 @@ from tidemark.streaming.sinks import (
     store_topic_catalog,
     stream_documents,
     stream_messages,
+    stream_rejected,
     stream_to_topic,
     topic_catalog,
     write_topic,
@@ -27,6 +28,7 @@ __all__ = [
     "store_topic_catalog",
     "stream_documents",
     "stream_messages",
+    "stream_rejected",
     "stream_to_topic",
     "topic_catalog",
     "with_delivery",

@@ -115,6 +115,14 @@ def stream_documents(
     )
 
 
+def stream_rejected(
+    messages: DataFrame, path: str, checkpoint: str, *, every: str | None = None
+) -> StreamingQuery:
+    """Keep only what cannot become a document: the quarantine beside a typed table."""
+    rejected = as_documents(messages).where(F.col("status") != STORED)
+    return start(rejected, checkpoint, path=path, partition_by=("status", "topic"), every=every)
+
+
 def stream_messages(
     messages: DataFrame, path: str, checkpoint: str, *, every: str | None = None
 ) -> StreamingQuery:
