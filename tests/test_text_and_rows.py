@@ -3,6 +3,7 @@
 import datetime as dt
 import decimal
 import json
+from random import Random
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -60,6 +61,22 @@ def test_iso_equals_isoformat(spark):
     assert got == [t and t.isoformat() for t in TIMES]
 
 
+def test_any_time_equals_isoformat(spark):
+    random = Random(3)
+    span = int((dt.datetime.max - dt.datetime.min).total_seconds())
+    times = [
+        dt.datetime.min
+        + dt.timedelta(
+            seconds=random.randrange(span),
+            microseconds=random.choice([0, 10 ** random.randrange(6), random.randrange(10**6)]),
+        )
+        for _ in range(500)
+    ]
+    df = spark.createDataFrame(list(enumerate(times)), "i int, t timestamp_ntz")
+    got = {r["i"]: r["t"] for r in iso_timestamps(df).collect()}
+    assert got == {i: t.isoformat() for i, t in enumerate(times)}
+
+
 def test_local_times_do_not_depend_on_the_session_zone(spark):
     gap = dt.datetime(2024, 3, 10, 2, 30)  # this local time does not exist in New York
     df = spark.createDataFrame([(gap,)], "t timestamp_ntz")
