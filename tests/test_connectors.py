@@ -5,6 +5,7 @@ from types import SimpleNamespace
 import pytest
 
 from tidemark.sources import TopicSource, qualified_scan, read_topic, scan_jdbc, split_name, stream_topic
+from tidemark.streaming.sinks import broker_messages
 
 
 class _Reader:
@@ -48,6 +49,16 @@ def test_stream_of_a_broker_starts_at_the_latest_message():
     assert asked["startingOffsets"] == "earliest" and asked["maxOffsetsPerTrigger"] == "9"
 
 
+def test_messages_for_a_broker_are_bytes(spark):
+    df = spark.createDataFrame([(7, b"\xff\x00", "own", 1)], "key int, value binary, topic string, n int")
+    sent = broker_messages(df)
+    assert sent.schema.simpleString() == "struct<key:binary,value:binary,topic:string>"
+    assert tuple(sent.first()) == (b"7", b"\xff\x00", "own")
+    assert broker_messages(df.select("value"), "t").first().asDict() == {
+        "value": b"\xff\x00", "topic": "t",
+    }
+
+
 def test_remote_table_is_read_in_ranges():
     secret = {"user": "u", "password": "p", "driver": "some.Driver"}
     asked = scan_jdbc(_session(), "jdbc:x://h", "s.t", "id", 0, 10**9, 64, secret)

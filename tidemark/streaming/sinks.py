@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.values import wrap_document
+from tidemark.functions.values import text_bytes, wrap_document
 from tidemark.operators.counting import kpi_count
 from tidemark.operators.parsing import STORED, parse_documents
 from tidemark.sources.documents import STORE
@@ -16,7 +16,16 @@ from tidemark.sources.topics import append_topic
 from tidemark.streaming.queries import start
 
 _TOPIC_COLUMNS = ("key", "value", "topic", "partition", "offset", "timestamp", "timestampType")
-_BROKER_COLUMNS = ("key", "value", "topic")
+
+
+def broker_messages(df: DataFrame, topic: str | None = None) -> DataFrame:
+    """The columns a broker takes: ``value`` and ``key`` as bytes, and the topic, if any."""
+    columns = [text_bytes(F.col(c)).alias(c) for c in ("key", "value") if c in df.columns]
+    if topic is not None:
+        columns.append(F.lit(topic).alias("topic"))
+    elif "topic" in df.columns:
+        columns.append(F.col("topic"))
+    return df.select(*columns)
 
 
 def write_topic(
@@ -36,10 +45,7 @@ def write_topic(
     if format != "kafka":
         append_topic(df, path, topic, partitions, format)
         return
-    message = df.select(*[F.col(c) for c in _BROKER_COLUMNS if c in df.columns])
-    if topic is not None:
-        message = message.withColumn("topic", F.lit(topic))
-    message.write.format("kafka").options(**(options or {})).save()
+    broker_messages(df, topic).write.format("kafka").options(**(options or {})).save()
 
 
 def stream_to_topic(
@@ -52,9 +58,10 @@ def stream_to_topic(
     every: str | None = None,
 ) -> StreamingQuery:
     """Publish a stream of messages; a directory keeps the positions they came with."""
-    wanted = _BROKER_COLUMNS if format == "kafka" else _TOPIC_COLUMNS
-    messages = df.select(*[F.col(c) for c in wanted if c in df.columns])
-    by = () if format == "kafka" else ("topic",)
+    if format == "kafka":
+        messages, by = broker_messages(df), ()
+    else:
+        messages, by = df.select(*[F.col(c) for c in _TOPIC_COLUMNS if c in df.columns]), ("topic",)
     return start(
         messages,
         checkpoint,
