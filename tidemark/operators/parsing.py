@@ -200,7 +200,7 @@ def infer_schema(
     objects = only_documents(messages, value)
     if sample is not None:
         if sample > LARGEST_SAMPLE:
-            raise ValueError(f"a sample has up to {LARGEST_SAMPLE} objects; leave it out to use all")
+            raise ValueError(f"a sample has up to {LARGEST_SAMPLE} objects; without it, use all")
         if order_by:
             objects = objects.orderBy(*[named(c) for c in order_by])
         texts = objects.select(_text_of(objects, value).alias("value")).limit(sample).collect()

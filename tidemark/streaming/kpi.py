@@ -55,5 +55,6 @@ def running_kpi(
 
 def read_kpi_store(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
     """The stored counts: the group fields of ``schema``, ``count`` and ``batch_id``."""
-    full = T.StructType(list(schema.fields)).add("count", T.LongType()).add("batch_id", T.LongType())
+    counted = [T.StructField(name, T.LongType()) for name in ("count", "batch_id")]
+    full = T.StructType([*schema.fields, *counted])
     return spark.read.schema(full).parquet(store).select(*[named(n) for n in full.fieldNames()])

@@ -30,8 +30,10 @@ def start(
 
     The checkpoint is required: it is what makes a restart go on instead of
     starting over.  A folder written by one query belongs to it: readers go by
-    the list of files that query committed, and would not see other writers.  ``every`` is a pause such as ``"10 seconds"``; without it
-    the query works off what is there, in bounded batches, and stops.
+    the list of files that query committed, and would not see other writers.
+
+    ``every`` is a pause such as ``"10 seconds"``; without it the query works
+    off what is there, in bounded batches, and stops.
     """
     if not checkpoint:
         raise ValueError("a streaming write needs a checkpoint folder")
