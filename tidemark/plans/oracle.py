@@ -82,7 +82,7 @@ def oracle() -> dict[str, str]:
         "hide_internal_columns": f"{_MESSAGES} SELECT {_K.format('value')} AS k"
         " FROM messages WHERE topic = 'click'",
         "topic_sql": f"{_MESSAGES} SELECT {_K.format('value')} AS k, count(*) AS n FROM messages"
-        f" WHERE topic IN ('click', 'view') AND {_K.format('value')} >= 50 GROUP BY 1",
+        " WHERE topic IN ('click', 'view') GROUP BY 1",
         "internal_columns": f"{_MESSAGES} SELECT {_LOG}, timestamp, {_K.format('value')} AS k"
         " FROM messages WHERE topic = 'click'",
         "collection_scan": f"{_MESSAGES} SELECT value AS message FROM messages"

@@ -210,7 +210,7 @@ def _topic_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     click, view = topic_views(spark, source, topics, prefix="topic_")
     return spark.sql(
         f"SELECT k, count(*) AS n FROM (SELECT k FROM {click} UNION ALL SELECT k FROM {view})"
-        " WHERE k >= 50 GROUP BY k"
+        " GROUP BY k"
     )
 
 
