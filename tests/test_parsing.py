@@ -112,6 +112,11 @@ def test_generated_messages(spark):
 
 def test_only_objects_have_a_document(messages):
     parsed = parse_documents(messages).collect()
+    alone = parse_documents(messages, doc=None)
+    assert alone.columns == ["i", "value", "status"]
+    assert sorted(tuple(r) for r in alone.select("i", "status").collect()) == sorted(
+        (r["i"], r["status"]) for r in parsed
+    )
     assert {r["value"] for r in parsed if r["doc"] is not None} == set(OBJECTS)
     assert {r["value"] for r in only_documents(messages).collect()} == set(OBJECTS)
     assert {r["i"] for r in apply_schema(messages, SCHEMA, keep=["i"]).collect()} == set(

@@ -60,9 +60,9 @@ def _is_braced() -> Column:
 
 
 def parse_documents(
-    df: DataFrame, value: str = "value", doc: str = "doc", status: str = "status"
+    df: DataFrame, value: str = "value", doc: str | None = "doc", status: str = "status"
 ) -> DataFrame:
-    """Add ``status`` and, for objects, the parsed document ``doc`` (variant).
+    """Add ``status`` and, for objects, the parsed document ``doc`` (variant; None: leave out).
 
     A bad message is data, not an error: nothing here can fail a query.  The
     result comes out of a generator, because Spark would push a filter on it
@@ -72,10 +72,11 @@ def parse_documents(
     framed = _sealed(df, value).withColumn(
         "__status", F.when(_is_json(F.col("__parsed")), of_json).otherwise(MALFORMED)
     )
-    parsed = F.when(
-        F.col("__status") == STORED, F.try_variant_get("__parsed", "$[0]", "variant")
-    )
-    found = F.array(F.struct(F.col("__status").alias(status), parsed.alias(doc)))
+    results = [F.col("__status").alias(status)]
+    if doc is not None:
+        parsed = F.try_variant_get("__parsed", "$[0]", "variant")
+        results.append(F.when(F.col("__status") == STORED, parsed).alias(doc))
+    found = F.array(F.struct(*results))
     kept = [named(c) for c in df.columns if c not in (status, doc)]
     return framed.select(*kept, found.alias("__found")).select(
         *kept, F.inline(_only_element("__found"))

@@ -277,7 +277,7 @@ def _flatten_parsed_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("classify_messages")
 def _classify_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_documents(mixed_messages(spark, sf_dir)).select("id", "status")
+    return parse_documents(mixed_messages(spark, sf_dir), doc=None).select("id", "status")
 
 
 @_query("parse_document")
