@@ -21,20 +21,22 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")
 
 
-def cut(frame: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder of the cluster.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; a session without it (tests on one machine) gets its own."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base.rstrip("/")
 
-    The folder is ``spark.checkpoint.dir``; a session without it (tests on one
-    machine) gets one of its own.
-    """
+
+def cut(frame: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder of the cluster."""
     context = frame.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        base = frame.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-            base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        context.setCheckpointDir(base)
+        context.setCheckpointDir(shared_folder(frame.sparkSession))
     return frame.checkpoint()
 
 

@@ -7,12 +7,52 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality_rules, simhash_dedup
+from tidemark.llm import (
+    decontamination,
+    mixing,
+    quality_rules,
+    sharding,
+    simhash_dedup,
+    url_filter,
+)
 from tidemark.llm.common import table
 
+#: Rules of the URL query: host, start of the path, verdict.
+URL_RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text").cast("binary")
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.coalesce(F.crc32(text), F.lit(0)).cast("long").alias("text_crc32"),
+    )
+    return sharding.shard(rows).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     # Counts of the texts are made once: the certificate and the verdict read the narrow cut point.
@@ -27,6 +67,25 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    drawn = mixing.cut(docs.select("doc_id", *mixing.draw(docs, mixing.SEED)))
+    mixed = mixing.with_copies(drawn, mixing.plan_mix(drawn))
+    return mixed.select(
+        "doc_id",
+        F.col("__size").alias("size"),
+        F.col("__total").alias("source_size"),
+        F.col("__target").cast("double").alias("target"),
+        (F.col("__copies") * F.col("__size")).cast("long").alias("taken"),
+        F.col("__copies").cast("int").alias("copies"),
+    )
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.report(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.components(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -36,6 +95,10 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     return {
+        "op3_sharding": op3_sharding,
+        "op4_url_filter": op4_url_filter,
         "op5_quality_rules": op5_quality_rules,
+        "op7_mixing": op7_mixing,
+        "op8_decontamination": op8_decontamination,
         "op10_simhash_dedup": op10_simhash_dedup,
     }
