@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+import zlib
+from collections.abc import Callable, Iterator
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    compression_classifier,
     decontamination,
     mixing,
     quality_rules,
     sharding,
     simhash_dedup,
+    token_counts,
+    token_files,
     url_filter,
 )
-from tidemark.llm.common import table
+from tidemark.llm.common import shared_folder, table
 
 #: Rules of the URL query: host, start of the path, verdict.
 URL_RULES = (
@@ -29,6 +36,26 @@ URL_RULES = (
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = token_counts.zipf_scores(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), scores)
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/token-ids-{uuid.uuid4().hex[:12]}"
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer, path)
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            crc = pa.array([zlib.crc32(i) for i in batch.column(3).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], crc], ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return token_files.read_ids(spark, path).mapInArrow(
+        digest, "doc_id long, start long, n_tokens long, ids_crc32 long"
+    )
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text").cast("binary")
     rows = table(spark, sf_dir, "documents").select(
@@ -86,6 +113,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op9_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return compression_classifier.score(docs, compression_classifier.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.components(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -95,10 +127,13 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     return {
+        "op1_token_counts": op1_token_counts,
+        "op2_token_files": op2_token_files,
         "op3_sharding": op3_sharding,
         "op4_url_filter": op4_url_filter,
         "op5_quality_rules": op5_quality_rules,
         "op7_mixing": op7_mixing,
         "op8_decontamination": op8_decontamination,
+        "op9_compression_classifier": op9_compression_classifier,
         "op10_simhash_dedup": op10_simhash_dedup,
     }
