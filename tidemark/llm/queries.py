@@ -18,6 +18,7 @@ from tidemark.llm import (
     quality_rules,
     sharding,
     simhash_dedup,
+    suffix_dedup,
     token_counts,
     token_files,
     url_filter,
@@ -94,6 +95,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     drawn = mixing.cut(docs.select("doc_id", *mixing.draw(docs, mixing.SEED)))
@@ -132,6 +137,7 @@ def registered() -> dict[str, Query]:
         "op3_sharding": op3_sharding,
         "op4_url_filter": op4_url_filter,
         "op5_quality_rules": op5_quality_rules,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_mixing": op7_mixing,
         "op8_decontamination": op8_decontamination,
         "op9_compression_classifier": op9_compression_classifier,
