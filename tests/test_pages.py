@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources import flatten_pages, page_schema, result_pages
+from tidemark.functions.rowtext import row_json_array, row_json_object
+from tidemark.sources import flatten_pages, page_schema, page_schemas, pages_with, result_pages
 
 SIMPLE = """
 SELECT id, IF(id % 5 = 0, null, concat('é"\\\\', id, '\n')) AS s, id / 7 AS f, id % 2 = 0 AS b,
@@ -105,7 +106,65 @@ def test_schema_needs_a_page_with_columns(spark):
         page_schema(spark.createDataFrame([("{}",), ("x",)], "body string"))
 
 
-def test_a_cell_that_does_not_fit_is_an_error(spark):
-    pages = spark.createDataFrame([('{"data":[["x"]]}',)], "body string")
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT|INVALID_VARIANT_CAST"):
-        flatten_pages(pages, T.StructType().add("a", "long")).select(F.sum("a")).collect()
+def test_rows_that_do_not_fit_are_kept(spark):
+    data = [["x", "a"], [1, "b"], [2], [3, "c", "more"], [None, None]]
+    pages = spark.createDataFrame([(json.dumps({"data": data}),)], "body string")
+    for dtype in ("long", "decimal(20,0)"):
+        schema = T.StructType().add("n", dtype).add("s", "string")
+        rows = flatten_pages(pages, schema, unfit="bad").collect()
+        assert [(None if r["n"] is None else int(r["n"]), r["s"]) for r in rows] == [
+            (None, "a"), (1, "b"), (2, None), (3, "c"), (None, None),
+        ]
+        assert [r["bad"] is not None for r in rows] == [True, False, True, True, False]
+        assert "more" in rows[3]["bad"]
+
+
+@pytest.mark.parametrize(
+    "name,expected",
+    [
+        ("timestamp with time zone", "timestamp"),
+        ("timestamp(3) with time zone", "timestamp"),
+        ("array(bigint)", "array<bigint>"),
+        ("map(varchar(10), array(integer))", "map<string,array<int>>"),
+        ("row(a integer, \"B c\" row(x varchar, double))", "struct<a:int,B c:struct<x:string,field1:double>>"),
+        ("time(6)", "string"),
+    ],
+)
+def test_nested_type_names_of_envelopes(spark, name, expected):
+    body = json.dumps({"columns": [{"name": "c", "type": name}], "data": []})
+    schema = page_schema(spark.createDataFrame([(body,)], "body string"))
+    assert schema["c"].dataType.simpleString() == expected
+
+
+def test_two_result_sets_flatten_to_their_own_tables(spark):
+    one = spark.createDataFrame([(1, "x")], "a long, b string")
+    two = spark.createDataFrame([("7", 2.5)], "b string, c double")
+    pages = result_pages(one).unionByName(result_pages(two))
+    found = {}
+    for header, schema in page_schemas(pages).items():
+        rows = flatten_pages(pages_with(pages, header), schema)
+        found[tuple(rows.columns)] = [tuple(r) for r in rows.collect()]
+    assert found == {("a", "b"): [(1, "x")], ("b", "c"): [("7", 2.5)]}
+
+
+def test_instants_survive_a_clock_change(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        times = spark.createDataFrame([(1730611800,), (1730615400,)], "s long").select(
+            F.timestamp_seconds("s").alias("t")
+        )
+        texts = [r[0] for r in times.select(row_json_array(times)).collect()]
+        assert texts == ['["2024-11-03T01:30:00-04:00"]', '["2024-11-03T01:30:00-05:00"]']
+        objects = [r[0] for r in times.select(row_json_object(times)).collect()]
+        assert len(set(objects)) == 2
+        back = flatten_pages(result_pages(times), times.schema).select(F.unix_seconds("t"))
+        assert sorted(r[0] for r in back.collect()) == [1730611800, 1730615400]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_times_of_day_have_a_text(spark):
+    row = spark.sql("SELECT TIME'10:20:30.5' AS t, TIMESTAMP_NTZ'2024-01-02 03:04:05' AS n")
+    assert row.select(row_json_object(row)).first()[0] == '{"t":"10:20:30.500000","n":"2024-01-02T03:04:05"}'
+    assert row.select(row_json_array(row)).first()[0] == '["10:20:30.500000", "2024-01-02T03:04:05"]'

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import itertools
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -157,3 +158,40 @@ def test_the_mark_reaches_the_scan(spark, sf_dir):
     assert "Exchange" not in text
     newest = orders.agg(F.max("o_orderdate")).first()[0]
     assert isinstance(newest, dt.datetime)
+
+
+@pytest.mark.parametrize("limit", [None, 1, 3])
+@pytest.mark.parametrize("dtype", ["int", "double"])
+def test_rows_without_a_cursor_come_once(spark, folder, limit, dtype):
+    nan = float("nan") if dtype == "double" else None
+    rows = [(1, 5), (2, None), (3, nan), (4, 5), (None, 5), (None, None), (None, None), (5, None), (6, 9), (None, 9)]
+    schema = f"id int, c {dtype}"
+    grown = [rows, [*rows, (7, None), (8, 9), (9, nan), (10, 11)]]
+    now = [grown[0]]
+
+    def scan():
+        cast = [(i, None if c is None else (float(c) if dtype == "double" else c)) for i, c in now[-1]]
+        return spark.createDataFrame(cast, schema)
+
+    watch = _watch(spark, folder, scan, limit=limit)
+    for state in grown:
+        now.append(state)
+        while watch.advance():
+            pass
+    seen = sorted(str(r["id"]) for r in watch.seen().collect())
+    assert seen == sorted(str(i) for i, _ in grown[-1])
+
+
+def test_nan_is_no_mark(spark):
+    df = spark.createDataFrame([(1, 2.0), (2, float("nan")), (3, None)], "id int, c double")
+    assert high_water_mark(df, "c").first()[0] == 2.0
+    assert _ids(poll(df, "c", mark=Mark("1.0"))) == [1]
+
+
+def test_a_late_arrival_is_seen_at_a_short_interval(spark, folder):
+    rows = [[(1, 1)], [(1, 1), (2, 2)], [(1, 1), (2, 2)]]
+    states = iter(rows)
+    watch = _watch(spark, folder, lambda: spark.createDataFrame(next(states), "id int, c int"))
+    began = time.monotonic()
+    assert list(watch.run(every=0.3, polls=3)) == [1, 1, 0]
+    assert time.monotonic() - began >= 0.6

@@ -31,6 +31,7 @@ from tidemark.sources import (
 from tidemark.streaming import (
     deliver,
     delivery_counts,
+    KpiStore,
     kpi_per_batch,
     read_kpi_store,
     run_all,
@@ -55,7 +56,7 @@ def _bag(df):
 @pytest.fixture
 def events(spark, sf_dir, folder):
     path = f"{folder}/log"
-    write_topic(messages(spark, sf_dir, positions=True), format="parquet", path=path)
+    write_topic(messages(spark, sf_dir), format="parquet", path=path)
     return TopicSource(format="parquet", path=path)
 
 
@@ -78,10 +79,8 @@ def test_stored_plus_rejected_is_the_input(spark, mixed, folder):
     batch = parse_documents(log).groupBy("status").count()
     assert _bag(batch) == _bag(read_documents(spark, store).groupBy("status").count())
     assert stored.where("doc IS NULL OR raw IS NOT NULL").isEmpty()
-    raw = rejected.select(F.col("raw").alias("value"), "offset")
-    assert _bag(raw.join(log.select("offset", "value"), ["offset", "value"])) == _bag(
-        raw.select("offset", "value")
-    )
+    raw = rejected.select("key", F.col("raw").alias("value"))
+    assert _bag(raw.join(log.select("key", "value"), ["key", "value"])) == _bag(raw)
 
 
 def test_restart_adds_nothing_and_picks_up_new_messages(spark, events, folder):
@@ -119,17 +118,17 @@ def test_kpi_stores_agree_with_the_batch_count(spark, events, folder):
     query = kpi_per_batch(rows, "k", store=f"{folder}/per", checkpoint=f"{folder}/ck1")
     query.awaitTermination()
     assert len(query.recentProgress) > 2
-    per_batch = read_kpi_store(spark, f"{folder}/per", K)
+    per_batch = read_kpi_store(spark, f"{folder}/per", K, f"{folder}/ck1")
     assert _bag(kpi_totals(per_batch, "k")) == _bag(batch)
     running_kpi(rows, "k", store=f"{folder}/run", checkpoint=f"{folder}/ck2").awaitTermination()
-    running = read_kpi_store(spark, f"{folder}/run", K)
+    running = read_kpi_store(spark, f"{folder}/run", K, f"{folder}/ck2")
     assert _bag(latest_kpi(running, "k")) == _bag(batch)
     assert running.count() > batch.count()
     whole = running_kpi(
         rows, "k", store=f"{folder}/all", checkpoint=f"{folder}/ck3", mode="complete"
     )
     whole.awaitTermination()
-    stored = read_kpi_store(spark, f"{folder}/all", K)
+    stored = read_kpi_store(spark, f"{folder}/all", K, f"{folder}/ck3")
     last = stored.agg(F.max("batch_id")).first()[0]
     assert _bag(stored.where(F.col("batch_id") == last).select("k", "count")) == _bag(batch)
 
@@ -138,16 +137,60 @@ def test_a_repeated_batch_does_not_count_twice(spark, events, folder):
     source = stream_topic(spark, events, "earliest")
     rows = apply_schema(source, K)
     store = f"{folder}/kpi"
-    # The same first batch under two checkpoints, as after a lost commit.
+    # The same first batch under two checkpoints: each has its own counts.
     for checkpoint in ("one", "two"):
         kpi_per_batch(rows, "k", store=store, checkpoint=f"{folder}/{checkpoint}").awaitTermination()
-    total = read_kpi_store(spark, store, K).agg(F.sum("count")).first()[0]
-    assert total == read_topic(spark, events).count()
+    for checkpoint in ("one", "two"):
+        total = read_kpi_store(spark, store, K, f"{folder}/{checkpoint}").agg(F.sum("count")).first()[0]
+        assert total == read_topic(spark, events).count()
+
+
+@pytest.mark.parametrize("format", ["parquet", "json"])
+def test_an_old_store_does_not_mix_in(spark, folder, format):
+    store, checkpoint = KpiStore(f"{folder}/kpi", format), f"{folder}/ck"
+    old = spark.createDataFrame([(1, 10)], "k long, count long")
+    for batch in range(3):
+        store.save(old, batch, checkpoint)
+    assert store.read(spark, K, checkpoint).agg(F.sum("count")).first()[0] == 30
+    # The checkpoint was deleted and the stream started anew.
+    for batch in range(2):
+        store.save(old, batch, checkpoint)
+    assert store.read(spark, K, checkpoint).agg(F.sum("count")).first()[0] == 20
+
+
+def test_fields_of_mixed_types_count_by_their_text(spark, folder):
+    log = spark.createDataFrame([('{"k":1}',), ('{"k":"1"}',), ('{"k":1}',), ("{}",)], "value string")
+    append_topic(log, f"{folder}/log", "t")
+    source = TopicSource(("t",), format="parquet", path=f"{folder}/log")
+    topic_to_kpi(spark, source, ["k"], f"{folder}/kpi", f"{folder}/ck").awaitTermination()
+    text = T.StructType().add("k", T.StringType())
+    found = read_kpi_store(spark, f"{folder}/kpi", text, f"{folder}/ck").select("k", "count").collect()
+    assert {tuple(r) for r in found} == {("1", 2), ('"1"', 1), (None, 1)}
+
+
+def test_a_restart_keeps_the_schema_and_loses_nothing(spark, folder):
+    source, out = TopicSource(("t",), format="parquet", path=f"{folder}/log"), f"{folder}/out"
+    parts = [['{"k":1,"Name":"a"}'], ['{"k":"x"}', '{"name":"b","k":2}', '{"k":7.5}', "junk", "[1]", '{"k":null}', '{"k":99999999999999999999}']]
+    for part in parts:
+        append_topic(spark.createDataFrame([(v,) for v in part], "value string"), f"{folder}/log", "t")
+        topic_to_table(spark, source, out, f"{folder}/ck", quarantine=True).awaitTermination()
+    table = spark.read.schema("Name string, k bigint, _rest variant, _raw binary, _status string").parquet(out)
+    found = table.select("k", "Name", F.to_json("_rest"), F.col("_raw").cast("string"), "_status").collect()
+    assert {tuple(r) for r in found} == {
+        (1, "a", None, None, "stored"),
+        (None, None, '{"k":"x"}', None, "stored"),
+        (2, None, '{"k":2,"name":"b"}', None, "stored"),
+        (None, None, '{"k":7.5}', None, "stored"),
+        (None, None, '{"k":99999999999999999999}', None, "stored"),
+        (None, None, None, None, "stored"),
+        (None, None, None, "junk", "malformed"),
+        (None, None, None, "[1]", "not_document"),
+    }
 
 
 def test_kpi_flow_infers_its_schema(spark, events, folder):
     topic_to_kpi(spark, events, ["k"], f"{folder}/kpi", f"{folder}/ck").awaitTermination()
-    totals = kpi_totals(read_kpi_store(spark, f"{folder}/kpi", K), "k")
+    totals = kpi_totals(read_kpi_store(spark, f"{folder}/kpi", K, f"{folder}/ck"), "k")
     assert _bag(totals) == _bag(kpi_count(apply_schema(read_topic(spark, events), K), "k"))
 
 
@@ -219,8 +262,7 @@ def test_a_cut_short_start_position_is_written_again(spark, folder):
     path = f"{folder}/log"
     source = TopicSource(("t",), format="parquet", path=path)
     append_topic(spark.createDataFrame([("old",)], "value string"), path, "t")
-    schema = "topic string, partition int, __end bigint"
-    spark.createDataFrame([], schema).write.parquet(f"{folder}/start")  # no closing row
+    spark.createDataFrame([], "landed bigint").write.parquet(f"{folder}/start")  # no row yet
     stream = stream_topic(spark, source, "latest", f"{folder}/start")
     start(stream.select("value"), f"{folder}/ck", path=f"{folder}/out").awaitTermination()
     assert spark.read.schema("value binary").parquet(f"{folder}/out").isEmpty()
@@ -361,3 +403,44 @@ def test_no_broker_connector_is_an_error_that_is_reported(spark):
     (report,) = publish_tables(spark, ["t"], "topic", tables={"t": table})
     assert isinstance(report, PublishReport)
     assert "kafka" in report.error.lower()
+
+
+def test_publishing_goes_on_after_a_catalog_and_a_target_that_fail(spark, views, folder):
+    spark.conf.set("spark.sql.catalog.remote", "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog")
+    spark.conf.set("spark.sql.catalog.remote.url", "jdbc:nodriver://nowhere/db")
+    spark.conf.set("spark.sql.catalog.remote.driver", "no.such.Driver")
+    reports = publish_tables(
+        spark, ["remote.s.t", "default.t_nation"], "rows", format="parquet", path=folder
+    )
+    assert [r.rows for r in reports] == [None, 25] and reports[0].error
+    (report,) = publish_tables(
+        spark, ["default.t_nation"], "rows", format="parquet", path="nosuchscheme://x/y"
+    )
+    assert report.rows is None and report.error
+
+
+@pytest.mark.parametrize("format", ["parquet", "json"])
+def test_the_document_store_in_other_formats(spark, mixed, folder, format):
+    store = {"format": format}
+    topic_to_documents(spark, mixed, f"{folder}/s", f"{folder}/ck", **store).awaitTermination()
+    store_documents(read_topic(spark, mixed), f"{folder}/b", **store)
+    columns = ["key", "status", F.to_json("doc").alias("doc"), "raw"]
+    stream = read_documents(spark, f"{folder}/s", **store).select(*columns)
+    assert _bag(stream) == _bag(read_documents(spark, f"{folder}/b", **store).select(*columns))
+    assert stream.count() == read_topic(spark, mixed).count()
+    assert not collection_scan(spark, f"{folder}/s", "mixed", **store).isEmpty()
+    assert not rejected_messages(spark, f"{folder}/s", **store).isEmpty()
+
+
+def test_messages_beyond_the_parser_have_one_verdict(spark, folder):
+    long, deep = '{"k":1,"s":"' + "x" * (21 << 20) + '"}', '{"k":' + "[" * 1001 + "]" * 1001 + "}"
+    log = spark.createDataFrame([(long,), (deep,), ('{"k":1}',), ('{"k":',)], "value string")
+    append_topic(log, f"{folder}/log", "t")
+    source = TopicSource(("t",), format="parquet", path=f"{folder}/log")
+    typed = apply_schema(read_topic(spark, source), K).count()
+    judged = {r["status"]: r["count"] for r in parse_documents(read_topic(spark, source)).groupBy("status").count().collect()}
+    assert typed == judged["stored"] == 1
+    assert judged == {"stored": 1, "unparsed": 2, "malformed": 1}
+    store_documents(read_topic(spark, source), f"{folder}/docs")
+    kept = rejected_messages(spark, f"{folder}/docs").where("status = 'unparsed'")
+    assert sorted(r[0] for r in kept.select(F.length("raw")).collect()) == sorted([len(deep), len(long)])

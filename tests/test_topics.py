@@ -1,14 +1,14 @@
 """Topic directories, subscriptions and topic statistics."""
 
 import collections
+import datetime
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import list_topics, topic_partitions, topic_peek
-from tidemark.plans.relations import dense_positions
-from tidemark.sources import TopicSource, append_topic, read_topic, stream_topic, topic_table, topic_views
+from tidemark.sources import TopicSource, append_topic, read_topic, stream_topic, topic_table, topic_views, utc_time
 from tidemark.sources.topics import ENVELOPE
 
 
@@ -48,7 +48,9 @@ def test_pruned_peek_is_the_same_and_bounds_the_scan(spark, log, folder):
     stored = read_topic(spark, TopicSource(format="parquet", path=folder))
     pruned = topic_peek(stored, prune=True)
     assert sorted(map(str, pruned.collect())) == sorted(map(str, topic_peek(stored).collect()))
-    assert "LessThanOrEqual(offset,15)" in pruned._jdf.queryExecution().executedPlan().toString()
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "offset" in plan.split("PushedFilters")[1].split("]")[0]
+    assert all(f"<= {end}" in plan for end in (15, 13, 0, 3))
     assert topic_peek(stored.where("topic = 'none'"), prune=True).isEmpty()
 
 
@@ -70,20 +72,31 @@ def test_a_directory_reads_like_a_broker(spark, log, folder):
     assert "PartitionFilters: [topic" in plan
 
 
-def test_appended_messages_get_growing_positions(spark, folder):
-    first = spark.range(1000).repartition(6).select(F.col("id").cast("string").alias("value"))
+def test_messages_keep_the_positions_they_bring(spark, folder):
+    first = spark.range(1000).repartition(6).select(F.col("id").cast("string").alias("value"), (F.col("id") * 3).alias("offset"))
     append_topic(first, folder, "t", partitions=3)
-    append_topic(first.withColumn("key", F.lit("same")), folder, "t", partitions=3)
+    append_topic(first.select("value", F.lit("same").alias("key")), folder, "t", partitions=3)
     log = read_topic(spark, TopicSource(("t",), format="parquet", path=folder))
     assert log.count() == 2000
-    assert log.select("offset").distinct().count() == 2000
-    ends = log.groupBy(F.col("key").isNull().alias("first")).agg(
-        F.min("offset").alias("low"), F.max("offset").alias("high")
-    )
-    ends = {r["first"]: r for r in ends.collect()}
-    assert ends[True]["high"] < ends[False]["low"]
-    assert log.where("key is null").select("partition").distinct().count() == 3
-    assert log.where("key is not null").select("partition").distinct().count() == 1
+    given = log.where("key is null")
+    assert {r["offset"] for r in given.collect()} == {3 * i for i in range(1000)}
+    assert given.select("partition").distinct().count() == 3
+    rest = log.where("key is not null")
+    assert rest.where("offset is not null").isEmpty()
+    assert rest.select("partition").distinct().count() == 1
+
+
+def test_local_times_are_stored_as_utc(spark, folder):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        times = [datetime.datetime(2024, 3, 10, 2, 30), datetime.datetime(2024, 11, 3, 1, 30, 0, 5)]
+        log = spark.createDataFrame([("x", t) for t in times], "value string, timestamp timestamp_ntz")
+        append_topic(log, folder, "t")
+        stored = read_topic(spark, TopicSource(("t",), format="parquet", path=folder))
+        assert sorted(r[0] for r in stored.select(utc_time(F.col("timestamp"))).collect()) == times
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_topic_needs_a_name(spark, folder):
@@ -148,19 +161,3 @@ def test_starting_position_is_checked(spark, folder):
         stream_topic(spark, source, "somewhere")
     with pytest.raises(ValueError, match="state"):
         stream_topic(spark, source, "latest")
-
-
-@pytest.mark.parametrize("span", [1, 7, 100, 10_000])
-def test_dense_positions_do_not_depend_on_the_ranges(spark, span):
-    # One group holds most rows; ids have gaps.
-    ids = spark.range(900).select(
-        (F.col("id") * 3 + F.col("id") % 2).alias("id"),
-        F.when(F.col("id") % 4 > 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 5)).alias("g"),
-    )
-    got = dense_positions(ids.repartition(5), ["g"], "id", "n", span).collect()
-    groups = collections.defaultdict(list)
-    for r in got:
-        groups[r["g"]].append((r["id"], r["n"]))
-    assert sum(len(v) for v in groups.values()) == 900
-    for rows in groups.values():
-        assert [n for _, n in sorted(rows)] == list(range(len(rows)))

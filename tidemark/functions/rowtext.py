@@ -15,10 +15,11 @@ from pyspark.sql import types as T
 from tidemark.functions.values import named
 
 _TIMESTAMPS = (T.TimestampType, T.TimestampNTZType)
+_TIMES = (*_TIMESTAMPS, T.TimeType)
 _PLAIN_NUMBERS = (T.IntegralType, T.DecimalType, T.BooleanType)
 
 
-def _iso_text(value: Column, dtype: T.DataType, with_zone: bool) -> Column:
+def _iso_text(value: Column, dtype: T.DataType, with_zone: bool = True) -> Column:
     # The cast drops trailing zeros; ISO text has either no fraction or six digits.
     text = F.replace(value.cast("string"), F.lit(" "), F.lit("T"))
     dot = F.instr(text, ".")
@@ -35,14 +36,14 @@ def _holds_timestamp(dtype: T.DataType) -> bool:
         return _holds_timestamp(dtype.keyType) or _holds_timestamp(dtype.valueType)
     if isinstance(dtype, T.StructType):
         return any(_holds_timestamp(f.dataType) for f in dtype.fields)
-    return isinstance(dtype, _TIMESTAMPS)
+    return isinstance(dtype, _TIMES)
 
 
-def iso_value(value: Column, dtype: T.DataType, with_zone: bool = False) -> Column:
-    """``value`` with every timestamp inside it, at any depth, as ISO-8601 text."""
+def iso_value(value: Column, dtype: T.DataType, with_zone: bool = True) -> Column:
+    """``value`` with every timestamp and time of day inside it, at any depth, as ISO-8601 text."""
     if not _holds_timestamp(dtype):
         return value
-    if isinstance(dtype, _TIMESTAMPS):
+    if isinstance(dtype, _TIMES):
         return _iso_text(value, dtype, with_zone)
     if isinstance(dtype, T.ArrayType):
         return F.transform(value, lambda item: iso_value(item, dtype.elementType, with_zone))
@@ -64,12 +65,13 @@ def iso_value(value: Column, dtype: T.DataType, with_zone: bool = False) -> Colu
 
 
 def iso_timestamps(
-    df: DataFrame, columns: Iterable[str] | None = None, with_zone: bool = False
+    df: DataFrame, columns: Iterable[str] | None = None, with_zone: bool = True
 ) -> DataFrame:
     """Replace the timestamps in ``columns`` (default: all) by ISO-8601 text.
 
-    No fraction when it is zero, six digits otherwise.  ``with_zone`` adds
-    the session offset to instants (``timestamp``); local times never get one.
+    No fraction when it is zero, six digits otherwise.  Instants (``timestamp``)
+    carry the session offset, so that two of them never read alike when clocks
+    change, unless ``with_zone`` is off; local times never get one.
     """
     chosen = set(df.columns if columns is None else columns)
     return df.select(
@@ -93,8 +95,8 @@ def _json_cell(value: Column, dtype: T.DataType) -> Column:
         text = value.cast("string")
         # JSON has no literal for these three.
         text = F.when(text.isin("NaN", "Infinity", "-Infinity"), _quoted(text)).otherwise(text)
-    elif isinstance(dtype, _TIMESTAMPS):
-        text = _quoted(_iso_text(value, dtype, False))
+    elif isinstance(dtype, _TIMES):
+        text = _quoted(_iso_text(value, dtype))
     elif isinstance(dtype, T.DateType):
         text = _quoted(value.cast("string"))
     elif isinstance(dtype, T.VariantType):

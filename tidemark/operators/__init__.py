@@ -5,12 +5,14 @@ from tidemark.operators.parsing import (
     MALFORMED,
     NOT_DOCUMENT,
     STORED,
+    UNPARSED,
     apply_schema,
     flatten_struct,
     infer_schema,
     only_documents,
     parse_documents,
     parse_struct,
+    typed_messages,
 )
 from tidemark.operators.polling import Mark, TableWatch, high_water_mark, poll
 from tidemark.operators.topic_stats import list_topics, topic_partitions, topic_peek
@@ -22,6 +24,7 @@ __all__ = [
     "STORED",
     "Mark",
     "TableWatch",
+    "UNPARSED",
     "apply_schema",
     "flatten_struct",
     "high_water_mark",
@@ -38,4 +41,5 @@ __all__ = [
     "tables_to_topic",
     "topic_partitions",
     "topic_peek",
+    "typed_messages",
 ]

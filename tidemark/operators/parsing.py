@@ -7,6 +7,7 @@ parse keeps malformed input apart from missing fields.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,14 @@ STORED = "stored"  # a JSON object: can be stored as a document
 NOT_DOCUMENT = "not_document"  # valid JSON, but an array or a scalar
 MALFORMED = "malformed"  # not UTF-8, not JSON, empty or NULL
 
+UNPARSED = "unparsed"  # an object by its first character, beyond the parser's limits
+REST = "_rest"  # the variant column with objects that a typed table cannot hold whole
+
+#: Bytes of a message and levels of nesting up to which the variant parser goes; longer
+#: or deeper text is told apart from malformed text without building a document.
+LARGEST_DOCUMENT = 16 << 20
+DEEPEST_DOCUMENT = 1000
+
 LARGEST_SAMPLE = 10_000  # a sample passes through the driver
 
 _JSON_SPACE = " \t\n\r"
@@ -59,6 +68,12 @@ def _is_braced() -> Column:
     return F.substring(F.ltrim("__text", F.lit(_JSON_SPACE)), 1, 1) == "{"
 
 
+def _beyond_parser() -> Column:
+    """Whether a text may be too long or too deep for the parser, rather than broken."""
+    opened = F.length(F.regexp_replace("__text", r"[^\[{]", ""))
+    return (F.octet_length("__text") > LARGEST_DOCUMENT) | (opened > DEEPEST_DOCUMENT)
+
+
 def parse_documents(
     df: DataFrame, value: str = "value", doc: str | None = "doc", status: str = "status"
 ) -> DataFrame:
@@ -69,8 +84,9 @@ def parse_documents(
     below a plain projection and parse every message twice.
     """
     of_json = F.when(_is_braced(), STORED).otherwise(NOT_DOCUMENT)
+    other = F.when(_is_braced() & _beyond_parser(), UNPARSED).otherwise(MALFORMED)
     framed = _sealed(df, value).withColumn(
-        "__status", F.when(_is_json(F.col("__parsed")), of_json).otherwise(MALFORMED)
+        "__status", F.when(_is_json(F.col("__parsed")), of_json).otherwise(other)
     )
     results = [F.col("__status").alias(status)]
     if doc is not None:
@@ -251,6 +267,8 @@ def _sealed_structs(df: DataFrame, schema: T.StructType, value: str) -> tuple[Da
     sealed = (F.size(rows) == 2) & (F.get(rows, F.lit(1)).getField("__seal") == F.col("__seal"))
     # This parser also takes INF for a number, which other decoders do not.
     clean = F.col("__read").getField("__left_out").isNull() & ~F.col("__text").contains("INF")
+    # It also takes longer texts than the document parser; both paths go by the latter.
+    clean = clean & (F.octet_length("__text") <= LARGEST_DOCUMENT)
     is_object = F.when(clean, sealed & first.isNotNull()).otherwise(
         _is_json(_parsed()) & _is_braced()
     )
@@ -273,6 +291,66 @@ def apply_schema(
     return found.select(*kept, F.inline(_only_element("__found"))).drop("__seal")
 
 
+def _path(name: str) -> str:
+    quote = "'" if '"' in name else '"'
+    return f"$[{quote}{name}{quote}]"
+
+
+#: Types of JSON values that a column takes as they are; other columns go by the cast.
+_FITTING = (
+    (T.IntegralType, ("BIGINT",)),
+    (T.DecimalType, ("BIGINT", "DECIMAL")),
+    (T.FractionalType, ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")),
+    (T.StringType, ("STRING",)),
+    (T.BooleanType, ("BOOLEAN",)),
+)
+
+
+def _field_of(doc: str, field: T.StructField) -> tuple[Column, Column]:
+    """The value of a typed field (NULL if it does not fit) and whether something did not fit."""
+    path = _path(field.name)
+    found = F.try_variant_get(doc, path, "variant")
+    value = F.try_variant_get(doc, path, field.dataType.simpleString())
+    kinds = next((k for t, k in _FITTING if isinstance(field.dataType, t)), None)
+    if kinds:
+        kind = F.schema_of_variant(found)
+        value = F.when(reduce(Column.__or__, [kind.startswith(k) for k in kinds]), value)
+    given = found.isNotNull() & ~F.is_variant_null(found)
+    return value, F.coalesce(given & value.isNull(), F.lit(False))
+
+
+def typed_messages(
+    df: DataFrame,
+    schema: T.StructType,
+    value: str = "value",
+    keep: list[str] | None = None,
+    rest: str | None = REST,
+    others: bool = True,
+) -> DataFrame:
+    """Messages as typed columns, with nothing lost.
+
+    Objects fill the columns of ``schema``; one with a field the schema does
+    not have (names are compared by case), or with a value that does not fit,
+    is also kept whole in the variant column ``rest``.  With ``others``
+    every message is a row: ``_status`` says what it is, and ``_raw`` keeps
+    the bytes of those that are no objects.
+    """
+    parsed = parse_documents(df, value, "__doc", "_status")
+    if not others:
+        parsed = parsed.where(F.col("_status") == STORED)
+    fields = [(f.name, *_field_of("__doc", f)) for f in schema.fields]
+    names = F.array(*[F.lit(n) for n in schema.fieldNames()]).cast("array<string>")
+    unknown = F.size(F.array_except(F.json_object_keys(F.to_json("__doc")), names)) > 0
+    unfit = reduce(Column.__or__, [bad for _, _, bad in fields], F.coalesce(unknown, F.lit(False)))
+    columns = [named(k) for k in keep or []] + [v.alias(n) for n, v, _ in fields]
+    if rest:
+        columns.append(F.when(unfit, F.col("__doc")).alias(rest))
+    if others:
+        raw = F.when(F.col("_status") != STORED, named(value).cast("binary"))
+        columns += [raw.alias("_raw"), F.col("_status")]
+    return parsed.select(*columns)
+
+
 def text_rows(
     df: DataFrame,
     field: str,

@@ -2,19 +2,21 @@
 
 A poll returns the rows past the mark; the mark is the largest (cursor, key)
 pair handed out so far.  The key breaks ties, so rows that share a cursor
-value are neither lost nor repeated when a poll ends in their midst.  Rows
-that arrive later with a position below the mark are not seen; that is what a
-mark means.
+value are neither lost nor repeated when a poll ends in their midst; a NULL key
+comes before all others.  Rows whose cursor is NULL or NaN have no place in that
+order: they have a mark of their own, the largest key among them, and come
+first.  Rows that arrive later with a position below the mark are not seen;
+that is what a mark means.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,15 +31,26 @@ _STATE = (
     .add("poll", T.LongType())
     .add("cursor", T.StringType())
     .add("key", T.StringType())
+    .add("key_is_null", T.BooleanType())
+    .add("loose", T.BooleanType())
+    .add("loose_key", T.StringType())
 )
 
 
 @dataclass(frozen=True)
 class Mark:
-    """A position in a table; values are text and take the column's type in a plan."""
+    """A position in a table; values are text and take the column's type in a plan.
 
-    cursor: str
+    ``key_is_null`` says that the row at the mark has a NULL key, which is not
+    the same as a mark without a key.  ``loose`` says that rows without a cursor
+    were seen, up to ``loose_key`` among them.
+    """
+
+    cursor: str | None
     key: str | None = None
+    key_is_null: bool = False
+    loose: bool = False
+    loose_key: str | None = None
 
 
 def _typed(df: DataFrame, column: str, text: str) -> Column:
@@ -51,14 +64,36 @@ def _mark_text(value: Column, dtype: T.DataType) -> Column:
     return value.cast("string")
 
 
+def has_cursor(df: DataFrame, cursor: str) -> Column:
+    """Whether a row has a place in the order of ``cursor``: it is neither NULL nor NaN."""
+    known = named(cursor).isNotNull()
+    if isinstance(df.schema[cursor].dataType, (T.FloatType, T.DoubleType)):
+        return known & ~F.isnan(named(cursor))
+    return known
+
+
 def past_mark(df: DataFrame, mark: Mark, cursor: str, key: str | None = None) -> Column:
-    """The rows strictly after ``mark``; the bound on the cursor reaches the scan."""
+    """The rows with a cursor strictly after ``mark``; the bound reaches the scan."""
+    placed = has_cursor(df, cursor)
+    if mark.cursor is None:
+        return placed
     bound = _typed(df, cursor, mark.cursor)
-    if key is None or mark.key is None:
-        return named(cursor) > bound
-    return (named(cursor) >= bound) & (
-        (named(cursor) > bound) | (named(key) > _typed(df, key, mark.key))
-    )
+    if key is None or (mark.key is None and not mark.key_is_null):
+        return placed & (named(cursor) > bound)
+    later = named(key).isNotNull() if mark.key_is_null else named(key) > _typed(df, key, mark.key)
+    return placed & (named(cursor) >= bound) & ((named(cursor) > bound) | later)
+
+
+def unseen(df: DataFrame, mark: Mark | None, cursor: str, key: str) -> Column:
+    """The rows a watch with ``mark`` has not handed out, rows without a cursor among them."""
+    loose = ~has_cursor(df, cursor)
+    if mark is None:
+        return F.lit(True)
+    if mark.loose and mark.loose_key is not None:
+        loose = loose & (named(key) > _typed(df, key, mark.loose_key))
+    elif mark.loose:
+        loose = loose & named(key).isNotNull()
+    return loose | past_mark(df, mark, cursor, key)
 
 
 def poll(
@@ -76,17 +111,35 @@ def poll(
     rows = df if mark is None else df.where(past_mark(df, mark, cursor, key))
     if limit is None:
         return rows
-    if limit > LARGEST_LIMIT:
-        raise ValueError(f"a limit is for samples of up to {LARGEST_LIMIT} rows; leave it out")
+    _check_limit(limit)
     order = [named(cursor).asc_nulls_last()]
     if key is not None:
         order.append(named(key).asc())
     return rows.orderBy(*order).limit(limit)
 
 
+def _check_limit(limit: int) -> None:
+    if limit > LARGEST_LIMIT:
+        raise ValueError(f"a limit is for samples of up to {LARGEST_LIMIT} rows; leave it out")
+
+
+def _first_positions(rows: DataFrame, cursor: str, key: str, limit: int) -> DataFrame:
+    """The first ``limit`` rows and those that share the position of the last of them.
+
+    Rows that agree in cursor and key cannot be told apart by a mark, so they
+    are handed out together.
+    """
+    _check_limit(limit)
+    placed = has_cursor(rows, cursor)
+    order = F.struct(placed, F.when(placed, named(cursor)), named(key)).alias("__at")
+    last = rows.select(order).orderBy("__at").limit(limit).agg(F.max("__at").alias("__last"))
+    # One row, so the join is a broadcast of one value.
+    return rows.withColumn("__at", order).join(F.broadcast(last), F.col("__at") <= F.col("__last")).drop("__at", "__last")
+
+
 def high_water_mark(df: DataFrame, cursor: str, key: str | None = None) -> DataFrame:
-    """One row: the largest ``cursor``, and with ``key`` the largest key at it."""
-    seen = df.where(named(cursor).isNotNull())
+    """One row: the largest ``cursor``, and with ``key`` the largest key at it; NaN is no cursor."""
+    seen = df.where(has_cursor(df, cursor))
     if key is None or key == cursor:
         return seen.agg(F.max(named(cursor)).alias(cursor))
     top = seen.agg(F.max(F.struct(named(cursor), named(key))).alias("top"))
@@ -123,35 +176,53 @@ class TableWatch:
         row = slots.orderBy(F.col("poll").desc()).first()
         if row is None:
             return -1, None
-        return row["poll"], None if row["cursor"] is None else Mark(row["cursor"], row["key"])
+        mark = Mark(row["cursor"], row["key"], *[bool(row[c]) for c in ("key_is_null", "loose")], row["loose_key"])
+        return row["poll"], mark
 
     def advance(self) -> int:
         """One poll.  Returns the number of new rows; an empty poll keeps the mark."""
         done, mark = self.last()
         number = done + 1
-        new = poll(self.scan(), self.cursor, self.key, mark, self.limit)
+        table = self.scan()
+        new = table.where(unseen(table, mark, self.cursor, self.key))
+        if self.limit is not None:
+            new = _first_positions(new, self.cursor, self.key, self.limit)
         target = f"{self.out}/poll={number}"
         new.write.mode("overwrite").parquet(target)
         written = self.spark.read.schema(new.schema).parquet(target)
+        placed = has_cursor(written, self.cursor)
         position = F.struct(named(self.cursor).alias("cursor"), named(self.key).alias("key"))
-        top = F.max(F.when(named(self.cursor).isNotNull(), position))
-        texts = [
-            F.coalesce(
-                _mark_text(F.col("top").getField(part), new.schema[column].dataType),
-                F.lit(getattr(mark, part, None)).cast("string"),
-            ).alias(part)
-            for part, column in (("cursor", self.cursor), ("key", self.key))
-        ]
-        summary = written.agg(F.count(F.lit(1)).alias("n"), top.alias("top"))
-        state = summary.select("n", *texts).first()
+        summary = written.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.max(F.when(placed, position)).alias("top"),
+            F.count(F.when(~placed, 1)).alias("n_loose"),
+            F.max(F.when(~placed, named(self.key))).alias("loose_key"),
+        )
+        kinds = {part: new.schema[c].dataType for part, c in (("cursor", self.cursor), ("key", self.key))}
+        state = summary.select(
+            "n",
+            "n_loose",
+            *[_mark_text(F.col("top").getField(p), kinds[p]).alias(p) for p in ("cursor", "key")],
+            _mark_text(F.col("loose_key"), kinds["key"]).alias("loose_key"),
+        ).first()
         if state["n"]:
-            row = {"poll": number, "cursor": state["cursor"], "key": state["key"]}
+            moved = self._moved(mark or Mark(None), state)
+            row = {"poll": number, **asdict(moved)}
             slot = self.spark.range(0, 1, 1, 1).select(
                 *[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in _STATE.fields]
             )
             slot.write.mode("overwrite").parquet(f"{self.state}/slot={number % 2}")
         return state["n"]
 
+    @staticmethod
+    def _moved(mark: Mark, state: Row) -> Mark:
+        """``mark`` after the rows that ``state`` sums up."""
+        if state["cursor"] is not None:
+            mark = replace(mark, cursor=state["cursor"], key=state["key"], key_is_null=state["key"] is None)
+        if state["n_loose"]:
+            mark = replace(mark, loose=True, loose_key=state["loose_key"] or mark.loose_key)
+        return mark
+
     def run(self, every: float = POLL_SECONDS, polls: int | None = None) -> Iterator[int]:
         """Poll again and again, yielding the number of new rows each time."""
         done = 0

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 INTERNAL_PREFIX = "__"  # fixed value: names of internal topics start with it
+PRUNED_TOPICS = 500  # one condition each
 PEEK_ROWS = 6  # fixed value: messages shown per topic
 
 
@@ -40,15 +43,23 @@ def topic_peek(messages: DataFrame, rows: int = PEEK_ROWS, prune: bool = False)
     that holds most of the log is never gathered in one place.
 
     With ``prune`` the positions are ranked first, without the messages, and
-    the largest one found bounds the read.  In a topic directory that skips
-    almost every row group; it runs one narrow job when the plan is made.
+    the largest one found of each topic bounds the read of that topic.  In a
+    topic directory that skips almost every row group; it runs one narrow job
+    when the plan is made.  Beyond ``PRUNED_TOPICS`` topics nothing is pruned.
     """
     if not rows < 1000:
         raise ValueError("a peek is a handful of rows; read the topic for more")
     if prune:
         positions = _first_rows(messages.select("topic", "partition", "offset"), rows)
-        last = positions.agg(F.max("offset").alias("last")).first()["last"]
-        messages = messages.where(F.col("offset") <= F.lit(last))
+        ends = positions.groupBy("topic").agg(F.max("offset").alias("last"))
+        found = ends.limit(PRUNED_TOPICS + 1).collect()
+        if len(found) <= PRUNED_TOPICS:
+            bounds = [
+                F.col("topic").eqNullSafe(F.lit(r["topic"]))
+                & (F.col("offset").isNull() | (F.col("offset") <= F.lit(r["last"])))
+                for r in found
+            ]
+            messages = messages.where(reduce(Column.__or__, bounds, F.lit(False)))
     return _first_rows(messages, rows).select("topic", "partition", "offset", "key", "value")
 
 

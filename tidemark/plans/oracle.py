@@ -6,7 +6,7 @@ _MESSAGES = """
 WITH messages AS (
   SELECT CASE WHEN event_type = 'error' THEN '__error' ELSE event_type END AS topic,
          CAST(user_id % 4 AS INT) AS partition,
-         row_number() OVER (PARTITION BY event_type, user_id % 4 ORDER BY event_id) - 1 AS "offset",
+         event_id AS "offset",
          CAST(user_id AS VARCHAR) AS key,
          props AS value,
          ts AS timestamp
@@ -102,6 +102,7 @@ def oracle() -> dict[str, str]:
         "row_to_json_object": f"SELECT CAST({_JSON_ROWS['orders']} AS VARCHAR) AS value"
         " FROM orders",
         "iso_timestamps": f"SELECT event_id, {_ISO.format('ts')} AS ts_iso FROM events",
+        "iso_instants": f"SELECT event_id, {_ISO.format('ts')} || '+00:00' AS at FROM events",
         "iso_nested_times": f"SELECT event_id, {_ISO.format('ts')} AS ts,"
         " strftime(ts, '%Y-%m-%dT00:00:00') AS day FROM events",
         "wrap_document": f"{_MESSAGES} SELECT topic, value AS message FROM messages",
@@ -113,6 +114,16 @@ def oracle() -> dict[str, str]:
         "stream_rejected": f"{_MIXED} SELECT id, status, value AS raw FROM classified"
         " WHERE status <> 'stored'",
         "stream_typed_table": f"{_MESSAGES} SELECT topic, {_K.format('value')} AS k FROM messages",
+        "stream_typed_drift": "WITH e AS (SELECT event_id % 5 AS kind,"
+        " json_extract_string(props, '$.k') AS x FROM events) SELECT"
+        " CASE WHEN kind IN (0, 2) THEN CAST(x AS BIGINT) END AS k,"
+        " CASE kind WHEN 1 THEN '{\"k\":\"x' || x || '\"}' WHEN 2 THEN '{\"extra\":1,\"k\":' || x || '}'"
+        " WHEN 3 THEN '{\"K\":' || x || '}' END AS rest,"
+        " CASE kind WHEN 4 THEN 'malformed' ELSE 'stored' END AS status,"
+        " CASE kind WHEN 4 THEN 'junk ' || x END AS raw FROM e",
+        "document_scan_text": f"{_MESSAGES} SELECT {_K.format('value')} AS k"
+        " FROM messages WHERE topic = 'click'",
+        "stream_interval": f"{_MESSAGES} SELECT {_LOG} FROM messages",
         "topic_copy": f"{_MESSAGES} SELECT {_LOG} FROM messages",
         "kpi_count": _KPI,
         "stream_kpi": _KPI,
@@ -140,6 +151,9 @@ def oracle() -> dict[str, str]:
         " WHERE topic IN ('click', 'view')",
         "delivery_report": f"{_MESSAGES} SELECT topic, partition, 'stored' AS status,"
         " count(*) AS count FROM messages GROUP BY topic, partition",
+        "watched_table_nulls": "SELECT limited, o_orderkey,"
+        " CASE WHEN o_orderkey % 7 > 0 THEN o_orderdate END AS o_orderdate"
+        " FROM orders, (VALUES (false), (true)) AS modes(limited)",
         "watched_table": "SELECT o_orderkey, o_orderdate, CASE"
         " WHEN o_orderdate < TIMESTAMP '1995-06-17 00:00:00'"
         " OR (o_orderdate = TIMESTAMP '1995-06-17 00:00:00' AND o_orderkey <= 700) THEN 0"

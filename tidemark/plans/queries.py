@@ -32,7 +32,7 @@ from tidemark.operators.parsing import (
     parse_documents,
     parse_struct,
 )
-from tidemark.operators.polling import POLL_ROWS, Mark, TableWatch, high_water_mark, poll
+from tidemark.operators.polling import LARGEST_LIMIT, POLL_ROWS, Mark, TableWatch, high_water_mark, poll
 from tidemark.operators.topic_stats import list_topics, topic_partitions, topic_peek
 from tidemark.operators.union import tables_to_topic
 from tidemark.plans.flows import publish_tables, topic_to_documents, topic_to_kpi, topic_to_table
@@ -53,6 +53,7 @@ from tidemark.sources.topics import (
     stream_topic,
     topic_table,
     topic_views,
+    utc_time,
 )
 from tidemark.streaming.kpi import read_kpi_store, running_kpi
 from tidemark.streaming.queries import run_all, start
@@ -92,11 +93,17 @@ def _event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", text_bytes(F.col("props")).alias("value"))
 
 
-def _topic_folder(spark: SparkSession, sf_dir: str, name: str) -> TopicSource:
-    """The event log written to a topic directory of its own."""
-    path = run_dir(spark, name)
-    write_topic(messages(spark, sf_dir, positions=True), format="parquet", path=path)
-    return TopicSource(format="parquet", path=path)
+_TOPIC_FOLDERS: dict[tuple[str, str], TopicSource] = {}
+
+
+def _topic_folder(spark: SparkSession, sf_dir: str) -> TopicSource:
+    """The event log as a topic directory, written once per application and shared by the queries."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _TOPIC_FOLDERS:
+        path = run_dir(spark, "topics")
+        write_topic(messages(spark, sf_dir), format="parquet", path=path)
+        _TOPIC_FOLDERS[known] = TopicSource(format="parquet", path=path)
+    return _TOPIC_FOLDERS[known]
 
 
 # --- sources -------------------------------------------------------------
@@ -104,26 +111,27 @@ def _topic_folder(spark: SparkSession, sf_dir: str, name: str) -> TopicSource:
 
 @_query("topic_envelope")
 def _topic_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decoded(messages(spark, sf_dir, positions=True)).select(*_LOG, "timestamp")
+    log = decoded(read_topic(spark, _topic_folder(spark, sf_dir)))
+    return log.select(*_LOG, utc_time(F.col("timestamp")).alias("timestamp"))
 
 
 @_query("multi_topic_read")
 def _multi_topic_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _topic_folder(spark, sf_dir, "topics")
+    folder = _topic_folder(spark, sf_dir)
     source = TopicSource(("click", "view"), format="parquet", path=folder.path)
     return decoded(read_topic(spark, source)).select(*_LOG)
 
 
 @_query("pattern_read")
 def _pattern_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _topic_folder(spark, sf_dir, "topics")
+    folder = _topic_folder(spark, sf_dir)
     source = TopicSource(pattern="(click|.*up)", format="parquet", path=folder.path)
     return decoded(read_topic(spark, source)).select(*_LOG)
 
 
 @_query("replay_from_earliest")
 def _replay_from_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = _topic_folder(spark, sf_dir, "topics")
+    source = _topic_folder(spark, sf_dir)
     stream = decoded(stream_topic(spark, source, "earliest")).select(*_LOG)
     out = run_dir(spark, "replayed")
     start(stream, f"{out}-checkpoint", path=out).awaitTermination()
@@ -132,7 +140,7 @@ def _replay_from_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("start_from_latest")
 def _start_from_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = messages(spark, sf_dir, positions=True)
+    log = messages(spark, sf_dir)
     early = F.col("timestamp") < F.lit(MARK.cursor).cast("timestamp_ntz")
     path, out = run_dir(spark, "topics"), run_dir(spark, "latest")
     write_topic(log.where(early), format="parquet", path=path)
@@ -151,11 +159,11 @@ def _table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("qualified_scan")
 def _qualified_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"customer_{zlib.crc32(sf_dir.encode()):08x}"
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS default.{name} USING parquet"
-        f" LOCATION '{sf_dir}/customer.parquet'"
-    )
-    return qualified_scan(spark, f"spark_catalog.default.{name}")
+    location = f"{sf_dir}/customer.parquet".replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS default.{name} USING parquet LOCATION '{location}'")
+    found = qualified_scan(spark, f"spark_catalog.default.{name}")
+    spark.sql(f"DROP TABLE default.{name}")  # the plan goes by the files, which stay
+    return found
 
 
 @_query("paged_result_flatten")
@@ -205,7 +213,7 @@ def _hide_internal_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("topic_sql")
 def _topic_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = _topic_folder(spark, sf_dir, "topics")
+    source = _topic_folder(spark, sf_dir)
     topics = {name: EVENT_PAYLOAD for name in ("click", "view")}
     click, view = topic_views(spark, source, topics, prefix="topic_")
     return spark.sql(
@@ -216,12 +224,12 @@ def _topic_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("internal_columns")
 def _internal_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = decoded(messages(spark, sf_dir, positions=True))
+    log = decoded(messages(spark, sf_dir))
     return topic_table(log, "click", EVENT_PAYLOAD, include_internal=True)
 
 
 def _routed(spark: SparkSession, sf_dir: str) -> str:
-    source = _topic_folder(spark, sf_dir, "topics")
+    source = _topic_folder(spark, sf_dir)
     store = run_dir(spark, "collections")
     stream = stream_topic(spark, source, "earliest")
     stream_messages(stream, store, f"{store}-checkpoint").awaitTermination()
@@ -246,7 +254,7 @@ def _document_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("decode_value")
 def _decode_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = messages(spark, sf_dir, positions=True)
+    log = messages(spark, sf_dir)
     return decoded(log, strict=True).select("topic", "partition", "offset", "value")
 
 
@@ -304,6 +312,12 @@ def _iso_event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iso_timestamps(events)
 
 
+@_query("iso_instants")
+def _iso_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    instants = F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp")
+    return iso_timestamps(table(spark, sf_dir, "events").select("event_id", instants.alias("at")))
+
+
 @_query("iso_nested_times")
 def _iso_nested_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_trunc("day", "ts").cast("timestamp_ntz")
@@ -355,12 +369,12 @@ def _partitions_of_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("topic_peek")
 def _first_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decoded(topic_peek(messages(spark, sf_dir, positions=True)))
+    return decoded(topic_peek(messages(spark, sf_dir)))
 
 
 @_query("topic_peek_stored")
 def _topic_peek_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = _topic_folder(spark, sf_dir, "topics")
+    source = _topic_folder(spark, sf_dir)
     return decoded(topic_peek(read_topic(spark, source), prune=True))
 
 
@@ -438,12 +452,69 @@ def _stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("stream_typed_table")
 def _stream_typed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = _topic_folder(spark, sf_dir, "topics")
+    source = _topic_folder(spark, sf_dir)
     out = run_dir(spark, "typed")
     topic_to_table(spark, source, out, f"{out}-checkpoint").awaitTermination()
     return spark.read.schema("topic string, k bigint").parquet(out)
 
 
+def _drifting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which four in five are not what the first ones were."""
+    k = F.get_json_object("props", "$.k")
+    kind = F.col("event_id") % 5
+    value = (
+        F.when(kind == 0, F.concat(F.lit('{"k":'), k, F.lit("}")))
+        .when(kind == 1, F.concat(F.lit('{"k":"x'), k, F.lit('"}')))
+        .when(kind == 2, F.concat(F.lit('{"extra":1,"k":'), k, F.lit("}")))
+        .when(kind == 3, F.concat(F.lit('{"K":'), k, F.lit("}")))
+        .otherwise(F.concat(F.lit("junk "), k))
+    )
+    return table(spark, sf_dir, "events").select(kind.alias("kind"), value.alias("value"))
+
+
+@_query("stream_typed_drift")
+def _stream_typed_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A typed table whose stream is started on clean messages and again on all others."""
+    path, out = run_dir(spark, "drift"), run_dir(spark, "typed")
+    log, source = _drifting(spark, sf_dir), TopicSource(("t",), format="parquet", path=path)
+    for part in (log.where("kind = 0"), log.where("kind <> 0")):
+        write_topic(part.drop("kind"), "t", format="parquet", path=path)
+        topic_to_table(spark, source, out, f"{out}-checkpoint", quarantine=True).awaitTermination()
+    columns = "k bigint, _rest variant, _raw binary, _status string, topic string"
+    return spark.read.schema(columns).parquet(out).select(
+        "k", F.to_json("_rest").alias("rest"), F.col("_status").alias("status"), F.col("_raw").cast("string").alias("raw")
+    )
+
+
+@_query("document_scan_text")
+def _document_scan_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document store in a format without variants."""
+    store = run_dir(spark, "documents")
+    stored = {"format": "json", "options": {"compression": "gzip"}}
+    source, checkpoint = _topic_folder(spark, sf_dir), f"{store}-checkpoint"
+    topic_to_documents(spark, source, store, checkpoint, **stored).awaitTermination()
+    click = collection_scan(spark, store, "click", **stored)
+    return click.select(document_field("doc", "$.k", "bigint").alias("k"))
+
+
+@_query("stream_interval")
+def _stream_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that polls every second and finds what arrives while it runs."""
+    path, out = run_dir(spark, "topics"), run_dir(spark, "polled")
+    log = messages(spark, sf_dir)
+    early = F.col("timestamp") < F.lit(MARK.cursor).cast("timestamp_ntz")
+    write_topic(log.where(early), format="parquet", path=path)
+    stream = decoded(stream_topic(spark, TopicSource(format="parquet", path=path), "earliest"))
+    query = start(stream.select(*_LOG), f"{out}-checkpoint", path=out, every="1 second")
+    try:
+        query.processAllAvailable()
+        write_topic(log.where(~early), format="parquet", path=path)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return spark.read.schema(stream.select(*_LOG).schema).parquet(out)
+
+
 @_query("stream_rejected")
 def _stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, out = run_dir(spark, "mixed"), run_dir(spark, "rejected")
@@ -458,7 +529,7 @@ def _stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("topic_copy")
 def _topic_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = _topic_folder(spark, sf_dir, "topics")
+    source = _topic_folder(spark, sf_dir)
     out = run_dir(spark, "copied")
     stream = stream_topic(spark, source, "earliest")
     stream_to_topic(stream, f"{out}-checkpoint", format="parquet", path=out).awaitTermination()
@@ -467,28 +538,29 @@ def _topic_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("stream_kpi")
 def _stream_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = _topic_folder(spark, sf_dir, "topics")
+    source = _topic_folder(spark, sf_dir)
     store = run_dir(spark, "kpi")
-    query = topic_to_kpi(
-        spark, source, ["k"], store, f"{store}-checkpoint", schema=EVENT_PAYLOAD, max_per_trigger=8
-    )
-    query.awaitTermination()
-    return kpi_totals(read_kpi_store(spark, store, EVENT_PAYLOAD), "k")
+    checkpoint = f"{store}-checkpoint"
+    topic_to_kpi(
+        spark, source, ["k"], store, checkpoint, schema=EVENT_PAYLOAD
+    ).awaitTermination()
+    return kpi_totals(read_kpi_store(spark, store, EVENT_PAYLOAD, checkpoint), "k")
 
 
 @_query("stream_running_kpi")
 def _stream_running_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = _topic_folder(spark, sf_dir, "topics")
+    source = _topic_folder(spark, sf_dir)
     store = run_dir(spark, "kpi")
-    stream = stream_topic(spark, source, "earliest", max_per_trigger=8)
+    stream = stream_topic(spark, source, "earliest")
     rows = apply_schema(stream, EVENT_PAYLOAD)
-    running_kpi(rows, "k", store=store, checkpoint=f"{store}-checkpoint").awaitTermination()
-    return latest_kpi(read_kpi_store(spark, store, EVENT_PAYLOAD), "k")
+    checkpoint = f"{store}-checkpoint"
+    running_kpi(rows, "k", store=store, checkpoint=checkpoint).awaitTermination()
+    return latest_kpi(read_kpi_store(spark, store, EVENT_PAYLOAD, checkpoint), "k")
 
 
 @_query("stream_fan_out")
 def _stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _topic_folder(spark, sf_dir, "topics")
+    folder = _topic_folder(spark, sf_dir)
     store = run_dir(spark, "collections")
     queries = [
         topic_to_documents(
@@ -508,10 +580,10 @@ def _stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("delivery_report")
 def _delivery_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = _topic_folder(spark, sf_dir, "topics")
+    source = _topic_folder(spark, sf_dir)
     store = run_dir(spark, "delivered")
     report = f"{store}-report"
-    stream = stream_topic(spark, source, "earliest", max_per_trigger=8)
+    stream = stream_topic(spark, source, "earliest")
     start(
         stream,
         f"{store}-checkpoint",
@@ -540,3 +612,19 @@ def _watched_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         now.append(state)
         watch.advance()
     return watch.seen()
+
+
+@_query("watched_table_nulls")
+def _watched_table_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh order has no date; with and without a limit each order comes once."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 7 > 0, F.col("o_orderdate")).alias("o_orderdate")
+    )
+    found = []
+    for limit in (None, LARGEST_LIMIT // 2):
+        out = run_dir(spark, "watched")
+        watch = TableWatch(spark, lambda: orders, "o_orderdate", "o_orderkey", out, f"{out}-mark", limit)
+        while watch.advance():
+            pass
+        found.append(watch.seen().select(F.lit(limit is not None).alias("limited"), *orders.columns))
+    return found[0].unionByName(found[1])

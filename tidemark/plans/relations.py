@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import text_bytes
@@ -12,53 +12,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dense_positions(
-    df: DataFrame, group: list[str], order: str, out: str, span: int = 1_000_000
-) -> DataFrame:
-    """Number the rows of each group 0, 1, 2, ... by the unique integer column ``order``.
-
-    A group is cut into ranges of ``span`` order values, ranked inside each
-    range, and shifted by the number of rows in the ranges before it.  No
-    task ever holds more than ``span`` rows of a group, however large the
-    group is; the counts per range are small and aggregated map-side.
-    """
-    keys = [*group, "__range"]
-    ranged = df.withColumn("__range", F.expr(f"`{order}` div {span}"))
-    sizes = ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    earlier = Window.partitionBy(*group).orderBy("__range").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    starts = sizes.select(*keys, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"))
-    ranked = ranged.withColumn(
-        "__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-    )
-    return (
-        ranked.join(starts, keys)
-        .withColumn(out, F.col("__start") + F.col("__rank") - 1)
-        .drop("__range", "__rank", "__start")
-    )
-
-
 def _topic_name() -> Column:
     # One topic gets an internal name, so that the listing has something to leave out.
     return F.when(F.col("event_type") == "error", "__error").otherwise(F.col("event_type"))
 
 
-def messages(spark: SparkSession, sf_dir: str, positions: bool = False) -> DataFrame:
-    """``events`` as a topic log.  ``positions`` adds the offset, which costs a shuffle."""
-    events = table(spark, sf_dir, "events").select(
-        "event_id",
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as a topic log; the position of a message is its growing ``event_id``."""
+    return table(spark, sf_dir, "events").select(
         _topic_name().alias("topic"),
         (F.col("user_id") % 4).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
         text_bytes(F.col("user_id")).alias("key"),
         text_bytes(F.col("props")).alias("value"),
         F.col("ts").alias("timestamp"),
     )
-    columns = ["topic", "partition", "key", "value", "timestamp"]
-    if not positions:
-        return events.select(*columns)
-    numbered = dense_positions(events, ["topic", "partition"], "event_id", "offset")
-    return numbered.select(*columns, "offset")
 
 
 def mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from tidemark.sources.documents import (
     read_messages,
     rejected_messages,
 )
-from tidemark.sources.pages import flatten_pages, page_schema, result_pages
+from tidemark.sources.pages import flatten_pages, page_schema, page_schemas, pages_with, result_pages
 from tidemark.sources.tables import (
     qualified_scan,
     resolve_tables,
@@ -18,11 +18,11 @@ from tidemark.sources.topics import (
     ENVELOPE,
     TopicSource,
     append_topic,
-    from_latest,
     read_topic,
     stream_topic,
     topic_table,
     topic_views,
+    utc_time,
 )
 
 __all__ = [
@@ -31,8 +31,9 @@ __all__ = [
     "append_topic",
     "collection_scan",
     "flatten_pages",
-    "from_latest",
     "page_schema",
+    "page_schemas",
+    "pages_with",
     "qualified_scan",
     "read_documents",
     "read_messages",
@@ -46,4 +47,5 @@ __all__ = [
     "text_lines",
     "topic_table",
     "topic_views",
+    "utc_time",
 ]

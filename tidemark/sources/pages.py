@@ -71,27 +71,81 @@ def result_pages(
     return df.select(row_json_array(df).alias("row")).mapInArrow(bodies, "body string, n_rows int")
 
 
+def _arguments(text: str) -> list[str]:
+    """The parts of a list of types, cut at commas outside brackets."""
+    parts, depth = [""], 0
+    for letter in text:
+        depth += (letter == "(") - (letter == ")")
+        if letter == "," and not depth:
+            parts.append("")
+        else:
+            parts[-1] += letter
+    return [p.strip() for p in parts]
+
+
 def _spark_type(name: str) -> str:
+    """The DDL type for a type name of a result envelope, nested types included."""
+    nested = re.fullmatch(r"\s*(array|map|row)\s*\((.*)\)\s*", name, re.DOTALL | re.IGNORECASE)
+    if nested:
+        kind, parts = nested[1].lower(), _arguments(nested[2])
+        if kind != "row":
+            return f"{kind}<{','.join(map(_spark_type, parts))}>"
+        fields = []
+        for i, part in enumerate(parts):
+            found = re.fullmatch(r'("(?:[^"]|"")*"|[A-Za-z_]\w*)\s+(.+)', part, re.DOTALL)
+            own, dtype = (found[1].strip('"'), found[2]) if found else (f"field{i}", part)
+            fields.append(f"`{own}`:{_spark_type(dtype)}")
+        return f"struct<{','.join(fields)}>"
     name = name.strip().lower()
+    if re.match(r"timestamp\b.*with time zone$", name):
+        return "timestamp"
     if name.startswith("timestamp("):
-        return "timestamp" if name.endswith("with time zone") else "timestamp_ntz"
+        return "timestamp_ntz"
+    if re.match(r"time\b", name):
+        return "string"
     base = re.sub(r"\(.*\)$", "", name)
     if base in _TYPE_NAMES:
         return _TYPE_NAMES[base]
     return name
 
 
+_COLUMNS = "array<struct<name:string,type:string>>"
+
+
+def _as_schema(columns: list) -> T.StructType:
+    return T.StructType(
+        [T.StructField(c["name"], T.DataType.fromDDL(_spark_type(c["type"]))) for c in columns]
+    )
+
+
 def page_schema(pages: DataFrame, body: str = "body") -> T.StructType:
     """The row schema named in the ``columns`` of one stored page."""
     columns = only_documents(pages.select(named(body)), body).select(
-        F.try_variant_get("doc", "$.columns", "array<struct<name:string,type:string>>").alias("c")
+        F.try_variant_get("doc", "$.columns", _COLUMNS).alias("c")
     )
     found = columns.where(F.col("c").isNotNull()).limit(1).first()
     if found is None:
         raise ValueError("no page names its columns")
-    return T.StructType(
-        [T.StructField(c["name"], T.DataType.fromDDL(_spark_type(c["type"]))) for c in found["c"]]
-    )
+    return _as_schema(found["c"])
+
+
+def page_schemas(pages: DataFrame, body: str = "body", most: int = 1000) -> dict[str, T.StructType]:
+    """The schemas of all result sets in a folder, by the ``header`` that ``pages_with`` takes."""
+    headers = pages.select(_header(pages, body).alias("h")).where("h IS NOT NULL").distinct()
+    found = [r["h"] for r in headers.limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} result sets; select some of their pages first")
+    return {h: _as_schema(json.loads(h)) for h in sorted(found)}
+
+
+def _header(pages: DataFrame, body: str) -> Column:
+    columns = F.try_variant_get(F.try_parse_json(named(body)), "$.columns", _COLUMNS)
+    return F.to_json(columns)
+
+
+def pages_with(pages: DataFrame, header: str, body: str = "body") -> DataFrame:
+    """The pages of one result set."""
+    return pages.where(_header(pages, body) == F.lit(header))
 
 
 # Types whose JSON text casts back to the same value.  Decimals are not among
@@ -110,24 +164,45 @@ _TEXT_TYPES = (
 
 
 def flatten_pages(
-    pages: DataFrame, schema: T.StructType, body: str = "body", keep: list[str] | None = None
+    pages: DataFrame,
+    schema: T.StructType,
+    body: str = "body",
+    keep: list[str] | None = None,
+    unfit: str | None = None,
 ) -> DataFrame:
     """Every row of every page as typed columns of ``schema``, by position.
 
     A page without ``data`` (still running) has no rows.  Bodies that are
     not JSON objects give none either; find them with ``parse_documents``.
-    A cell that does not fit its declared type fails the query in ANSI mode.
+    A cell that does not fit its declared type is NULL; the column ``unfit``
+    then holds the JSON text of the row, as it does for a row that has more
+    or fewer cells than the schema.  Pages of several result sets are told
+    apart by ``page_schemas`` and ``pages_with``.
     """
     as_text = all(isinstance(f.dataType, _TEXT_TYPES) for f in schema.fields)
     rows = (text_rows if as_text else document_items)(pages, "data", body, "__row", keep)
 
+    def given(position: int) -> Column:
+        if as_text:
+            return F.get("__row", F.lit(position))
+        found = F.try_variant_get("__row", f"$[{position}]", "variant")
+        return F.when(~F.is_variant_null(found), found)
+
     def cell(position: int, dtype: T.DataType) -> Column:
         if as_text:
             text = F.get("__row", F.lit(position))
-            return F.unbase64(text) if isinstance(dtype, T.BinaryType) else text.cast(dtype)
+            return F.try_to_binary(text, F.lit("base64")) if isinstance(dtype, T.BinaryType) else text.try_cast(dtype)
         if isinstance(dtype, T.BinaryType):
-            return F.unbase64(F.variant_get("__row", f"$[{position}]", "string"))
-        return F.variant_get("__row", f"$[{position}]", dtype.simpleString())
-
-    cells = [cell(i, f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
-    return rows.select(*[named(k) for k in keep or []], *cells)
+            text = F.try_variant_get("__row", f"$[{position}]", "string")
+            return F.try_to_binary(text, F.lit("base64"))
+        return F.try_variant_get("__row", f"$[{position}]", dtype.simpleString())
+
+    cells = [cell(i, f.dataType) for i, f in enumerate(schema.fields)]
+    named_cells = [c.alias(f.name) for c, f in zip(cells, schema.fields, strict=True)]
+    if unfit is not None:
+        n = F.size("__row") if as_text else F.size(F.try_variant_get("__row", "$", "array<variant>"))
+        wrong = n != len(cells)
+        for i, c in enumerate(cells):
+            wrong = wrong | (given(i).isNotNull() & c.isNull())
+        named_cells.append(F.when(wrong, F.to_json("__row")).alias(unfit))
+    return rows.select(*[named(k) for k in keep or []], *named_cells)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.errors import AnalysisException, ParseException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -24,17 +25,24 @@ def qualified_scan(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(".".join("`" + p.replace("`", "``") + "`" for p in parts))
 
 
+def first_line(error: Exception) -> str:
+    """What went wrong, in one line; for an error of a driver or catalog, its own message."""
+    if isinstance(error, Py4JJavaError):
+        return str(error.java_exception.toString()).splitlines()[0]
+    return (str(error).splitlines() or [type(error).__name__])[0]
+
+
 def resolve_tables(
     spark: SparkSession, names: Iterable[str]
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """The tables that can be read, and the reason for each one that cannot."""
+    """The tables that can be read, and the reason for each one that cannot, whatever failed."""
     found: dict[str, DataFrame] = {}
     failed: dict[str, str] = {}
     for name in names:
         try:
             found[name] = qualified_scan(spark, name)
-        except (AnalysisException, ParseException, ValueError) as error:
-            failed[name] = str(error).splitlines()[0]
+        except (PySparkException, Py4JJavaError, ValueError) as error:
+            failed[name] = first_line(error)
     return found, failed
 
 
@@ -68,6 +76,9 @@ def scan_jdbc(
     )
 
 
-def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One row per line, blank lines included, in ``value``."""
-    return spark.read.text(path, lineSep="\n")
+def text_lines(spark: SparkSession, path: str, line_sep: str | None = None) -> DataFrame:
+    """One row per line, blank lines included, in ``value``.
+
+    Lines end at ``\\n``, ``\\r\\n`` or ``\\r`` unless ``line_sep`` names the separator.
+    """
+    return spark.read.text(path, lineSep=line_sep)

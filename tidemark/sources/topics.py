@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,7 +110,8 @@ def stream_topic(
 
     ``starting`` counts for the first start only; afterwards the checkpoint
     of the query says where to go on.  A directory has no built-in notion of
-    *latest*: the end positions of its first start are kept under ``state``.
+    *latest*: files that arrive after its first start count, and when that was is
+    kept under ``state``.
     Micro-batches are bounded, also when a long log is replayed;
     ``max_per_trigger`` changes the bound.
     """
@@ -121,45 +122,34 @@ def stream_topic(
     )
     if source.format == "kafka":
         return reader.load()
-    messages = source.only_subscribed(reader.schema(ENVELOPE).load(source.path))
-    if starting == "earliest":
-        return messages
-    if state is None:
-        raise ValueError("starting a directory at 'latest' needs a state folder")
-    return from_latest(spark, messages, read_topic(spark, source), state)
+    landed = reader.schema(ENVELOPE).load(source.path)
+    if starting == "latest":
+        if state is None:
+            raise ValueError("starting a directory at 'latest' needs a state folder")
+        landed = landed.where(_landed() > F.lit(_first_start(spark, source, state)))
+    return source.only_subscribed(landed)
 
 
-def from_latest(
-    spark: SparkSession, stream: DataFrame, retained: DataFrame, state: str
-) -> DataFrame:
-    """Only messages after the ends that ``retained`` had when ``state`` was first written.
+def _landed() -> Column:
+    """When the file of a message arrived."""
+    return F.unix_micros(F.col("_metadata.file_modification_time"))
 
-    The ends are one row per (topic, partition); the optimiser broadcasts
-    them while their file is under its size limit and shuffles otherwise.
-    """
-    ends = retained.groupBy("topic", "partition").agg(F.max("offset").alias("__end"))
-    # A row without a topic is written along: where it is missing, the write was cut short.
-    closing = spark.range(0, 1, 1, 1).select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in ends.schema.fields]
-    )
-    if not _is_complete(spark, state, ends.schema):
-        ends.unionByName(closing).write.mode("overwrite").parquet(state)
-    ends = spark.read.schema(ends.schema).parquet(state).where(F.col("topic").isNotNull())
-    return (
-        stream.join(ends, ["topic", "partition"], "left")
-        .where(F.col("__end").isNull() | (F.col("offset") > F.col("__end")))
-        .select(*stream.columns)
-    )
 
-
-def _is_complete(spark: SparkSession, state: str, schema: T.StructType) -> bool:
+def _first_start(spark: SparkSession, source: TopicSource, state: str) -> int:
+    """When the youngest file arrived that was there at the first start; kept under ``state``."""
+    schema = T.StructType().add("landed", T.LongType())
     try:
-        written = spark.read.schema(schema).parquet(state)
+        known = spark.read.schema(schema).parquet(state).first()
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return not written.where(F.col("topic").isNull()).isEmpty()
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = None
+    if known is None:
+        files = spark.read.format(source.format).options(**source.reader_options())
+        youngest = files.schema(ENVELOPE).load(source.path).agg(F.coalesce(F.max(_landed()), F.lit(0)).alias("landed"))
+        youngest.coalesce(1).write.mode("overwrite").parquet(state)
+        known = spark.read.schema(schema).parquet(state).first()
+    return known["landed"]
 
 
 def append_topic(
@@ -169,24 +159,21 @@ def append_topic(
     partitions: int = 1,
     format: str = "parquet",
 ) -> None:
-    """Append messages to a topic directory, as a broker would take them in.
+    """Append messages to a topic directory, a landing folder that many readers share.
 
     ``df`` has ``value`` and optionally ``key``, ``topic``, ``partition``,
-    ``offset`` and ``timestamp``.  Without offsets, each message gets the
-    next free position: unique and growing, with gaps, and assigned without
-    a shuffle by the task that writes them, so a repeated task cannot give
-    a position twice.  One writer at a time.
+    ``offset`` and ``timestamp``.  Positions are the ones the messages bring; a
+    directory gives none, so messages without them keep a NULL offset.  Local
+    timestamps are taken as UTC, whatever the session zone.
     """
-    spark = df.sparkSession
     have = set(df.columns)
     if topic is None and "topic" not in have:
         raise ValueError("name a topic or bring a topic column")
     arrival = F.monotonically_increasing_id()
-    if "offset" in have:
-        offset = F.col("offset").cast("bigint")
-    else:
-        base = _next_offset(spark, path, format)
-        offset = F.lit(base).cast("bigint") + arrival
+    offset = F.col("offset") if "offset" in have else F.lit(None)
+    taken = F.col("timestamp") if "timestamp" in have else F.current_timestamp()
+    if "timestamp" in have and isinstance(df.schema["timestamp"].dataType, T.TimestampNTZType):
+        taken = F.concat(taken.cast("string"), F.lit("Z"))
     if "partition" in have:
         partition = F.col("partition").cast("int")
     elif partitions == 1:
@@ -202,22 +189,16 @@ def append_topic(
         text_bytes(F.col("value")).alias("value"),
         (F.lit(topic) if topic is not None else F.col("topic")).alias("topic"),
         partition.cast("int").alias("partition"),
-        offset.alias("offset"),
-        (F.col("timestamp").cast("timestamp") if "timestamp" in have else F.current_timestamp())
-        .alias("timestamp"),
+        offset.cast("bigint").alias("offset"),
+        taken.cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     ).write.format(format).mode("append").partitionBy("topic").save(path)
 
 
-def _next_offset(spark: SparkSession, path: str, format: str) -> int:
-    try:
-        log = spark.read.format(format).schema(ENVELOPE).load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return 0
-        raise
-    top = log.agg(F.max("offset").alias("top")).first()["top"]
-    return 0 if top is None else top + 1
+def utc_time(instant: Column) -> Column:
+    """An instant as the local time that clocks showed in UTC, in any session zone."""
+    micros = F.unix_micros(instant) * F.expr("INTERVAL '0.000001' SECOND")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + micros
 
 
 def topic_table(

@@ -7,7 +7,12 @@ with the number of groups and is the default choice.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import zlib
+from collections.abc import Mapping
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,8 +21,61 @@ from tidemark.operators.counting import kpi_count
 from tidemark.streaming.queries import start
 
 
+@dataclass(frozen=True)
+class KpiStore:
+    """Where the counts of streams are kept: ``path`` in a file ``format``.
+
+    Every query has a folder of its own, named by its checkpoint, so that an
+    older query's batches never mix in, and commits a batch after its counts
+    are complete; readers see committed batches only.
+    """
+
+    path: str
+    format: str = "parquet"
+    options: Mapping[str, str] = field(default_factory=dict)
+
+    def _folders(self, checkpoint: str) -> tuple[str, str]:
+        own = f"{zlib.crc32(checkpoint.encode()):08x}"
+        return f"{self.path}/counts/query={own}", f"{self.path}/commits/query={own}"
+
+    def save(self, counts: DataFrame, batch_id: int, checkpoint: str) -> None:
+        """Replace batch ``batch_id`` of the query; a repeated batch replaces itself."""
+        folder, commits = self._folders(checkpoint)
+        self._writer(counts).save(f"{folder}/batch_id={batch_id}")
+        done = counts.sparkSession.range(batch_id, batch_id + 1, 1, 1)
+        if batch_id == 0:
+            # A new checkpoint under an old path starts anew: this replaces all earlier commits.
+            self._writer(done.withColumn("part", F.lit(0))).partitionBy("part").save(commits)
+        else:
+            self._writer(done).save(f"{commits}/part={batch_id}")
+
+    def _writer(self, rows: DataFrame) -> DataFrameWriter:
+        return rows.write.format(self.format).options(**self.options).mode("overwrite")
+
+    def read(self, spark: SparkSession, schema: T.StructType, checkpoint: str) -> DataFrame:
+        """The committed counts of one query: the fields of ``schema``, ``count`` and ``batch_id``."""
+        folder, commits = self._folders(checkpoint)
+        counted = [T.StructField(name, T.LongType()) for name in ("count", "batch_id")]
+        full = T.StructType([*schema.fields, *counted])
+        reader = spark.read.format(self.format).options(**self.options)
+        done = reader.schema("id bigint, part bigint").load(commits).selectExpr("id AS batch_id").distinct()
+        stored = spark.read.format(self.format).options(**self.options).schema(full).load(folder)
+        return stored.join(done, "batch_id", "left_semi").select(*[named(n) for n in full.fieldNames()])
+
+
+def kpi_store(store: str | KpiStore) -> KpiStore:
+    return KpiStore(store) if isinstance(store, str) else store
+
+
+def read_kpi_store(
+    spark: SparkSession, store: str | KpiStore, schema: T.StructType, checkpoint: str
+) -> DataFrame:
+    """The committed counts of the query with ``checkpoint``, see ``KpiStore.read``."""
+    return kpi_store(store).read(spark, schema, checkpoint)
+
+
 def kpi_per_batch(
-    df: DataFrame, *fields: str, store: str, checkpoint: str, every: str | None = None
+    df: DataFrame, *fields: str, store: str | KpiStore, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     """Store the counts of every micro-batch.
 
@@ -27,7 +85,7 @@ def kpi_per_batch(
     kpi_count(df, *fields)  # checks the fields before anything starts
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        kpi_count(batch, *fields).write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
+        kpi_store(store).save(kpi_count(batch, *fields), batch_id, checkpoint)
 
     return start(df, checkpoint, each_batch=save, every=every)
 
@@ -35,7 +93,7 @@ def kpi_per_batch(
 def running_kpi(
     df: DataFrame,
     *fields: str,
-    store: str,
+    store: str | KpiStore,
     checkpoint: str,
     mode: str = "update",
     every: str | None = None,
@@ -48,13 +106,6 @@ def running_kpi(
     """
 
     def save(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
+        kpi_store(store).save(changed, batch_id, checkpoint)
 
     return start(kpi_count(df, *fields), checkpoint, each_batch=save, mode=mode, every=every)
-
-
-def read_kpi_store(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
-    """The stored counts: the group fields of ``schema``, ``count`` and ``batch_id``."""
-    counted = [T.StructField(name, T.LongType()) for name in ("count", "batch_id")]
-    full = T.StructType([*schema.fields, *counted])
-    return spark.read.schema(full).parquet(store).select(*[named(n) for n in full.fieldNames()])

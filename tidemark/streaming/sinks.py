@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.values import text_bytes, wrap_document
 from tidemark.operators.counting import kpi_count
 from tidemark.operators.parsing import STORED, parse_documents
-from tidemark.sources.documents import STORE
+from tidemark.sources.documents import VARIANT_FORMATS, stored_as
 from tidemark.sources.topics import append_topic
 from tidemark.streaming.queries import start
 
@@ -73,13 +73,16 @@ def stream_to_topic(
     )
 
 
-def as_documents(messages: DataFrame) -> DataFrame:
+def as_documents(messages: DataFrame, format: str = "parquet") -> DataFrame:
     """Messages in the columns of the document store.
 
-    Objects become ``doc``; whatever else arrived keeps its bytes in ``raw``
-    under the status that says why.  Stored plus rejected is the input.
+    Objects become ``doc`` (JSON text where the format has no variant);
+    whatever else arrived keeps its bytes in ``raw`` under the status that
+    says why.  Stored plus rejected is the input.
     """
     parsed = parse_documents(messages)
+    if format not in VARIANT_FORMATS:
+        parsed = parsed.withColumn("doc", F.to_json("doc"))
     parsed = parsed.withColumn(
         "raw", F.when(F.col("status") != STORED, F.col("value").cast("binary"))
     )
@@ -87,13 +90,19 @@ def as_documents(messages: DataFrame) -> DataFrame:
     return parsed.select(
         *[
             (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in STORE.fields
+            for f in stored_as(format).fields
         ]
     )
 
 
 def store_documents(
-    messages: DataFrame, path: str, mode: str = "append", rebalance: bool = False
+    messages: DataFrame,
+    path: str,
+    mode: str = "append",
+    rebalance: bool = False,
+    *,
+    format: str = "parquet",
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Write a bounded set of messages to the document store.
 
@@ -102,14 +111,21 @@ def store_documents(
     rows by folder first.  Small topics end up in few files, and a topic that
     holds most of the rows is still split over many tasks.
     """
-    documents = as_documents(messages)
+    documents = as_documents(messages, format)
     if rebalance:
         documents = documents.hint("rebalance", "status", "topic")
-    documents.write.mode(mode).partitionBy("status", "topic").parquet(path)
+    writer = documents.write.format(format).options(**(options or {})).mode(mode)
+    writer.partitionBy("status", "topic").save(path)
 
 
 def stream_documents(
-    messages: DataFrame, path: str, checkpoint: str, *, every: str | None = None
+    messages: DataFrame,
+    path: str | None,
+    checkpoint: str,
+    *,
+    every: str | None = None,
+    format: str = "parquet",
+    options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Route a stream of many topics into the document store, one folder per topic.
 
@@ -118,24 +134,56 @@ def stream_documents(
     same checkpoint adds no rows.
     """
     return start(
-        as_documents(messages), checkpoint, path=path, partition_by=("status", "topic"), every=every
+        as_documents(messages, format),
+        checkpoint,
+        format=format,
+        options=options,
+        path=path,
+        partition_by=("status", "topic") if path else (),
+        every=every,
     )
 
 
 def stream_rejected(
-    messages: DataFrame, path: str, checkpoint: str, *, every: str | None = None
+    messages: DataFrame,
+    path: str | None,
+    checkpoint: str,
+    *,
+    every: str | None = None,
+    format: str = "parquet",
+    options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Keep only what cannot become a document: the quarantine beside a typed table."""
-    rejected = as_documents(messages).where(F.col("status") != STORED)
-    return start(rejected, checkpoint, path=path, partition_by=("status", "topic"), every=every)
+    rejected = as_documents(messages, format).where(F.col("status") != STORED)
+    return start(
+        rejected,
+        checkpoint,
+        format=format,
+        options=options,
+        path=path,
+        partition_by=("status", "topic") if path else (),
+        every=every,
+    )
 
 
 def stream_messages(
-    messages: DataFrame, path: str, checkpoint: str, *, every: str | None = None
+    messages: DataFrame,
+    path: str | None,
+    checkpoint: str,
+    *,
+    every: str | None = None,
+    format: str = "parquet",
+    options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Route a stream of many topics as it is, each message wrapped as ``message``."""
     return start(
-        wrap_document(messages), checkpoint, path=path, partition_by=("topic",), every=every
+        wrap_document(messages),
+        checkpoint,
+        format=format,
+        options=options,
+        path=path,
+        partition_by=("topic",) if path else (),
+        every=every,
     )
 
 
