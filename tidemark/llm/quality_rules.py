@@ -104,7 +104,9 @@ def with_measures(docs: DataFrame) -> DataFrame:
         F.size("__l").cast("long").alias("n_lines"),
         count("!").cast("long").alias("n_bangs"),
     )
-    return frame.withColumn("__q", counts).drop("__w", "__l", "__g", "__s", "__p")
+    # Out of a generator: a filter on a plain column would be pushed below the arrays,
+    # and every one of them evaluated again wherever the filter mentions it.
+    return frame.withColumn("__q", F.explode(F.array(counts))).drop("__w", "__l", "__g", "__s", "__p")
 
 
 def base_failed() -> Column:
