@@ -47,6 +47,13 @@ PIECE = 1 << 20
 SEPARATOR = b"\xff"  # never part of UTF-8
 _FACTOR = 0x9E3779B97F4A7C15
 _PLACE_BITS = 24
+#: A block's distance and count share a number, ten bits each, below its first string.
+_FIELD = 10
+_MASK = (1 << _FIELD) - 1
+
+
+#: What tells contents of blocks apart.
+_CONTENT = ("anchor", "content", "distance", "count")
 
 
 def _row_key() -> list:
@@ -58,6 +65,8 @@ class Anchors:
 
     def __init__(self, length: int = LENGTH, gram: int = GRAM):
         self.length, self.gram, self.window = length, gram, length - gram + 1
+        if not 0 < self.window <= _MASK:
+            raise ValueError(f"length - gram lies between 0 and {_MASK - 1}")
         n = PIECE + 2 * length
         with np.errstate(over="ignore"):
             self.powers = np.cumprod(np.r_[np.uint64(1), np.full(n, _FACTOR, np.uint64)])
@@ -101,7 +110,11 @@ class Anchors:
 
 
 def blocks(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Blocks of all rows: row key, place, anchor and a 128-bit digest of the content."""
+    """Blocks of all rows: row key, place (first string, distance, count), anchor and a hash of the content.
+
+    Rows are kept narrow, as there is one for some 150 bytes of text.  Content,
+    anchor, distance and count together tell contents apart.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Anchors(length, gram)
@@ -112,22 +125,40 @@ def blocks(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
                 if not len(first):
                     continue
                 view = memoryview(text)
-                digests = b"".join(
-                    xxhash.xxh3_128_digest(view[s:e]) for s, e in zip(first, first + count + (length - 1), strict=True)
-                )
-                halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
+                content = [
+                    xxhash.xxh3_64_intdigest(view[s:e]) for s, e in zip(first, first + count + (length - 1), strict=True)
+                ]
+                place = first << 2 * _FIELD | distance << _FIELD | count
                 n = len(first)
-                made.append((np.full(n, k1), np.full(n, k2), first, count, distance, anchor, halves[:, 0], halves[:, 1]))
+                made.append((np.full(n, k1), np.full(n, k2), place, anchor, np.array(content, np.uint64).view(np.int64)))
             if made:
                 columns = [np.concatenate(c) for c in zip(*made, strict=True)]
-                kinds = [np.int64, np.int32, np.int64, np.int32, np.int32, np.int64, np.int64, np.int64]
+                kinds = [np.int64, np.int32, np.int64, np.int64, np.int64]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c.astype(k)) for c, k in zip(columns, kinds, strict=True)],
-                    ["k1", "k2", "first", "count", "distance", "anchor", "c1", "c2"],
+                    ["k1", "k2", "place", "anchor", "content"],
                 )
 
     return docs.select(*_row_key(), F.col("text").cast("binary")).mapInArrow(
-        run, "k1 long, k2 int, first long, count int, distance int, anchor long, c1 long, c2 long"
+        run, "k1 long, k2 int, place long, anchor long, content long"
+    )
+
+
+def shared_blocks(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """The blocks whose anchor occurs more than once; the others cannot hold a repeated string."""
+    found = cut(blocks(docs, length, gram))
+    often = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    place = F.col("place")
+    return cut(
+        found.join(often, "anchor").select(
+            "k1",
+            "k2",
+            F.shiftright(place, 2 * _FIELD).alias("first"),
+            F.shiftright(place, _FIELD).bitwiseAND(F.lit(_MASK)).cast("int").alias("distance"),
+            place.bitwiseAND(F.lit(_MASK)).cast("int").alias("count"),
+            "anchor",
+            "content",
+        )
     )
 
 
@@ -156,19 +187,14 @@ def repeated_contents(
 ) -> DataFrame:
     """Ranges ``low`` to ``high`` of strings, counted from the block's first, that repeat: one row per content and range."""
     rep = F.min(F.struct("k1", "k2", "first")).alias("rep")
-    contents = found.groupBy("anchor", "distance", "count", "c1", "c2").agg(F.count(F.lit(1)).alias("copies"), rep)
+    contents = found.groupBy("anchor", "content", "distance", "count").agg(F.count(F.lit(1)).alias("copies"), rep)
     anchors = (
         contents.groupBy("anchor")
-        .agg(
-            F.sum("copies").alias("total"),
-            F.count(F.lit(1)).alias("kinds"),
-            F.sum(F.col("count") + (length - 1)).alias("bytes"),
-        )
-        .filter("total > 1")
+        .agg(F.count(F.lit(1)).alias("kinds"), F.sum(F.col("count") + (length - 1)).alias("bytes"))
     )
     known = cut(contents.join(anchors, "anchor"))
     whole = known.filter("copies > 1").select(
-        "anchor", "c1", "c2", F.lit(0).alias("low"), F.col("count").alias("high")
+        *_CONTENT, F.lit(0).alias("low"), F.col("count").alias("high")
     )
     mixed = known.filter("kinds > 1")
     size = mixed.agg(F.sum(F.col("count") + (length - 1))).first()[0] or 0
@@ -176,8 +202,9 @@ def repeated_contents(
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size) // shard))
     # Strings of an anchor with many contents are dealt by their distance to it.
     window = length - gram + 1
+    parts = F.least(F.ceil(F.col("bytes") / shard), F.lit(window)).cast("int").alias("parts")
     wanted = (
-        mixed.select("rep.k1", "rep.k2", F.struct("rep.first", "count", "distance", "anchor", "c1", "c2", "copies", F.least(F.ceil(F.col("bytes") / shard), F.lit(window)).cast("int").alias("parts")).alias("b"))
+        mixed.select("rep.k1", "rep.k2", F.struct("rep.first", *_CONTENT, parts).alias("b"))
         .groupBy("k1", "k2")
         .agg(F.collect_list("b").alias("wanted"))
     )
@@ -185,8 +212,8 @@ def repeated_contents(
     holders = texts.join(wanted, ["k1", "k2"]).select("text", "wanted")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "part", "c1", "c2", "copies", "low", "strings", "bytes"]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        names = ["part", *_CONTENT, "low", "strings", "bytes"]
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
         for batch in batches:
             for text, blocks_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 rows = []
@@ -197,45 +224,46 @@ def repeated_contents(
                         part = (b["distance"] - at) // step
                         end = min(b["count"], b["distance"] - part * step + 1)
                         s = b["first"] + at
-                        rows.append((b["anchor"], part, b["c1"], b["c2"], b["copies"], at, end - at, text[s : s + end - at + length - 1]))
+                        content = [b[c] for c in _CONTENT]
+                        rows.append((part, *content, at, end - at, text[s : s + end - at + length - 1]))
                         at = end
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names
                 )
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, texts_ = [], []
+        contents_, lows, strings, texts_ = [], [], [], []
         for batch in batches:
-            rows += zip(*[batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4)], strict=True)
-            texts_ += batch.column(5).to_pylist()
-        if not rows:
+            contents_ += zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True)
+            lows += batch.column(4).to_pylist()
+            strings += batch.column(5).to_pylist()
+            texts_ += batch.column(6).to_pylist()
+        if not texts_:
             return
-        found_ = _repeats(texts_, [r[4] for r in rows], length)
-        columns = [[rows[i][0] for i, _, _ in found_], [rows[i][1] for i, _, _ in found_], [rows[i][2] for i, _, _ in found_], [rows[i][3] + s for i, s, _ in found_], [rows[i][3] + e for i, _, e in found_]]
+        rows = [(*contents_[i], lows[i] + s, lows[i] + e) for i, s, e in _repeats(texts_, strings, length)]
+        kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4]
+        columns = list(zip(*rows, strict=True)) or [()] * 6
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, [pa.int64()] * 3 + [pa.int32()] * 2, strict=True)],
-            ["anchor", "c1", "c2", "low", "high"],
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [*_CONTENT, "low", "high"]
         )
 
+    kind = "anchor long, content long, distance int, count int"
     dealt = (
-        holders.mapInArrow(
-            extract, "anchor long, part int, c1 long, c2 long, copies long, low int, strings int, bytes binary"
-        )
+        holders.mapInArrow(extract, f"part int, {kind}, low int, strings int, bytes binary")
         .repartition(shards, "anchor", "part")
-        .select("anchor", "c1", "c2", "low", "strings", "bytes")
+        .select(*_CONTENT, "low", "strings", "bytes")
     )
-    ordered = dealt.mapInArrow(order, "anchor long, c1 long, c2 long, low int, high int")
+    ordered = dealt.mapInArrow(order, f"{kind}, low int, high int")
     return whole.unionByName(ordered)
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
     """``doc_id``, ``text`` as bytes and the spans (``start``, ``end``) to remove, in order, of every row."""
     source = docs.select("doc_id", "text")
-    found = cut(blocks(source, length, gram))
+    found = shared_blocks(source, length, gram)
     ranges = repeated_contents(source, found, length, gram, shard)
     spans = (
-        found.select("k1", "k2", "first", "anchor", "c1", "c2")
-        .join(ranges, ["anchor", "c1", "c2"])
+        found.join(ranges, list(_CONTENT))
         .groupBy("k1", "k2")
         .agg(
             F.collect_set(
