@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +90,13 @@ def with_window_hashes(frame: DataFrame, source: str, target: str, length: int)
     return frame.drop(*[c for c in frame.columns if c.startswith("__h")])
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in smaller ones, so that few texts at a time become Python values."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def uniform(*parts: Column) -> Column:
     """A number in (0, 1) that depends on the given values only: 52 bits of their MD5."""
     text = F.concat_ws(":", *[F.coalesce(p.cast("string"), F.lit("null")) for p in parts])

@@ -35,13 +35,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import cut, slices
 from tidemark.llm.induced_sort import suffixes
 
 LENGTH = 400
 GRAM = 100
 #: Bytes that a shard should have, and from which an anchor is split.
-SHARD = 4 << 20
+SHARD = 2 << 20
 #: Bytes of a document that are hashed at once.
 PIECE = 1 << 20
 SEPARATOR = b"\xff"  # never part of UTF-8
@@ -118,7 +118,7 @@ def blocks(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Anchors(length, gram)
-        for batch in batches:
+        for batch in slices(batches):
             made = []
             for k1, k2, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 first, count, distance, anchor = cutter.blocks(text or b"")
@@ -146,8 +146,10 @@ def blocks(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
 
 def shared_blocks(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """The blocks whose anchor occurs more than once; the others cannot hold a repeated string."""
-    found = cut(blocks(docs, length, gram))
-    often = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    # Blocks are made twice rather than kept: there is one for some 150 bytes of text.
+    found = blocks(docs, length, gram)
+    # A cut point, so that the join shuffles both sides and can split a hot anchor.
+    often = cut(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"))
     place = F.col("place")
     return cut(
         found.join(often, "anchor").select(
@@ -188,9 +190,10 @@ def repeated_contents(
     """Ranges ``low`` to ``high`` of strings, counted from the block's first, that repeat: one row per content and range."""
     rep = F.min(F.struct("k1", "k2", "first")).alias("rep")
     contents = found.groupBy("anchor", "content", "distance", "count").agg(F.count(F.lit(1)).alias("copies"), rep)
-    anchors = (
-        contents.groupBy("anchor")
-        .agg(F.count(F.lit(1)).alias("kinds"), F.sum(F.col("count") + (length - 1)).alias("bytes"))
+    anchors = cut(
+        contents.groupBy("anchor").agg(
+            F.count(F.lit(1)).alias("kinds"), F.sum(F.col("count") + (length - 1)).alias("bytes")
+        )
     )
     known = cut(contents.join(anchors, "anchor"))
     whole = known.filter("copies > 1").select(
@@ -214,7 +217,7 @@ def repeated_contents(
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["part", *_CONTENT, "low", "strings", "bytes"]
         kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-        for batch in batches:
+        for batch in slices(batches):
             for text, blocks_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 rows = []
                 for b in blocks_:
@@ -279,7 +282,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int =
     )
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             made = []
             for spans_ in batch.column(2).to_pylist():
                 merged: list[list[int]] = []
@@ -306,7 +309,7 @@ def digest(found: DataFrame) -> DataFrame:
     kind = found.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 text = text or b""
