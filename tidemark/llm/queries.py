@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,14 +46,7 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     token_files.write_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer, path)
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crc = pa.array([zlib.crc32(i) for i in batch.column(3).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], crc], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return token_files.read_ids(spark, path).mapInArrow(
-        digest, "doc_id long, start long, n_tokens long, ids_crc32 long"
-    )
+    return token_files.read_ids(spark, path, zlib.crc32, "ids_crc32 long")
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
