@@ -30,6 +30,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import slices
+
 FOLDS = 5
 SAMPLE = 3000
 LONGEST = 100_000
@@ -66,14 +68,18 @@ class Model:
     slope: float
     intercept: float
 
-    def differences(self, texts: list[bytes]) -> np.ndarray:
-        if not self.good or not self.bad:
+    def compressors(self) -> tuple | None:
+        """The compressors with the good and the bad dictionary, to be made once per task."""
+        return (_compressor(*self.good), _compressor(*self.bad)) if self.good and self.bad else None
+
+    def differences(self, texts: list[bytes], pair: tuple | None) -> np.ndarray:
+        if not pair:
             return np.zeros(len(texts))
-        good, bad = _compressor(*self.good), _compressor(*self.bad)
+        good, bad = pair
         return np.array([(len(bad.compress(t)) - len(good.compress(t))) / max(len(t), 1) for t in texts])
 
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.differences(texts) + self.intercept, -30, 30)))
+    def scores(self, texts: list[bytes], pair: tuple | None) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * self.differences(texts, pair) + self.intercept, -30, 30)))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -124,7 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     made = {q: _dictionary(t[0::2]) for q, t in texts.items()}
     rest = {q: t[1::2] for q, t in texts.items()}
     model = Model(made[1], made[0], 1.0, 0.0)
-    x = model.differences(rest[0] + rest[1])
+    x = model.differences(rest[0] + rest[1], model.compressors())
     y = np.r_[np.zeros(len(rest[0])), np.ones(len(rest[1]))]
     weight = np.r_[np.full(len(rest[0]), count[0] / len(rest[0])), np.full(len(rest[1]), count[1] / len(rest[1]))]
     slope, intercept = _logistic(x, y, weight * len(y) / weight.sum())
@@ -136,8 +142,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = model.scores([t or b"" for t in batch.column(2).to_pylist()])
+        pair = model.compressors()
+        for batch in slices(batches):
+            found = model.scores([t or b"" for t in batch.column(2).to_pylist()], pair)
             predicted = pa.array((found >= THRESHOLD).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found), predicted],

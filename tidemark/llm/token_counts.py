@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import slices
+
 MARK = "▁"
 DEPTH = 64
 MOST_NODES = 300_000
@@ -105,7 +107,7 @@ def token_counts(docs: DataFrame, scores: dict[str, float]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, known = Trie(vocabulary.value), {}
-        for batch in batches:
+        for batch in slices(batches):
             words, tokens = [], []
             for text in batch.column(1).to_pylist():
                 found = Counter((text or b"").split())  # bytes split at the six white-space characters

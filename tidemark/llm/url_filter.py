@@ -83,14 +83,14 @@ def judge_urls(
     )
     expressions = (
         urls.select("__url", F.explode(suffixes).alias("__s"), prefixes.alias("__ps"))
-        .select("__url", "__s", F.explode("__ps").alias("__p"))
+        .select("__url", "__s", F.explode(F.slice("__ps", F.lit(1), F.size("__ps"))).alias("__p"))
         .select("__url", F.sha2(F.concat_ws("\n", "__s", "__p"), 256).alias("__full"))
         .withColumn("__prefix", F.substring("__full", 1, PREFIX))
     )
     met = expressions.join(small(known, _RULES_TO_BROADCAST), "__prefix").filter("__full = __digest")
-    best = met.groupBy("__url").agg(
-        F.max(F.struct(F.length("__rule").alias("n"), F.col("verdict").alias("v"), F.col("__rule").alias("r"))).alias("__best")
-    )
+    rule = F.struct(F.length("__rule").alias("n"), F.col("verdict").alias("v"), F.col("__rule").alias("r"))
+    # A cut point, so that the join below shuffles both sides and can split a hot URL.
+    best = cut(met.groupBy("__url").agg(F.max(rule).alias("__best")))
     kept = [F.col(f"__in.`{c}`") for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
     joined = pages.alias("__in").join(best.alias("__v"), F.col(f"__in.`{column}`") == F.col("__v.__url"), "left")
     return joined.select(
