@@ -22,8 +22,8 @@ scores go to fewer tokens; repeated rows count alike; empty tables give no rows.
 
 from __future__ import annotations
 
+import gc
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +35,7 @@ from tidemark.llm.common import slices
 
 MARK = "▁"
 DEPTH = 64
-MOST_NODES = 300_000
+MOST_NODES = 600_000
 MOST_WORDS = 600_000
 
 
@@ -57,29 +57,33 @@ class Trie:
 
     def __init__(self, scores: dict[str, float]):
         self.scores = scores
-        self.longest = max(map(len, scores), default=1)
         self.byte = min(scores.values(), default=0.0) - 1.0
+        # Every end of a piece, with its score if it is one itself: what is not here ends no piece.
+        self.ends = {p[i:]: None for p in scores for i in range(len(p))} | scores
         self.clear()
 
     def clear(self) -> None:
-        self.root: list = [0.0, 0, {}]  # best score, its tokens, nodes by letter
+        self.root: list = [0.0, 0, None]  # best score, its tokens, nodes by letter
         self.nodes = 1
 
     def _extend(self, word: str, path: list, end: int) -> tuple[float, int]:
         """Best score and tokens of ``word[:end]``, given those of all its prefixes in ``path``."""
-        letter = word[end - 1]
-        before = path[end - 1]
+        ends = self.ends
         score, tokens = -math.inf, 0
-        if letter not in self.scores:
-            size = len(letter.encode("utf-8", "surrogatepass"))
-            score, tokens = before[0] + self.byte * size, before[1] + size
-        for start in range(max(0, end - self.longest), end):
-            piece = self.scores.get(word[start:end])
+        if word[end - 1] not in self.scores:
+            size = len(word[end - 1].encode("utf-8", "surrogatepass"))
+            score, tokens = path[end - 1][0] + self.byte * size, path[end - 1][1] + size
+        for start in range(end - 1, -1, -1):
+            part = word[start:end]
+            if part not in ends:
+                break
+            piece = ends[part]
             if piece is not None:
-                before = path[start]
-                total, count = before[0] + piece, before[1] + 1
-                if total > score or (total == score and count < tokens):
-                    score, tokens = total, count
+                total = path[start][0] + piece
+                if total >= score:
+                    count = path[start][1] + 1
+                    if total > score or count < tokens:
+                        score, tokens = total, count
         return score, tokens
 
     def count(self, word: str) -> int:
@@ -87,41 +91,54 @@ class Trie:
         if self.nodes > MOST_NODES:
             self.clear()
         node, path = self.root, [self.root]
-        for end in range(1, min(len(word), DEPTH) + 1):
-            below = node[2].get(word[end - 1])
-            if below is None:
-                score, tokens = self._extend(word, path, end)
-                below = node[2][word[end - 1]] = [score, tokens, {}]
+        for end, letter in enumerate(word[:DEPTH], 1):
+            nodes = node[2]
+            if nodes is None:
+                nodes = node[2] = {}
+            node = nodes.get(letter)
+            if node is None:
+                node = nodes[letter] = [*self._extend(word, path, end), None]
                 self.nodes += 1
-            path.append(below)
-            node = below
+            path.append(node)
         for end in range(DEPTH + 1, len(word) + 1):
             path.append(self._extend(word, path, end))
         return path[-1][1]
 
 
+class Counts(dict):
+    """Tokens of the words seen, bounded; an unknown word is looked up in the trie."""
+
+    def __init__(self, scores: dict[str, float]):
+        self.trie = Trie(scores)
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= MOST_WORDS:
+            self.clear()
+        found = self[word] = self.trie.count(MARK + word.decode("utf-8", "replace"))
+        return found
+
+
 def token_counts(docs: DataFrame, scores: dict[str, float]) -> DataFrame:
     """``doc_id``, ``n_pretokens`` and ``n_tokens`` of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     vocabulary = docs.sparkSession.sparkContext.broadcast(scores)  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, known = Trie(vocabulary.value), {}
-        for batch in slices(batches):
-            words, tokens = [], []
-            for text in batch.column(1).to_pylist():
-                found = Counter((text or b"").split())  # bytes split at the six white-space characters
-                if len(known) > MOST_WORDS:
-                    known.clear()
-                for word in found:
-                    if word not in known:
-                        known[word] = trie.count(MARK + word.decode("utf-8", "replace"))
-                words.append(sum(found.values()))
-                tokens.append(sum(n * known[w] for w, n in found.items()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(words, np.int64)), pa.array(np.array(tokens, np.int64))],
-                ["doc_id", "n_pretokens", "n_tokens"],
-            )
+        known = Counts(vocabulary.value)
+        gc.disable()  # a trie has no cycles, but millions of nodes to walk over
+        try:
+            for batch in slices(batches):
+                words, tokens = [], []
+                for text in batch.column(1).to_pylist():
+                    found = (text or b"").split()  # bytes split at the six white-space characters
+                    words.append(len(found))
+                    tokens.append(sum(map(known.__getitem__, found)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(np.array(words, np.int64)), pa.array(np.array(tokens, np.int64))],
+                    ["doc_id", "n_pretokens", "n_tokens"],
+                )
+        finally:
+            gc.enable()
 
     return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(
         run, f"doc_id {kind}, n_pretokens long, n_tokens long"
