@@ -78,6 +78,30 @@ def test_against_brute_force(spark, seed, monkeypatch):
         assert run(frame, length=40, gram=10, shard=shard) == want
 
 
+@pytest.mark.parametrize("shared", [32, 50])
+def test_a_passage_in_many_surroundings(spark, shared, monkeypatch):
+    """A passage shorter or longer than a string, in distinct surroundings: no task may get a string of each."""
+    chance = random.Random(shared)
+
+    def letters(n):
+        return "".join(chance.choice("abcdefghij") for _ in range(n))
+
+    passage = letters(shared)
+    rows = [(i, letters(30) + passage + letters(30)) for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    most = spark.sparkContext.accumulator(0)
+    read = suffix_dedup._repeats
+
+    def spied(texts, strings, length):
+        most.add(sum(map(len, texts)) > 4 * 2000)
+        return read(texts, strings, length)
+
+    monkeypatch.setattr(suffix_dedup, "_repeats", spied)
+    want = sorted(((True, i), *f) for (i, _), f in zip(rows, brute([t.encode() for _, t in rows], 40), strict=True))
+    assert run(frame, length=40, gram=10, shard=2000) == want
+    assert most.value == 0  # some anchors share a task, but none brings all its contents
+
+
 def test_query(spark, sf_dir, corpus):
     found = {r["doc_id"]: tuple(r)[1:] for r in op6_suffix_dedup(spark, sf_dir).collect()}
     rows = [(r["doc_id"], (r["text"] or "").encode()) for r in corpus.collect()]

@@ -16,6 +16,9 @@ The corpus is cut so that equal strings always meet in one shard:
    queues that carry common-prefix values (``induced_sort``); a string repeats if
    its suffix shares ``LENGTH`` bytes with a neighbour.  A large anchor is split by
    the distance from the string's start to the anchor, which equal strings share.
+   An anchor with so many contents that a single distance would exceed a shard is
+   not sorted: its strings are counted by digest, with partial sums, so no task
+   holds the strings of the anchor or the copies of one string.
 4. The repeated ranges go back to all blocks of the content, and per document
    are joined into spans.
 
@@ -32,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut, slices
@@ -184,6 +187,40 @@ def _repeats(texts: list[bytes], strings: list[int], length: int) -> list[tuple[
     return found
 
 
+def _counted(holders: DataFrame, length: int) -> DataFrame:
+    """Ranges of strings that repeat in the blocks ``wanted`` of each ``text``, by counting digests of strings."""
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+        for batch in slices(batches):
+            for text, blocks_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                view = memoryview(text)
+                for at in range(0, len(blocks_), 500):
+                    rows = []
+                    for b in blocks_[at : at + 500]:
+                        content = [b[c] for c in _CONTENT]
+                        for i in range(b["count"]):
+                            s = b["first"] + i
+                            rows.append((*content, i, hashlib.sha256(view[s : s + length]).digest()[:16]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+                        [*_CONTENT, "low", "digest"],
+                    )
+
+    # Digests are made twice rather than kept, as there is one for each string.
+    made = holders.mapInArrow(digests, "anchor long, content long, distance int, count int, low int, digest binary")
+    often = cut(made.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest"))
+    # Strings in a row are one range.
+    run = F.col("low") - F.row_number().over(Window.partitionBy(*_CONTENT).orderBy("low"))
+    return (
+        made.join(often, "digest")
+        .select(*_CONTENT, "low", run.alias("run"))
+        .groupBy(*_CONTENT, "run")
+        .agg(F.min("low").alias("low"), (F.max("low") + 1).alias("high"))
+        .drop("run")
+    )
+
+
 def repeated_contents(
     docs: DataFrame, found: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD
 ) -> DataFrame:
@@ -200,19 +237,24 @@ def repeated_contents(
         *_CONTENT, F.lit(0).alias("low"), F.col("count").alias("high")
     )
     mixed = known.filter("kinds > 1")
-    size = mixed.agg(F.sum(F.col("count") + (length - 1))).first()[0] or 0
+    # A content has at most one string at each distance.
+    hot = F.col("kinds") * length > shard
+    totals = mixed.agg(F.sum(F.when(~hot, F.col("count") + (length - 1))), F.max(hot)).first()
+    size, any_hot = totals[0] or 0, bool(totals[1])
     spark = docs.sparkSession
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size) // shard))
     # Strings of an anchor with many contents are dealt by their distance to it.
     window = length - gram + 1
     parts = F.least(F.ceil(F.col("bytes") / shard), F.lit(window)).cast("int").alias("parts")
-    wanted = (
-        mixed.select("rep.k1", "rep.k2", F.struct("rep.first", *_CONTENT, parts).alias("b"))
-        .groupBy("k1", "k2")
-        .agg(F.collect_list("b").alias("wanted"))
-    )
     texts = docs.select(*_row_key(), F.col("text").cast("binary").alias("text"))
-    holders = texts.join(wanted, ["k1", "k2"]).select("text", "wanted")
+
+    def holders(some: DataFrame) -> DataFrame:
+        wanted = (
+            some.select("rep.k1", "rep.k2", F.struct("rep.first", *_CONTENT, parts).alias("b"))
+            .groupBy("k1", "k2")
+            .agg(F.collect_list("b").alias("wanted"))
+        )
+        return texts.join(wanted, ["k1", "k2"]).select("text", "wanted")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["part", *_CONTENT, "low", "strings", "bytes"]
@@ -252,12 +294,13 @@ def repeated_contents(
 
     kind = "anchor long, content long, distance int, count int"
     dealt = (
-        holders.mapInArrow(extract, f"part int, {kind}, low int, strings int, bytes binary")
+        holders(mixed.filter(~hot)).mapInArrow(extract, f"part int, {kind}, low int, strings int, bytes binary")
         .repartition(shards, "anchor", "part")
         .select(*_CONTENT, "low", "strings", "bytes")
     )
     ordered = dealt.mapInArrow(order, f"{kind}, low int, high int")
-    return whole.unionByName(ordered)
+    ranges = whole.unionByName(ordered)
+    return ranges.unionByName(_counted(holders(mixed.filter(hot)), length)) if any_hot else ranges
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
