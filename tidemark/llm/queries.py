@@ -14,6 +14,7 @@ from tidemark.llm import (
     compression_classifier,
     decontamination,
     mixing,
+    periodic_runs,
     quality_rules,
     sharding,
     simhash_dedup,
@@ -22,7 +23,7 @@ from tidemark.llm import (
     token_files,
     url_filter,
 )
-from tidemark.llm.common import shared_folder, table
+from tidemark.llm.common import shared_folder, table, words
 
 #: Rules of the URL query: host, start of the path, verdict.
 URL_RULES = (
@@ -122,6 +123,38 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` with the end of the text of every tenth ``crc32(doc_id)`` made periodic."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    n, a, p, w = F.size("__w"), F.col("__a"), F.col("__p"), F.col("__w")
+    g = F.floor(h / 10)
+    # Null where the text stays as it is.
+    frame = docs.withColumn("__w", F.when(h % 10 == 0, words(F.col("text")))).withColumn(
+        "__a", F.when(n > 0, g % n).cast("int")
+    )
+    frame = frame.withColumn("__p", (1 + F.floor((n - a) / (3 + g % 8))).cast("int"))
+    repeats = F.ceil((n - a) / p).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(w, a + 1, p), repeats)), F.lit(1), n - a)
+    planted = F.array_join(F.concat(F.slice(w, F.lit(1), a), tail), " ")
+    return frame.select("doc_id", F.when(a.isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.collapse_runs(_with_planted_runs(docs))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("early"), (-r["period"]).alias("short"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"], F.lit("\n"))))
+    best = {"start": -F.col("__best.early"), "length": F.col("__best.length"), "period": -F.col("__best.short")}
+    return found.withColumn("__best", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[c.alias(name) for name, c in best.items()],
+        F.floor(1000 * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -134,4 +167,5 @@ def registered() -> dict[str, Query]:
         "op8_decontamination": op8_decontamination,
         "op9_compression_classifier": op9_compression_classifier,
         "op10_simhash_dedup": op10_simhash_dedup,
+        "op11_periodic_runs": op11_periodic_runs,
     }
