@@ -18,6 +18,7 @@ from tidemark.llm import (
     quality_rules,
     sharding,
     simhash_dedup,
+    spelling_variants,
     suffix_dedup,
     token_counts,
     token_files,
@@ -155,6 +156,17 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _planted_typo(doc_id: int | None, word: str) -> str:
+    """``word`` without a code point, by a checksum of document and word; nearly always as it is."""
+    h = 1 if doc_id is None else zlib.crc32(f"{doc_id}:{word}".encode())
+    return word if h % 97 else word[: h % len(word)] + word[h % len(word) + 1 :]
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling_variants.variants(spelling_variants.vocabulary(docs, change=_planted_typo))
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -168,4 +180,5 @@ def registered() -> dict[str, Query]:
         "op9_compression_classifier": op9_compression_classifier,
         "op10_simhash_dedup": op10_simhash_dedup,
         "op11_periodic_runs": op11_periodic_runs,
+        "op13_spelling_variants": op13_spelling_variants,
     }
