@@ -38,6 +38,6 @@ def test_same_result(spark, duck, sf_dir, name):
 
 def test_every_operator_is_registered():
     found = contract.queries()
-    assert {int(n[2:].split("_")[0]) for n in found if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in found if n.startswith("op")} == set(range(1, 14))
     assert "pipeline" in found
     assert set(oracle()) <= set(found)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     compression_classifier,
     decontamination,
+    jaccard_join,
     mixing,
     periodic_runs,
     quality_rules,
@@ -156,6 +157,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _planted_typo(doc_id: int | None, word: str) -> str:
     """``word`` without a code point, by a checksum of document and word; nearly always as it is."""
     h = 1 if doc_id is None else zlib.crc32(f"{doc_id}:{word}".encode())
@@ -180,5 +185,6 @@ def registered() -> dict[str, Query]:
         "op9_compression_classifier": op9_compression_classifier,
         "op10_simhash_dedup": op10_simhash_dedup,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_jaccard_join": op12_jaccard_join,
         "op13_spelling_variants": op13_spelling_variants,
     }
