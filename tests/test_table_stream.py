@@ -1,0 +1,103 @@
+"""A table of files as a streaming source."""
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from tidemark.operators import Mark, TableWatch, poll_late
+from tidemark.sources import stream_table
+from tidemark.streaming import DeliveryLog, start, with_delivery
+
+SCHEMA = "id bigint, c {}, v string"
+
+
+def append(spark, folder, rows, kind="bigint"):
+    spark.createDataFrame(rows, "id bigint, c string, v string").select(
+        "id", F.col("c").cast(kind).alias("c"), "v"
+    ).repartition(2).write.mode("append").parquet(f"{folder}/table")
+
+
+def run(spark, folder, kind="bigint", each=None):
+    schema = spark.createDataFrame([], SCHEMA.format(kind)).schema
+    stream = stream_table(spark, f"{folder}/table", schema, "c", "id")
+
+    def save(batch, number):
+        batch.write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
+
+    start(stream, f"{folder}/checkpoint", each_batch=each or save).awaitTermination()
+    return sorted(r["id"] for r in spark.read.parquet(f"{folder}/out").collect())
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double", "timestamp_ntz", "timestamp", "date", "string"])
+def test_every_row_comes_once(spark, folder, kind):
+    day = (lambda n: f"2024-01-{n:02d}") if kind not in ("bigint", "double") else str
+    append(spark, folder, [(i, day(1 + i // 4), "a") for i in range(20)], kind)
+    assert run(spark, folder, kind) == list(range(20))
+    assert run(spark, folder, kind) == list(range(20))  # nothing new
+    # Ties with the last position, later rows, and rows below the mark or without a position.
+    append(spark, folder, [(i, day(5), "b") for i in range(20, 26)] + [(30, day(9), "c"), (7, day(1), "late")], kind)
+    append(spark, folder, [(40, None, "n"), (None, day(9), "n")] + ([(41, "NaN", "n")] if kind == "double" else []), kind)
+    assert run(spark, folder, kind) == [*range(26), 30]
+
+
+def test_a_batch_that_died_is_read_again(spark, folder):
+    append(spark, folder, [(i, str(i), "a") for i in range(10)])
+    run(spark, folder)
+
+    def die(batch, number):
+        batch.limit(2).write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
+        raise RuntimeError("lost")
+
+    append(spark, folder, [(i, str(i), "a") for i in range(10, 20)])
+    with pytest.raises(StreamingQueryException):
+        run(spark, folder, each=die)
+    append(spark, folder, [(i, str(i), "a") for i in range(20, 30)])
+    assert run(spark, folder) == list(range(20))  # the batch that died, with the same bounds
+    assert run(spark, folder) == list(range(30))
+    batches = spark.read.parquet(f"{folder}/out").groupBy("batch").count().collect()
+    assert {r["batch"]: r["count"] for r in batches} == {0: 10, 1: 10, 2: 10}
+
+
+def test_columns_are_checked(spark, folder):
+    schema = spark.createDataFrame([], SCHEMA.format("int")).schema
+    with pytest.raises(ValueError, match="nope"):
+        stream_table(spark, folder, schema, "nope", "id")
+
+
+def test_late_rows_come_once(spark, folder):
+    now = [[(1, 10), (2, 20), (3, 30)]]
+    scan = lambda: spark.createDataFrame(now[-1], "id int, c int")
+    watch = TableWatch(spark, scan, "c", "id", f"{folder}/out", f"{folder}/mark", overlap=15)
+    assert watch.advance() == 3
+    now.append(now[-1] + [(4, 20), (5, 5), (6, 15), (7, None)])  # within the overlap: 4 and 6
+    assert watch.advance() == 3
+    assert watch.last()[1].cursor == "30"
+    assert watch.advance() == 0
+    now.append(now[-1] + [(8, 31), (0, 30)])
+    assert watch.advance() == 2
+    assert sorted(r["id"] for r in watch.seen().collect()) == [0, 1, 2, 3, 4, 6, 7, 8]
+
+
+def test_late_times(spark):
+    rows = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-02-10"), (3, "2024-02-20")], "id int, d string")
+    table = rows.select("id", F.to_timestamp_ntz("d").alias("c"))
+    mark = Mark("2024-02-15 00:00:00", "9")
+    found = poll_late(table, table.where("id = 3"), "c", "id", mark, "7 days")
+    assert sorted(r["id"] for r in found.collect()) == [2, 3]
+
+
+def test_all_batches_are_reported(spark, folder):
+    for i in range(120):
+        (spark.range(i, i + 1, 1, 1) if i else spark.range(3)).write.mode("append").parquet(f"{folder}/in")
+    log = DeliveryLog(spark, f"{folder}/reports", lot=50)
+    stream = spark.readStream.schema("id bigint").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    spark.streams.addListener(log)
+    query = start(with_delivery(stream, F.col("id") % 2 == 0), f"{folder}/ck", path=f"{folder}/out")
+    query.awaitTermination()
+    log.wait(query)
+    spark.streams.removeListener(log)
+    found = log.read()
+    total = found.agg(F.count("*"), F.countDistinct("batch_id"), F.sum("messages")).first()
+    files = len(spark.read.parquet(f"{folder}/in").inputFiles())
+    assert total[0] == total[1] >= files > 100 and total[2] == 122
+    assert len(spark.read.parquet(f"{folder}/reports").inputFiles()) <= 5

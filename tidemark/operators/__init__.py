@@ -14,7 +14,7 @@ from tidemark.operators.parsing import (
     parse_struct,
     typed_messages,
 )
-from tidemark.operators.polling import Mark, TableWatch, high_water_mark, poll
+from tidemark.operators.polling import Mark, TableWatch, high_water_mark, poll, poll_late
 from tidemark.operators.topic_stats import list_topics, topic_partitions, topic_peek
 from tidemark.operators.union import tables_to_topic
 
@@ -37,6 +37,7 @@ __all__ = [
     "parse_documents",
     "parse_struct",
     "poll",
+    "poll_late",
     "produced_row_count",
     "tables_to_topic",
     "topic_partitions",

@@ -5,8 +5,8 @@ pair handed out so far.  The key breaks ties, so rows that share a cursor
 value are neither lost nor repeated when a poll ends in their midst; a NULL key
 comes before all others.  Rows whose cursor is NULL or NaN have no place in that
 order: they have a mark of their own, the largest key among them, and come
-first.  Rows that arrive later with a position below the mark are not seen;
-that is what a mark means.
+first.  Rows that arrive later with a position below the mark are seen only with an
+overlap, which looks back by a bounded stretch.
 """
 
 from __future__ import annotations
@@ -118,6 +118,30 @@ def poll(
     return rows.orderBy(*order).limit(limit)
 
 
+def poll_late(
+    df: DataFrame, seen: DataFrame, cursor: str, key: str, mark: Mark, overlap: str | float
+) -> DataFrame:
+    """The rows after ``mark``, and those below it by at most ``overlap`` that were not ``seen``.
+
+    ``overlap`` is an interval such as ``"2 days"`` for a cursor of times, else a number.
+    Both tables are read from the start of the overlap on, so the exact comparison with what was
+    handed out is bounded by the overlap and not by the age of the table.  A position is seen
+    once: rows that agree with a seen one in cursor and key do not come again.
+    """
+    bound = _typed(df, cursor, mark.cursor)
+    width = F.expr(f"INTERVAL {overlap}") if isinstance(overlap, str) else F.lit(overlap)
+    # Computed once, so that it is a constant that reaches the scan.
+    start = df.sparkSession.range(1).select(_mark_text((bound - width).cast(df.schema[cursor].dataType), df.schema[cursor].dataType)).first()[0]
+    after = past_mark(df, mark, cursor, key)
+    low = has_cursor(df, cursor) & (named(cursor) >= _typed(df, cursor, start))
+    old = seen.where(named(cursor) >= _typed(df, cursor, start)).select(
+        named(cursor).alias("__cursor"), named(key).alias("__key")
+    )
+    same = (named(cursor) == F.col("__cursor")) & named(key).eqNullSafe(F.col("__key"))
+    late = df.where(low & ~after).join(old, same, "left_anti")
+    return df.where(after).unionByName(late)
+
+
 def _check_limit(limit: int) -> None:
     if limit > LARGEST_LIMIT:
         raise ValueError(f"a limit is for samples of up to {LARGEST_LIMIT} rows; leave it out")
@@ -152,7 +176,8 @@ class TableWatch:
 
     ``scan`` is called for every poll and returns the table as it is then.
     Poll *n* goes to ``out/poll=n`` and the mark is taken from what was
-    written there.  The mark is stored last, in one of two slots used in
+    written there.  With ``overlap`` a poll also takes rows that arrived below the
+    mark by at most that much, see ``poll_late``.  The mark is stored last, in one of two slots used in
     turn: a crash leaves the previous slot intact, and the next run repeats
     poll *n* into the same place.
     """
@@ -164,6 +189,7 @@ class TableWatch:
     out: str
     state: str
     limit: int | None = None
+    overlap: str | float | None = None
 
     def last(self) -> tuple[int, Mark | None]:
         """The number of the last finished poll (-1 before the first) and its mark."""
@@ -185,6 +211,10 @@ class TableWatch:
         number = done + 1
         table = self.scan()
         new = table.where(unseen(table, mark, self.cursor, self.key))
+        if self.overlap is not None and mark is not None and mark.cursor is not None:
+            placed = table.where(has_cursor(table, self.cursor))
+            loose = new.where(~has_cursor(table, self.cursor))
+            new = loose.unionByName(poll_late(placed, self.seen(), self.cursor, self.key, mark, self.overlap))
         if self.limit is not None:
             new = _first_positions(new, self.cursor, self.key, self.limit)
         target = f"{self.out}/poll={number}"
@@ -196,12 +226,14 @@ class TableWatch:
             F.count(F.lit(1)).alias("n"),
             F.max(F.when(placed, position)).alias("top"),
             F.count(F.when(~placed, 1)).alias("n_loose"),
+            F.max(F.lit(True) if mark is None else past_mark(written, mark, self.cursor, self.key)).alias("past"),
             F.max(F.when(~placed, named(self.key))).alias("loose_key"),
         )
         kinds = {part: new.schema[c].dataType for part, c in (("cursor", self.cursor), ("key", self.key))}
         state = summary.select(
             "n",
             "n_loose",
+            F.coalesce("past", F.lit(False)).alias("past"),
             *[_mark_text(F.col("top").getField(p), kinds[p]).alias(p) for p in ("cursor", "key")],
             _mark_text(F.col("loose_key"), kinds["key"]).alias("loose_key"),
         ).first()
@@ -216,8 +248,8 @@ class TableWatch:
 
     @staticmethod
     def _moved(mark: Mark, state: Row) -> Mark:
-        """``mark`` after the rows that ``state`` sums up."""
-        if state["cursor"] is not None:
+        """``mark`` after the rows that ``state`` sums up; late rows leave it as it is."""
+        if state["cursor"] is not None and state["past"]:
             mark = replace(mark, cursor=state["cursor"], key=state["key"], key_is_null=state["key"] is None)
         if state["n_loose"]:
             mark = replace(mark, loose=True, loose_key=state["loose_key"] or mark.loose_key)

@@ -60,6 +60,16 @@ _PEEK = (
 )
 
 
+_WATCHED = (
+    "SELECT o_orderkey, o_orderdate, CASE"
+    " WHEN o_orderdate < TIMESTAMP '1995-06-17 00:00:00'"
+    " OR (o_orderdate = TIMESTAMP '1995-06-17 00:00:00' AND o_orderkey <= 700) THEN 0"
+    " WHEN o_orderdate < TIMESTAMP '1998-03-01 00:00:00'"
+    " OR (o_orderdate = TIMESTAMP '1998-03-01 00:00:00' AND o_orderkey <= 900) THEN 1"
+    " ELSE 2 END AS poll FROM orders"
+)
+
+
 def oracle() -> dict[str, str]:
     return {
         "topic_envelope": f"{_MESSAGES} SELECT {_LOG}, timestamp FROM messages",
@@ -154,10 +164,15 @@ def oracle() -> dict[str, str]:
         "watched_table_nulls": "SELECT limited, o_orderkey,"
         " CASE WHEN o_orderkey % 7 > 0 THEN o_orderdate END AS o_orderdate"
         " FROM orders, (VALUES (false), (true)) AS modes(limited)",
-        "watched_table": "SELECT o_orderkey, o_orderdate, CASE"
-        " WHEN o_orderdate < TIMESTAMP '1995-06-17 00:00:00'"
-        " OR (o_orderdate = TIMESTAMP '1995-06-17 00:00:00' AND o_orderkey <= 700) THEN 0"
-        " WHEN o_orderdate < TIMESTAMP '1998-03-01 00:00:00'"
-        " OR (o_orderdate = TIMESTAMP '1998-03-01 00:00:00' AND o_orderkey <= 900) THEN 1"
-        " ELSE 2 END AS poll FROM orders",
+        "watched_table": _WATCHED,
+        "watched_stream": _WATCHED,
+        "late_rows": "SELECT o_orderkey, o_orderdate, CASE"
+        " WHEN o_orderkey % 4 > 0 AND o_orderdate < TIMESTAMP '1995-06-01' THEN 0"
+        " WHEN o_orderdate < TIMESTAMP '1997-01-01' THEN 1 ELSE 2 END AS poll FROM orders"
+        " WHERE o_orderkey % 4 > 0 OR o_orderdate >= TIMESTAMP '1995-05-01'",
+        "page_order": "WITH p AS (SELECT DISTINCT o_orderkey // 500 AS i FROM orders)"
+        " SELECT 'whole' AS pages, i, row_number() OVER (ORDER BY i) - 1 AS page, 'complete' AS state FROM p"
+        " UNION ALL SELECT 'gap', i, row_number() OVER (PARTITION BY i > 7 ORDER BY i) - 1,"
+        " CASE WHEN i < 7 AND (SELECT max(i) FROM p) >= 7 THEN 'gap' ELSE 'complete' END FROM p WHERE i <> 7",
+        "delivery_log": "SELECT count(*) AS messages, count(*) FILTER (user_id % 4 = 3) AS failed FROM events",
     }

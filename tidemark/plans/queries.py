@@ -5,7 +5,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,7 +44,9 @@ from tidemark.sources.documents import (
     read_messages,
     rejected_messages,
 )
+from tidemark.sources.page_chain import page_order
 from tidemark.sources.pages import flatten_pages, page_schema, result_pages
+from tidemark.sources.table_stream import stream_table
 from tidemark.sources.tables import qualified_scan, text_lines
 from tidemark.sources.topics import (
     TopicSource,
@@ -56,7 +58,7 @@ from tidemark.sources.topics import (
     utc_time,
 )
 from tidemark.streaming.kpi import read_kpi_store, running_kpi
-from tidemark.streaming.queries import run_all, start
+from tidemark.streaming.queries import DeliveryLog, run_all, start, with_delivery
 from tidemark.streaming.sinks import (
     deliver,
     store_documents,
@@ -628,3 +630,85 @@ def _watched_table_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
             pass
         found.append(watch.seen().select(F.lit(limit is not None).alias("limited"), *orders.columns))
     return found[0].unionByName(found[1])
+
+
+@_query("watched_stream")
+def _watched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The growing table of ``watched_table`` as a stream, whose checkpoint alone knows how far it came."""
+    out = run_dir(spark, "watched-stream")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    date, key = F.col("o_orderdate"), F.col("o_orderkey")
+
+    def until(day: str, last: int) -> Column:
+        cut = F.lit(day).cast("timestamp_ntz")
+        return (date < cut) | ((date == cut) & (key <= last))
+
+    first, second = until("1995-06-17", 700), until("1998-03-01", 900)
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/seen/poll={number}")
+
+    for grown in (first, second & ~first, ~second):
+        orders.where(grown).write.mode("append").parquet(f"{out}/table")
+        stream = stream_table(spark, f"{out}/table", orders.schema, "o_orderdate", "o_orderkey")
+        start(stream, f"{out}/checkpoint", each_batch=save).awaitTermination()
+    return spark.read.schema(T.StructType([*orders.schema.fields, T.StructField("poll", T.LongType())])).parquet(
+        f"{out}/seen"
+    )
+
+
+@_query("late_rows")
+def _late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fourth order is late: by less than the overlap it comes once, by more it does not come."""
+    out = run_dir(spark, "late")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    prompt, date = F.col("o_orderkey") % 4 > 0, F.col("o_orderdate")
+    day = {d: F.lit(d).cast("timestamp_ntz") for d in ("1995-05-01", "1995-06-01", "1997-01-01")}
+    grown = [
+        orders.where(prompt & (date < day["1995-06-01"])),
+        orders.where((date < day["1997-01-01"]) & (prompt | (date >= day["1995-05-01"]))),
+        orders,
+    ]
+    now = [grown[0]]
+    watch = TableWatch(
+        spark, lambda: now[-1], "o_orderdate", "o_orderkey", out, f"{out}-mark", overlap="90 days"
+    )
+    for state in grown:
+        now.append(state)
+        watch.advance()
+    return watch.seen()
+
+
+@_query("page_order")
+def _page_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of 500 orders in their order, once complete and once without the eighth."""
+    number = F.floor(F.col("o_orderkey") / 500)
+    pages = table(spark, sf_dir, "orders").groupBy(number.alias("i")).agg(F.count(F.lit(1)).alias("n"))
+    following = pages.select((F.col("i") - 1).alias("i"), F.col("i").alias("next"))
+
+    def uri(i: str) -> Column:
+        return F.concat(F.lit("statement/"), F.md5(F.col(i).cast("string").cast("binary")))
+
+    chain = pages.join(following, "i", "left").select("i", uri("i").alias("uri"), uri("next").alias("next_uri"))
+    found = []
+    for name, some in (("whole", chain), ("gap", chain.where("i <> 7"))):
+        placed = page_order(some).join(some.select("i", "uri"), "uri")
+        found.append(placed.select(F.lit(name).alias("pages"), "i", "page", "state"))
+    return found[0].unionByName(found[1])
+
+
+@_query("delivery_log")
+def _delivery_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that a stream of many batches reported as delivered; those of partition 3 count as failed."""
+    out = run_dir(spark, "delivery-log")
+    log = DeliveryLog(spark, f"{out}/reports", lot=3)
+    stream = stream_topic(spark, _topic_folder(spark, sf_dir), "earliest", max_per_trigger=1)
+    counted = with_delivery(stream, F.col("partition") == 3)
+    spark.streams.addListener(log)
+    try:
+        query = start(counted, f"{out}/checkpoint", path=f"{out}/messages")
+        query.awaitTermination()
+        log.wait(query)
+    finally:
+        spark.streams.removeListener(log)
+    return log.read().agg(F.sum("messages").alias("messages"), F.sum("failed").alias("failed"))

@@ -6,7 +6,9 @@ from tidemark.sources.documents import (
     read_messages,
     rejected_messages,
 )
+from tidemark.sources.page_chain import page_order
 from tidemark.sources.pages import flatten_pages, page_schema, page_schemas, pages_with, result_pages
+from tidemark.sources.table_stream import TableStream, stream_table
 from tidemark.sources.tables import (
     qualified_scan,
     resolve_tables,
@@ -27,10 +29,12 @@ from tidemark.sources.topics import (
 
 __all__ = [
     "ENVELOPE",
+    "TableStream",
     "TopicSource",
     "append_topic",
     "collection_scan",
     "flatten_pages",
+    "page_order",
     "page_schema",
     "page_schemas",
     "pages_with",
@@ -43,6 +47,7 @@ __all__ = [
     "result_pages",
     "scan_jdbc",
     "split_name",
+    "stream_table",
     "stream_topic",
     "text_lines",
     "topic_table",

@@ -110,8 +110,8 @@ def stream_topic(
 
     ``starting`` counts for the first start only; afterwards the checkpoint
     of the query says where to go on.  A directory has no built-in notion of
-    *latest*: files that arrive after its first start count, and when that was is
-    kept under ``state``.
+    *latest*: files that arrive after its first start count, whatever their time stamp;
+    the list of those that were there is kept under ``state``.
     Micro-batches are bounded, also when a long log is replayed;
     ``max_per_trigger`` changes the bound.
     """
@@ -126,30 +126,24 @@ def stream_topic(
     if starting == "latest":
         if state is None:
             raise ValueError("starting a directory at 'latest' needs a state folder")
-        landed = landed.where(_landed() > F.lit(_first_start(spark, source, state)))
+        landed = landed.withColumn("__file", F.col("_metadata.file_path"))
+        landed = landed.join(_first_files(spark, source, state), "__file", "left_anti")
     return source.only_subscribed(landed)
 
 
-def _landed() -> Column:
-    """When the file of a message arrived."""
-    return F.unix_micros(F.col("_metadata.file_modification_time"))
-
-
-def _first_start(spark: SparkSession, source: TopicSource, state: str) -> int:
-    """When the youngest file arrived that was there at the first start; kept under ``state``."""
-    schema = T.StructType().add("landed", T.LongType())
+def _first_files(spark: SparkSession, source: TopicSource, state: str) -> DataFrame:
+    """The files that were there at the first start, as ``__file``; the list is kept under ``state``."""
+    schema = T.StructType().add("__file", T.StringType())
     try:
-        known = spark.read.schema(schema).parquet(state).first()
+        # The list is complete once its commit marker is there; a start that died is made again.
+        spark.read.schema("value string").text(f"{state}/_SUCCESS").first()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        known = None
-    if known is None:
         files = spark.read.format(source.format).options(**source.reader_options())
-        youngest = files.schema(ENVELOPE).load(source.path).agg(F.coalesce(F.max(_landed()), F.lit(0)).alias("landed"))
-        youngest.coalesce(1).write.mode("overwrite").parquet(state)
-        known = spark.read.schema(schema).parquet(state).first()
-    return known["landed"]
+        there = files.schema(ENVELOPE).load(source.path).select(F.col("_metadata.file_path").alias("__file"))
+        there.distinct().write.mode("overwrite").parquet(state)
+    return spark.read.schema(schema).parquet(state)
 
 
 def append_topic(

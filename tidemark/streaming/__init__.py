@@ -1,7 +1,7 @@
 """Sinks and running queries; all progress lives in checkpoints."""
 
 from tidemark.streaming.kpi import KpiStore, kpi_per_batch, read_kpi_store, running_kpi
-from tidemark.streaming.queries import delivery_counts, run_all, start, with_delivery
+from tidemark.streaming.queries import DeliveryLog, delivery_counts, run_all, start, with_delivery
 from tidemark.streaming.sinks import (
     as_documents,
     deliver,
@@ -16,6 +16,7 @@ from tidemark.streaming.sinks import (
 )
 
 __all__ = [
+    "DeliveryLog",
     "KpiStore",
     "as_documents",
     "deliver",

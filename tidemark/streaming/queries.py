@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import suppress
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 DELIVERY = "delivery"
 
@@ -76,8 +78,70 @@ def with_delivery(df: DataFrame, failed: Column | None = None, name: str = DELIV
     )
 
 
+class DeliveryLog(StreamingQueryListener):
+    """Keeps the observed counts of every batch of all queries of a session under ``path``.
+
+    ``spark.streams.addListener(log)`` starts it.  Reports are written in lots of ``lot`` batches
+    and when a query ends, so their files stay few; ``read`` gives one row per query and
+    batch, the last report of a repeated one.  Counts of a lot that is not written yet are
+    lost with the driver; the batches themselves are not.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, name: str = DELIVERY, lot: int = 100):
+        self.spark, self.path, self.name, self.lot = spark, path, name, lot
+        self._rows: list[tuple] = []
+        self._lock = threading.Lock()
+        self._ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        observed = progress.observedMetrics.get(self.name)
+        if observed is None:
+            return
+        row = (str(progress.id), progress.batchId, observed["messages"], observed["failed"], time.time_ns())
+        with self._lock:
+            self._rows.append(row)
+            full = len(self._rows) >= self.lot
+        if full:
+            self.flush()
+
+    def onQueryTerminated(self, event) -> None:
+        self.flush()
+        self._ended.add(str(event.runId))
+
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Wait until all reports of an ended ``query`` are in; they arrive a little after its end."""
+        until = time.monotonic() + seconds
+        while str(query.runId) not in self._ended:
+            if time.monotonic() > until:
+                raise TimeoutError(f"no end of query {query.id} was reported")
+            time.sleep(0.05)
+
+    def flush(self) -> None:
+        """Write what is held."""
+        with self._lock:
+            rows, self._rows = self._rows, []
+        if rows:
+            self.spark.createDataFrame(rows, self.SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    SCHEMA = "query string, batch_id bigint, messages bigint, failed bigint, reported bigint"
+
+    def read(self) -> DataFrame:
+        """``query``, ``batch_id``, ``messages`` and ``failed`` of every batch."""
+        self.flush()
+        reports = self.spark.read.schema(self.SCHEMA).parquet(self.path)
+        last = F.max_by(F.struct("messages", "failed"), "reported").alias("last")
+        return reports.groupBy("query", "batch_id").agg(last).select("query", "batch_id", "last.*")
+
+
 def delivery_counts(query: StreamingQuery, name: str = DELIVERY) -> dict[int, dict[str, int]]:
-    """The observed counts of the recent batches of a query, by batch id."""
+    """The observed counts of the recent batches of a query, by batch id; ``DeliveryLog`` keeps all."""
     counts = {}
     for progress in query.recentProgress:
         observed = progress.observedMetrics.get(name)
