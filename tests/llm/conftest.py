@@ -1,6 +1,10 @@
 import pytest
 from pyspark.sql import types as T
 
+CLASHING = (
+    "__w __l __g __h1 __h8 __lang __q __kept __base_failed __head __u __size __source __again __copies __total"
+    " __offset __row __bucket __n __place __key __id __packed __by Shard fp point n tokens word runs"
+).split()
 SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -14,6 +18,7 @@ SCHEMA = T.StructType(
         T.StructField("item", T.StringType()),
         T.StructField("root", T.StringType()),
         T.StructField("odd.name", T.StringType()),
+        *[T.StructField(name, T.StringType()) for name in CLASHING],
     ]
 )
 LABELS = "doc_id long, quality int, toxic int"
@@ -21,7 +26,7 @@ ITEMS = "item_id long, text string"
 
 
 def document(doc_id, text, lang="en", source="a"):
-    return (doc_id, text, lang, source, None if text is None else len(text), "r", "s", "i", "o", "d")
+    return (doc_id, text, lang, source, None if text is None else len(text), "r", "s", "i", "o", "d", *CLASHING)
 
 
 def sentence(seed, n=60):

@@ -56,7 +56,7 @@ def test_inclusion_is_even(spark):
     docs = spark.range(40).select(
         F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.array_join(F.array_repeat(F.lit("w"), (F.col("id") % 4 + 1).cast("int")), " ").alias("text")
     )
-    drawn = [mixing.with_copies(docs, mixing.plan_mix(docs.select(*mixing.draw(docs, s))), s).filter("__copies > 1").select(F.col("__size")) for s in range(5)]
+    drawn = [mixing.with_copies(docs.select(*mixing.draw(docs, s)), mixing.plan_mix(docs.select(*mixing.draw(docs, s)))).filter("__copies > 1").select(F.col("__size")) for s in range(5)]
     sizes = [r["__size"] for d in drawn for r in d.collect()]
     assert all(0.25 < sizes.count(n) / (5 * 10) < 0.75 for n in (1, 2, 3, 4))
 

@@ -103,3 +103,44 @@ def test_junk_goes(spark):
     kept = q.filter_quality(good.unionByName(junk), labels)
     assert kept.filter("doc_id < 5000").count() == 3000
     assert kept.filter("doc_id >= 5000").count() == 0
+
+
+def plain_cutoffs(rows, max_loss=q.MAX_LOSS, delta=q.DELTA):
+    """Certified cutoffs of each language by going along the path with exact sums."""
+    held = {}
+    for lang, values in rows:
+        held.setdefault(lang, []).append(values)
+    found = {}
+    for lang, good in held.items():
+        reached, n = {}, len(good)
+        for rule, cutoff in q.PATH:
+            trial = {**reached, rule: cutoff}
+            k = sum(any(v[r] > c for r, c in trial.items()) for v in good)
+            tail = sum(math.comb(n, i) * max_loss**i * (1 - max_loss) ** (n - i) for i in range(k + 1))
+            if k > n * max_loss or tail > delta / len(held):
+                break
+            reached = trial
+        found[lang] = reached
+    return found
+
+
+def test_path_against_exact_sums(spark):
+    """Four languages with few labels each get the cutoffs of the last setting that holds."""
+    rows, good = [], []
+    for i in range(4 * 260):
+        lang, part = ("en", "de", "fr", None)[i % 4], i // 4
+        words = [f"w{i}x{j}" for j in range(40)]
+        n_symbols = {"de": 30 if part % 130 == 0 else 0, "fr": 5 if part % 20 == 0 else 0}.get(lang, 0)
+        n_bangs = 9 if lang is None and part % 9 == 0 else 0
+        text = " ".join(words) + " " + "#" * n_symbols + "!" * n_bangs
+        rows.append((i, text, lang))
+        n = len(text.split())
+        chars = sum(map(len, text.split()))
+        good.append((lang, {"symbols": n_symbols / n, "bangs": n_bangs / n, "dup_lines": 0.0, "repeats": 0.0, "long_words": chars / n}))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    found = {r["__lang"]: r for r in q.certify(q.with_measures(docs).drop("text"), labels).collect()}
+    want = {k: v for k, v in plain_cutoffs(good).items() if v}
+    assert {k: {r: found[k][f"__c_{r}"] for r in q.GRID if found[k][f"__c_{r}"] is not None} for k in found} == want
+    assert want["en"]["dup_lines"] == 0.05 and want["fr"]["symbols"] == 0.2 and want[None]["bangs"] == 0.3
+    assert len(want) >= 3

@@ -115,3 +115,14 @@ def test_odd_rows(odd, none):
     assert sorted(i for i in ids if i is not None) == sorted(heads)
     assert ids.count(None) == 1
     assert s.components(none).count() == 0 and s.near_dedup(none).count() == 0
+
+
+def test_one_row_of_each_component(spark):
+    text, other = "one two three four", "five six seven eight nine"
+    rows = [(1, text, "x"), (5, text, "x"), (5, other, "x"), (None, text, "x"), (None, other, "x"), (5, other, "y")]
+    rows += [(None, "ten eleven twelve", "x"), (None, "ten eleven twelve", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `__head` string")
+    for part in (1, 4):
+        found = sorted((r["text"], r["doc_id"]) for r in s.near_dedup(docs.repartition(part)).collect())
+        assert found == [("five six seven eight nine", 5), ("one two three four", 1), ("ten eleven twelve", None)]
+    assert s.near_dedup(docs).collect() == s.near_dedup(docs.repartition(3)).collect()

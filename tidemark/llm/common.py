@@ -18,6 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(docs: DataFrame, *needed: str | Column) -> DataFrame:
+    """The rows of ``docs`` as one struct ``__packed``, beside the columns ``needed``.
+
+    Whatever the columns are called, they cannot clash with those that an operator adds;
+    ``select("__packed.*")`` gives them back.
+    """
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__packed"), *needed)
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")

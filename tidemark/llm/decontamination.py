@@ -37,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, small, with_window_hashes, words
+from tidemark.llm.common import cut, packed, small, with_window_hashes, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -229,6 +229,6 @@ def report(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
 def decontaminate(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` without a window similar to an item."""
     rows = cut(contaminated(docs, items, **settings).select(F.col("row").alias("__row")).distinct())
-    marked = docs.withColumn("__key", _row_key())
+    marked = packed(docs, _row_key().alias("__key"))
     clean = marked.join(small(rows, _ROWS_TO_BROADCAST), marked["__key"] == rows["__row"], "left_anti")
-    return clean.drop("__key")
+    return clean.select("__packed.*")

@@ -15,7 +15,8 @@ in, and only that bucket is sorted.
 
 Defined results: a null or empty text has size 0, a null source is a source of
 its own and comes last; a source without words has target 0; rows that agree in
-id and text share their draw; an empty table gives no rows.
+id and text share their draw; an empty table gives no rows; further columns are
+carried along, whatever they are called.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, small, uniform, words
+from tidemark.llm.common import cut, packed, small, uniform, words
 
 #: Weights of the sources in the order of their names, repeating; share of all words; largest repetition.
 WEIGHTS = (5, 2, 1)
@@ -123,9 +124,8 @@ def plan_mix(drawn: DataFrame, **settings) -> DataFrame:
     return cut(plan.withColumn("__last", F.coalesce("__last", "__floor")).drop("__extra", "__floor"))
 
 
-def with_copies(docs: DataFrame, drawn_plan: DataFrame, seed: int = SEED) -> DataFrame:
-    """``docs`` with ``__size``, ``__total``, ``__target`` and the number of ``__copies``."""
-    drawn = docs.select("*", *draw(docs, seed)) if "__u" not in docs.columns else docs
+def with_copies(drawn: DataFrame, drawn_plan: DataFrame) -> DataFrame:
+    """``drawn`` rows with ``__total``, ``__target`` and the number of ``__copies``."""
     joined = drawn.join(small(drawn_plan, _SOURCES_TO_BROADCAST), "__source")
     taken = (F.col("__ratio") > _NEARLY) & (_rank(F.col("__ratio"), F.col("__u")) <= F.col("__last"))
     copies = F.col("__whole") + F.coalesce(taken, F.lit(False)).cast("int")
@@ -135,6 +135,7 @@ def with_copies(docs: DataFrame, drawn_plan: DataFrame, seed: int = SEED) -> Dat
 def mix(docs: DataFrame, seed: int = SEED, **settings) -> DataFrame:
     """The mixed rows: those of ``docs``, each as often as it is taken."""
     drawn = cut(docs.select(*draw(docs, seed)))
-    copied = with_copies(docs, plan_mix(drawn, **settings), seed)
+    rows = packed(docs, *draw(docs, seed))
+    copied = with_copies(rows, plan_mix(drawn, **settings))
     repeated = copied.withColumn("__again", F.explode(F.array_repeat(F.lit(1), F.col("__copies"))))
-    return repeated.select([F.col(f"`{c}`") for c in docs.columns])
+    return repeated.select("__packed.*")

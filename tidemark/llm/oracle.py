@@ -33,9 +33,8 @@ QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rul
 
 
 def _quality_rules() -> str:
-    grid = ", ".join(f"('{rule}', {cut})" for rule, cuts in quality_rules.GRID.items() for cut in cuts)
-    tests, rules = sum(map(len, quality_rules.GRID.values())), len(quality_rules.GRID)
-    share = quality_rules.MAX_LOSS / rules
+    path = ", ".join(f"({i}, '{rule}', {cut})" for i, (rule, cut) in enumerate(quality_rules.PATH))
+    share = quality_rules.MAX_LOSS
     w = quality_rules.WINDOW
     measures = {
         "symbols": "n_symbols / greatest(n_words, 1)",
@@ -69,19 +68,25 @@ WITH texts AS (
   SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts
 ), good AS (
   SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1
-), tests(rule, cutoff) AS (VALUES {grid}),
+), path(step, rule, cutoff) AS (VALUES {path}),
 holdout AS (
-  SELECT lang, rule, cutoff, count(*) AS n, sum(CAST({value} > cutoff AS INT)) AS k
-  FROM judged JOIN good USING (doc_id), tests WHERE NOT base_failed GROUP BY ALL
-), passed AS (
-  SELECT lang, rule, cutoff FROM holdout
-  WHERE k <= n * {share} AND list_sum(list_transform(range(0, CAST(k AS BIGINT) + 1), lambda i: exp(
-      lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share}) + (n - i) * ln(1 - {share}))))
-    <= {quality_rules.DELTA} / (greatest((SELECT count(DISTINCT coalesce(lang, chr(0))) FROM holdout), 1) * {tests})
-), cutoffs AS (
-  SELECT lang, rule, min(cutoff) AS cutoff FROM passed GROUP BY lang, rule
+  SELECT doc_id, lang, min(step) FILTER ({value} > cutoff) AS first
+  FROM judged JOIN good USING (doc_id), path WHERE NOT base_failed GROUP BY doc_id, lang
+), counted AS (
+  SELECT lang, step, count(*) AS n, count(*) FILTER (first <= step) AS k
+  FROM holdout, path GROUP BY lang, step
+), tested AS (
+  SELECT *, CASE WHEN k <= n * {share} THEN
+      list_sum(list_transform(range(0, CAST(k AS BIGINT) + 1), lambda i: exp(
+        lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share}) + (n - i) * ln(1 - {share}))))
+      <= {quality_rules.DELTA} / greatest((SELECT count(DISTINCT coalesce(lang, chr(0))) FROM holdout), 1)
+      ELSE false END AS certified
+  FROM counted
+), reached AS (
+  SELECT lang, coalesce(min(step) FILTER (NOT certified), {len(quality_rules.PATH)}) AS reach FROM tested GROUP BY lang
 ), failed AS (
-  SELECT DISTINCT doc_id FROM judged JOIN cutoffs c ON judged.lang IS NOT DISTINCT FROM c.lang WHERE {value} > cutoff
+  SELECT DISTINCT doc_id FROM judged JOIN reached r ON judged.lang IS NOT DISTINCT FROM r.lang, path
+  WHERE step < reach AND {value} > cutoff
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM failed) AS kept

@@ -1,20 +1,24 @@
 """Quality rules whose cutoffs are certified on labelled documents.
 
-A rule rejects a document whose measure lies above a cutoff.  For every rule
-there is a grid of cutoffs fixed in advance.  The labelled good documents are
-the holdout: for a stratum (the language) with ``n`` of them, of which ``k``
-would be rejected, a cutoff is certified when the exact binomial upper bound of
-its false rejection rate is at most the rule's share of ``max_loss``, that is
-when ``P(X <= k | n, share) <= delta / tests``.  ``tests`` counts all strata,
-rules and cutoffs (Bonferroni), so all certified cutoffs hold at once with
-probability ``1 - delta``, and rules together reject at most ``max_loss`` of the
-good documents of each stratum.  The strictest certified cutoff is used; a
-stratum with too few labels gets no cutoff and loses nothing.
+A rule rejects a document whose measure lies above a cutoff.  A path of joint
+settings of all rules is fixed in advance, from loose to strict: rule after rule,
+each through its grid, so what a setting rejects the next ones reject as well.  The
+labelled good documents are the holdout: for a stratum (the language) with ``n`` of
+them, of which ``k`` would be rejected by any rule, a setting is certified when the exact binomial
+upper bound of its false rejection rate is at most ``max_loss``, that is when
+``P(X <= k | n, max_loss) <= delta / strata``.  The settings of a stratum are tested in
+their order up to the first that fails, and the last certified one is used.  Such a
+fixed sequence needs no correction for its length, and the one for the strata is
+Bonferroni's, so with probability ``1 - delta`` the rules together reject at most
+``max_loss`` of the good documents of every stratum.  With four strata 217 good
+labels without a false rejection are enough; a stratum with too few gets no cutoff
+and loses nothing.
 
 Defined results: a null or empty text has no words and fails the base rules; a
 null language is a stratum of its own; repeated rows are judged each; labels
 without a document, and documents without a label, do not count; several labels
-of one document count as the lowest; without labels only the base rules act.
+of one document count as the lowest; without labels only the base rules act;
+further columns are carried along, whatever they are called.
 """
 
 from __future__ import annotations
@@ -24,14 +28,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, small, total, with_window_hashes, words
+from tidemark.llm.common import cut, packed, small, total, with_window_hashes, words
 
 MIN_WORDS = 20
 WINDOW = 8
 #: Largest share of good documents the rules may reject, and the chance of a wrong certificate.
 MAX_LOSS = 0.02
 DELTA = 0.05
-#: Fixed grids, from loose to strict.
+#: Fixed grids, from loose to strict, in the order in which the path goes through the rules.
 GRID = {
     "symbols": (2.0, 1.0, 0.5, 0.3, 0.2, 0.1),
     "bangs": (2.0, 1.0, 0.5, 0.3, 0.2, 0.1),
@@ -39,7 +43,10 @@ GRID = {
     "repeats": (0.25, 0.2, 0.15, 0.1, 0.05),
     "long_words": (20.0, 16.0, 14.0, 12.0, 10.0),
 }
+#: Every step of the path tightens one rule.
+PATH = tuple((rule, cutoff) for rule, grid in GRID.items() for cutoff in grid)
 _STRATA_TO_BROADCAST = 10_000
+_LABELS_TO_BROADCAST = 1_000_000
 
 
 def with_measures(docs: DataFrame) -> DataFrame:
@@ -142,58 +149,56 @@ def log_binomial_tail(k: Column, n: Column, p: float) -> Column:
     )
 
 
+def _good(labels: DataFrame) -> DataFrame:
+    """``__id`` of the documents that are labelled good."""
+    lowest = labels.groupBy(F.col("doc_id").alias("__id")).agg(F.min("quality").alias("__quality"))
+    return lowest.filter("__quality = 1").select("__id")
+
+
 def certify(
     measured: DataFrame, labels: DataFrame, max_loss: float = MAX_LOSS, delta: float = DELTA
 ) -> DataFrame:
     """One row per stratum ``__lang`` with the certified cutoff of each rule, null where none is."""
-    good = (
-        labels.groupBy(F.col("doc_id").alias("__id"))
-        .agg(F.min("quality").alias("__quality"))
-        .filter("__quality = 1")
-    )
-    tests = [(rule, cutoff) for rule, grid in GRID.items() for cutoff in grid]
     values = _measures()
-    rejected = [
-        F.sum((values[rule] > cutoff).cast("long")).alias(f"r{i}") for i, (rule, cutoff) in enumerate(tests)
-    ]
+    # The first step of the path that rejects a document; the later ones do so as well.
+    first = F.least(
+        F.lit(len(PATH)), *[F.when(values[rule] > cutoff, F.lit(i)) for i, (rule, cutoff) in enumerate(PATH)]
+    )
+    rejected = [F.sum((F.col("__first") <= i).cast("long")).alias(f"r{i}") for i in range(len(PATH))]
     holdout = (
         measured.filter(~base_failed())
-        .select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"), "__q")
-        .join(good, "__id")
+        .select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"), first.alias("__first"))
+        .join(_good(labels), "__id")
         .groupBy("__lang")
         .agg(F.count(F.lit(1)).alias("n"), *rejected)
     )
     holdout = cut(holdout)
     strata = max(holdout.count(), 1)
-    share = max_loss / len(GRID)
-    allowed = math.log(delta / (strata * len(tests)))
-    rows = holdout.select(
-        "__lang",
-        "n",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(rule).alias("rule"), F.lit(cutoff).alias("cutoff"), F.col(f"r{i}").alias("k"))
-                    for i, (rule, cutoff) in enumerate(tests)
-                ]
-            )
-        ).alias("t"),
-    ).select("__lang", "n", "t.*")
+    allowed = math.log(delta / strata)
+    steps = [F.struct(F.lit(i).alias("step"), F.col(f"r{i}").alias("k")) for i in range(len(PATH))]
+    rows = holdout.select("__lang", "n", F.explode(F.array(*steps)).alias("t")).select("__lang", "n", "t.*")
     # Above the mean the tail is over a third at least and never certifies; it need not be summed.
-    tail = F.when(F.col("k") <= F.col("n") * share, log_binomial_tail(F.col("k"), F.col("n"), share))
-    passed = rows.filter(tail <= allowed)
-    cutoffs = [
-        F.min(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(f"__c_{rule}") for rule in GRID
-    ]
-    return cut(passed.groupBy("__lang").agg(*cutoffs))
+    tail = F.when(F.col("k") <= F.col("n") * max_loss, log_binomial_tail(F.col("k"), F.col("n"), max_loss))
+    failed = F.coalesce(tail > allowed, F.lit(True))
+    reached = rows.groupBy("__lang").agg(
+        F.coalesce(F.min(F.when(failed, F.col("step"))), F.lit(len(PATH))).alias("__reached")
+    )
+    cutoffs = []
+    for rule in GRID:
+        # The strictest of its cutoffs that the path passed, null before the first.
+        passed = [F.when(F.col("__reached") > i, F.lit(c)) for i, (r, c) in enumerate(PATH) if r == rule]
+        cutoffs.append(F.coalesce(*reversed(passed)).alias(f"__c_{rule}"))
+    return cut(reached.filter("__reached > 0").select("__lang", *cutoffs))
 
 
 def judge(
     docs: DataFrame, labels: DataFrame, max_loss: float = MAX_LOSS, delta: float = DELTA
 ) -> DataFrame:
     """``docs`` with ``__q`` (counts), ``__base_failed`` and ``__kept``."""
-    narrow = with_measures(docs.select("doc_id", "lang", "text")).drop("text")
-    return apply_cutoffs(with_measures(docs), certify(narrow, labels, max_loss, delta))
+    # Only documents with a label count for the certificate, so the others are not measured for it.
+    good = small(cut(_good(labels)), _LABELS_TO_BROADCAST).withColumnRenamed("__id", "doc_id")
+    held = docs.select("doc_id", "lang", "text").join(good, "doc_id", "left_semi")
+    return apply_cutoffs(with_measures(docs), certify(with_measures(held).drop("text"), labels, max_loss, delta))
 
 
 def apply_cutoffs(measured: DataFrame, cutoffs: DataFrame) -> DataFrame:
@@ -211,4 +216,4 @@ def apply_cutoffs(measured: DataFrame, cutoffs: DataFrame) -> DataFrame:
 
 def filter_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns."""
-    return judge(docs, labels).filter("__kept").select([F.col(f"`{c}`") for c in docs.columns])
+    return judge(packed(docs, "doc_id", "lang", "text"), labels).filter("__kept").select("__packed.*")

@@ -24,6 +24,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+
+from tidemark.llm.common import packed
 from pyspark.sql import types as T
 
 SHARDS = 16
@@ -56,13 +58,19 @@ def _bucket(key: Column, tie: Column, bounds: list) -> Column:
     return F.when(key.isNull(), null).otherwise(least.cast("long")).cast("int")
 
 
-def number_rows(rows: DataFrame, key: str = "doc_id", buckets: int = BUCKETS) -> tuple[DataFrame, int]:
+def _tie(rows: DataFrame) -> Column:
+    """A hash of all columns that have one."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in rows.schema if not isinstance(f.dataType, _UNHASHED)])
+
+
+def number_rows(
+    rows: DataFrame, key: str = "doc_id", buckets: int = BUCKETS, tie: Column | None = None
+) -> tuple[DataFrame, int]:
     """``rows`` with a gapless ``__row`` from 0 in the order of a numeric or time ``key``, and their count."""
     cells = [f"percentile_approx(`{key}`, array({', '.join(str(i / buckets) for i in range(1, buckets))}), {10 * buckets})"]
     found = rows.selectExpr(*cells).first()
     bounds = list(found[0] or []) if found else []
-    others = [F.col(f"`{f.name}`") for f in rows.schema if not isinstance(f.dataType, _UNHASHED)]
-    tie = F.xxhash64(*others)
+    tie = _tie(rows) if tie is None else tie
     placed = rows.withColumn("__bucket", _bucket(F.col(f"`{key}`"), tie, bounds))
     # At most one row per bucket comes to the driver.
     counts = sorted(tuple(r) for r in placed.groupBy("__bucket").count().collect())
@@ -114,11 +122,13 @@ def permute(row: Column, total: int, seed: int = SEED, rounds: int = ROUNDS) ->
 
 
 def shard(rows: DataFrame, key: str = "doc_id", shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """``rows`` with the columns ``shard`` (int) and ``slot`` (long)."""
-    numbered, total = number_rows(rows, key)
-    return (
-        numbered.withColumn("__place", permute(F.col("__row"), total, seed))
-        .withColumn("shard", F.pmod("__place", F.lit(shards).cast("long")).cast("int"))
-        .withColumn("slot", F.floor(F.col("__place") / shards).cast("long"))
-        .drop("__row", "__place")
+    """``rows`` with the columns ``shard`` (int) and ``slot`` (long), which replace any of these names."""
+    narrow = packed(rows, F.col(f"`{key}`").alias("__by"), _tie(rows).alias("__tie"))
+    numbered, total = number_rows(narrow, "__by", tie=F.col("__tie"))
+    placed = numbered.withColumn("__place", permute(F.col("__row"), total, seed))
+    others = [F.col(f"__packed.`{c}`") for c in rows.columns if c.lower() not in ("shard", "slot")]
+    return placed.select(
+        *others,
+        F.pmod("__place", F.lit(shards).cast("long")).cast("int").alias("shard"),
+        F.floor(F.col("__place") / shards).cast("long").alias("slot"),
     )

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, slices
+from tidemark.llm.common import cut, packed, slices
 
 SHINGLE = 3
 RADIUS = 3
@@ -202,17 +202,24 @@ def components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) ->
 
 
 def near_dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id.
+    """``docs`` with one row of each component.
 
-    Repeated rows of that document stay once.  A row without an id can neither
-    stand for others nor be named by them; it stays.
+    It is the one with the smallest ``doc_id`` (null last); of rows that share it, the
+    one with the smallest hash of its text and then of the whole row.
     """
+    key = F.xxhash64(F.col("text").cast("binary"))
+    texts = docs.select(F.struct("doc_id", key.alias("key")).alias("doc_id"), "text")
+    rows = cut(fingerprints(texts, shingle)).select("doc_id.doc_id", "doc_id.key", "fp")
+    found = roots(links(cut(rows.select("fp").distinct()), radius)).withColumnRenamed("node", "fp")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     heads = (
-        components(docs, shingle, radius)
-        .filter("doc_id = component_id")
-        .select(F.col("doc_id").alias("__head"))
-        .distinct()
+        rows.join(found, "fp", "left")
+        .groupBy(F.coalesce("root", "fp").alias("root"))
+        .agg(F.min(order).alias("head"))
+        .select(F.col("head.doc_id").alias("__head"), F.col("head.key").alias("__head_key"))
     )
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    known = docs.join(heads, docs["doc_id"] == heads["__head"]).dropDuplicates(["doc_id", "text"]).select(columns)
-    return known.unionByName(docs.filter("doc_id is null"))
+    mine = packed(docs, F.col("doc_id").alias("__id"), key.alias("__key"))
+    kept = mine.join(heads, (F.col("__key") == F.col("__head_key")) & F.col("__id").eqNullSafe(F.col("__head")))
+    whole = F.xxhash64(F.to_json("__packed"))
+    one = kept.groupBy("__id", "__key").agg(F.min_by("__packed", whole).alias("__packed"))
+    return one.select("__packed.*")

@@ -254,7 +254,10 @@ def repeated_contents(
             .groupBy("k1", "k2")
             .agg(F.collect_list("b").alias("wanted"))
         )
-        return texts.join(wanted, ["k1", "k2"]).select("text", "wanted")
+        # Rows that are equal share their key and hold the same text: one of them goes on.
+        return texts.join(wanted, ["k1", "k2"]).groupBy("k1", "k2").agg(
+            F.first("text").alias("text"), F.first("wanted").alias("wanted")
+        ).select("text", "wanted")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["part", *_CONTENT, "low", "strings", "bytes"]
