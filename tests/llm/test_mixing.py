@@ -51,14 +51,52 @@ def test_corpus(corpus):
     assert max(r["count"] for r in again) <= 2
 
 
-def test_inclusion_is_even(spark):
-    """Documents of every size are taken about equally often over many seeds."""
+def test_level(spark):
+    """Expected words are those missing; classes that would be above certainty stop there."""
+    for extra, words in ((100.0, {1: 50, 3: 60, 5: 70}), (170.0, {1: 50, 3: 60, 5: 70}), (7.0, {4: 9}), (66.0, {2: 0, 9: 60, 10: 8})):
+        rows = [("=a", extra, x, n) for x, n in words.items()]
+        sums = spark.createDataFrame(rows, "__source string, __extra double, __x int, __sum long")
+        (found,) = mixing.levels(sums).collect()
+        expected = sum(n * min(1, found["__level"] * x) for x, n in words.items())
+        assert abs(expected - extra) < 1e-6
+
+
+def _copies(docs, seed):
+    drawn = docs.select(*mixing.draw(docs, seed))
+    return mixing.with_copies(drawn, mixing.plan_mix(drawn))
+
+
+def test_inclusion_follows_the_odds(spark):
+    """Over 200 seeds, each a source of its own, documents are taken as often as their odds say."""
     docs = spark.range(40).select(
-        F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.array_join(F.array_repeat(F.lit("w"), (F.col("id") % 4 + 1).cast("int")), " ").alias("text")
+        F.col("id").alias("doc_id"),
+        F.array_join(F.array_repeat(F.lit("w"), F.element_at(F.array(F.lit(2), F.lit(8), F.lit(40)), (F.col("id") % 3 + 1).cast("int"))), " ").alias("text"),
+    )
+    seeds = spark.range(200).select(F.format_string("%03d", "id").alias("source"))
+    many = docs.join(seeds).withColumn("doc_id", F.col("doc_id") * 1000 + F.col("source").cast("long"))
+    # All sources weigh the same here: half of the words of each is drawn.
+    drawn = many.select(*mixing.draw(many, 3))
+    plan = mixing.plan_mix(drawn, weights=(1,), share=0.5)
+    found = mixing.with_copies(drawn, plan).groupBy("__size").agg(F.avg("__copies").alias("often")).collect()
+    level = plan.first()["__level"]
+    for r in found:
+        want = min(1, level * r["__size"].bit_length())
+        assert abs(r["often"] - want) < 0.04, (r, want)
+    assert len({round(r["often"], 1) for r in found}) == 3
+
+
+def test_equal_rows_are_split_at_the_mark(spark):
+    """A source of one text in 1000 equal rows meets its target."""
+    rows = [(5, "four words of text", "b", str(i)) for i in range(1000)] + [(i, f"x{i} y z", "a", "") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, more string").repartition(7)
+    want = dict(zip("ab", level([3600, 4000]), strict=True))
+    found = taken(docs)
+    assert abs(found["b"] - want["b"]) <= 2 and abs(found["a"] - want["a"]) <= 2
+    copies = mixing.mix(docs).filter("source = 'b'").groupBy("more").count().collect()
+    assert max(r["count"] for r in copies) <= 2
+    assert sorted(map(tuple, _copies(docs, 7).groupBy("__source", "__copies").count().collect())) == sorted(
+        map(tuple, _copies(docs.repartition(3), 7).groupBy("__source", "__copies").count().collect())
     )
-    drawn = [mixing.with_copies(docs.select(*mixing.draw(docs, s)), mixing.plan_mix(docs.select(*mixing.draw(docs, s)))).filter("__copies > 1").select(F.col("__size")) for s in range(5)]
-    sizes = [r["__size"] for d in drawn for r in d.collect()]
-    assert all(0.25 < sizes.count(n) / (5 * 10) < 0.75 for n in (1, 2, 3, 4))
 
 
 def test_odd_rows(odd, none):

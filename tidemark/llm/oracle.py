@@ -122,10 +122,23 @@ WITH drawn AS (
   SELECT *, CASE WHEN total > 0 THEN target / total ELSE 0 END AS ratio, floor(ratio + 1e-9) AS whole,
          greatest(ratio - whole, 0) AS chance, target - whole * total AS extra
   FROM targets
-), ranked AS (
+), classes AS (
+  SELECT d.source, length(bin(size)) AS x, sum(size) AS words, any_value(extra) AS extra
+  FROM drawn d JOIN ratios r ON d.source IS NOT DISTINCT FROM r.source
+  WHERE chance > 1e-9 AND size > 0 GROUP BY d.source, length(bin(size))
+), filled AS (
+  SELECT source, x, (extra - coalesce(sum(words) OVER (PARTITION BY source ORDER BY x DESC {before}), 0))
+    / sum(x * words) OVER (PARTITION BY source ORDER BY x DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS depth
+  FROM classes
+), opened AS (
+  SELECT source, arg_max(depth, x) AS level FROM filled WHERE depth * x < 1 GROUP BY source
+), chances AS (
   SELECT d.*, r.total, r.target, r.whole, r.chance, r.extra,
-         (u / (1 - u)) / (greatest(chance, 1e-9) / (1 - greatest(chance, 1e-9))) AS odds
+         least(greatest(level * length(bin(size)), 1e-9), 1 - 1e-9) AS f
   FROM drawn d JOIN ratios r ON d.source IS NOT DISTINCT FROM r.source
+  LEFT JOIN opened o ON d.source IS NOT DISTINCT FROM o.source
+), ranked AS (
+  SELECT *, (u / (1 - u)) / (f / (1 - f)) AS odds FROM chances
 ), copied AS (
   SELECT *, CAST(whole AS INT) + CAST(chance > 1e-9 AND sum(size) OVER (PARTITION BY source
            ORDER BY odds / (1 + odds) ROWS UNBOUNDED PRECEDING) - size / 2 < extra AS INT) AS copies
