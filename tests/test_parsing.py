@@ -4,6 +4,7 @@ import json
 from random import Random
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import (
@@ -221,3 +222,36 @@ def test_only_structs_flatten(spark):
     assert flatten_struct(df, keep=["id"]).first().asDict() == {"id": 1, "a.b": 2, "c": 3}
     with pytest.raises(TypeError, match="only a struct"):
         flatten_struct(df, "l")
+
+
+def test_names_that_are_data_become_a_map(spark):
+    """20000 names below one field, others beside it: the type stays small and nothing is lost."""
+    key = F.concat(F.lit("k/~"), F.col("id").cast("string"))
+    value = F.concat(
+        F.lit('{"id":'), F.col("id"), F.lit(',"by":{"'), key, F.lit('":{"n":'), F.col("id") * 2,
+        F.lit(',"f":[1.5,2]},"null":null},"list":[{"a/b":'), F.col("id"), F.lit("}],\"none\":null,\"mixed\":"),
+        F.when(F.col("id") % 2 == 0, "1").otherwise('"x"'), F.lit("}"),
+    )
+    messages = spark.range(20_000).select(value.alias("value"))
+    schema = infer_schema(messages, most_keys=1000)
+    assert schema.simpleString() == (
+        "struct<by:map<string,struct<f:array<double>,n:bigint>>,id:bigint,list:array<struct<a/b:bigint>>,"
+        "mixed:variant,none:string>"
+    )
+    rows = apply_schema(messages, schema)
+    found = rows.select("id", F.explode("by").alias("k", "v")).filter("k <> 'null'")
+    assert found.filter((F.col("k") != key) | (F.col("v.n") != 2 * F.col("id"))).count() == 0
+    assert found.count() == 20_000
+    with pytest.raises(ValueError, match="at the top"):
+        infer_schema(spark.range(5000).select(F.format_string('{"%s":1}', F.col("id").cast("string")).alias("value")))
+
+
+def test_types_with_maps_are_those_without(spark):
+    """Where nothing is open, both ways of merging types agree."""
+    from tidemark.operators import parsing
+
+    cases = ['{"a":{"b":1,"c":[{"d":2},{"e":"x"}]}}', '{"a":{"b":1.5,"c":[]},"z":{}}', '{"a":null,"q":[[1],[2.5]],"t":true}']
+    messages = spark.createDataFrame([(c,) for c in cases], "value string")
+    objects = parsing.only_documents(messages)
+    assert parsing.open_objects(objects) == set()
+    assert parsing._type_with_maps(objects, "doc", set()) == infer_schema(messages)

@@ -29,6 +29,11 @@ DEEPEST_DOCUMENT = 1000
 
 LARGEST_SAMPLE = 10_000  # a sample passes through the driver
 
+#: An object with about this many names among all messages is taken for a map from
+#: names to values, not for a record; levels below the deepest one are not looked at.
+MOST_KEYS = 1000
+DEEPEST_SCHEMA = 16
+
 _JSON_SPACE = " \t\n\r"
 
 
@@ -198,11 +203,95 @@ def _as_ddl(inferred: str) -> str:
     return _INFERRED_TYPE.sub(rewrite, inferred)
 
 
+# Steps of a path: names as in a JSON pointer, and two that stand for any name or element.
+_ANY_NAME, _ELEMENT = "~n", "~e"
+
+
+def _step(name: Column) -> Column:
+    return F.replace(F.replace(name, F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
+
+
+def _name_of(step: str) -> str:
+    return step.replace("~1", "/").replace("~0", "~")
+
+
+def _nodes_below(nodes: DataFrame, open_paths: set[str]) -> DataFrame:
+    """The members of objects and elements of arrays among ``nodes`` (``path``, ``v``), one row each."""
+    names = F.try_variant_get("v", "$", "map<string,variant>")
+    elements = F.try_variant_get("v", "$", "array<variant>")
+    in_map = F.col("path").isin(*open_paths) if open_paths else F.lit(False)
+    step = F.when(in_map, F.lit(_ANY_NAME)).otherwise(_step(F.col("name")))
+    members = nodes.select("path", F.explode(names).alias("name", "v"))
+    items = nodes.select(F.concat_ws("/", "path", F.lit(_ELEMENT)).alias("path"), F.explode(elements).alias("v"))
+    return members.select(F.concat_ws("/", "path", step).alias("path"), "v").unionByName(items)
+
+
+def open_objects(objects: DataFrame, doc: str = "doc", most_keys: int = MOST_KEYS) -> set[str]:
+    """Paths of the objects with more than ``most_keys`` different names, by a sketch of the names at each path.
+
+    One job for each level of nesting; what comes to the driver are the paths of objects, whose
+    number is bounded as names of open objects share one path.
+    """
+    found: set[str] = set()
+    nodes = objects.select(F.lit("").alias("path"), F.col(doc).alias("v"))
+    for _ in range(DEEPEST_SCHEMA):
+        names = nodes.select("path", F.explode(F.map_keys(F.try_variant_get("v", "$", "map<string,variant>"))).alias("name"))
+        arrays = nodes.where(F.try_variant_get("v", "$", "array<variant>").isNotNull())
+        counts = names.groupBy("path").agg(F.approx_count_distinct("name").alias("n"))
+        rows = counts.union(arrays.select("path", F.lit(0)).distinct()).collect()
+        if not rows:
+            break
+        found |= {r["path"] for r in rows if r["n"] > most_keys}
+        nodes = _nodes_below(nodes, found)
+    return found
+
+
+def _type_with_maps(objects: DataFrame, doc: str, open_paths: set[str]) -> T.DataType:
+    """The merged type of all documents, in which objects at ``open_paths`` are maps."""
+    nodes = objects.select(F.lit("").alias("path"), F.col(doc).alias("v"))
+    kinds: dict[str, tuple] = {}
+    for _ in range(DEEPEST_SCHEMA + 1):
+        kind = F.when(F.try_variant_get("v", "$", "map<string,variant>").isNotNull(), "object").when(
+            F.try_variant_get("v", "$", "array<variant>").isNotNull(), "array"
+        )
+        given = nodes.withColumn("kind", kind).withColumn("scalar", F.when(F.col("kind").isNull(), F.col("v")))
+        rows = given.groupBy("path").agg(
+            F.collect_set("kind").alias("kinds"), F.schema_of_variant_agg("scalar").alias("scalar")
+        ).collect()
+        if not rows:
+            break
+        kinds |= {r["path"]: (r["kinds"], r["scalar"]) for r in rows}
+        nodes = _nodes_below(nodes, open_paths)
+    below: dict[str, list[str]] = {}
+    for path in sorted(kinds):
+        if path:
+            below.setdefault(path.rpartition("/")[0], []).append(path)
+
+    def build(path: str) -> T.DataType:
+        nested, scalar = kinds[path]
+        plain = scalar not in (None, "VOID")
+        if len(nested) + plain > 1 or (nested and path.count("/") >= DEEPEST_SCHEMA):
+            return T.VariantType()
+        members = below.get(path, [])
+        last = {m.rpartition("/")[2]: m for m in members}
+        if nested == ["array"]:
+            return T.ArrayType(build(last[_ELEMENT]) if _ELEMENT in last else T.VariantType())
+        if nested:
+            if path in open_paths:
+                return T.MapType(T.StringType(), build(last[_ANY_NAME]))
+            fields = [T.StructField(_name_of(step), build(m)) for step, m in sorted(last.items())]
+            return T.StructType(fields) if fields else T.VariantType()
+        return T.StructType.fromDDL(f"x {_as_ddl(scalar or 'VOID')}")["x"].dataType
+
+    return build("")
+
+
 def infer_schema(
     messages: DataFrame,
     value: str = "value",
     sample: int | None = None,
     order_by: list[str] | None = None,
+    most_keys: int = MOST_KEYS,
 ) -> T.StructType:
     """The struct type of the JSON objects in a bounded read of a topic.
 
@@ -210,7 +299,9 @@ def infer_schema(
     with partial results on the map side, and only the type comes back.  With
     ``sample`` a handful of objects decide for all (1: the first one), in
     ``order_by`` order or as they are found, which reads no further than
-    needed.  Fields whose types disagree become ``variant``.
+    needed.  Fields whose types disagree become ``variant``.  A nested object with
+    more than about ``most_keys`` names becomes a map from names to values, so the type
+    stays bounded when names are data; at the top that is an error.
     """
     if messages.isStreaming:
         raise ValueError("infer the schema from a bounded read of the topic, not from the stream")
@@ -223,6 +314,12 @@ def infer_schema(
         texts = objects.select(_text_of(objects, value).alias("value")).limit(sample).collect()
         picked = messages.sparkSession.createDataFrame(texts, "value string")
         objects = only_documents(picked)
+    else:
+        found = open_objects(objects, "doc", most_keys)
+        if "" in found:
+            raise ValueError(f"more than {most_keys} names at the top of the objects: read them as documents")
+        if found:
+            return _type_with_maps(objects, "doc", found)
     inferred = objects.agg(F.schema_of_variant_agg("doc").alias("t")).first()["t"]
     if inferred is None or not inferred.startswith("OBJECT<") or inferred == "OBJECT<>":
         raise ValueError("no JSON object with fields to infer a schema from")

@@ -104,6 +104,8 @@ def oracle() -> dict[str, str]:
         " FROM messages",
         "parse_json_struct": _EVENT_K,
         "infer_json_schema": _EVENT_K,
+        "infer_open_keys": 'SELECT o_orderkey AS "order", CAST(o_custkey AS VARCHAR) AS customer,'
+        " CAST(o_totalprice AS DOUBLE) AS price FROM orders",
         "flatten_struct": _EVENT_K,
         "parse_document": _EVENT_K,
         "classify_messages": f"{_MIXED} SELECT id, status FROM classified",
@@ -138,6 +140,7 @@ def oracle() -> dict[str, str]:
         "kpi_count": _KPI,
         "stream_kpi": _KPI,
         "stream_running_kpi": _KPI,
+        "stream_expiring_kpi": _KPI,
         "route_by_topic": f"{_MESSAGES} SELECT topic, count(*) AS n FROM messages GROUP BY topic",
         "list_topics": f"{_MESSAGES} SELECT DISTINCT topic FROM messages"
         " WHERE NOT starts_with(topic, '__')",

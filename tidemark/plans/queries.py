@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,7 +58,7 @@ from tidemark.sources.topics import (
     topic_views,
     utc_time,
 )
-from tidemark.streaming.kpi import read_kpi_store, running_kpi
+from tidemark.streaming.kpi import expiring_kpi, expiring_totals, read_kpi_store, running_kpi
 from tidemark.streaming.queries import DeliveryLog, run_all, start, with_delivery
 from tidemark.streaming.sinks import (
     deliver,
@@ -279,6 +280,16 @@ def _infer_json_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_schema(events, infer_schema(events), keep=["event_id"])
 
 
+@_query("infer_open_keys")
+def _infer_open_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices by customer, whose keys are the names of an object."""
+    price = F.create_map(F.col("o_custkey").cast("string"), F.col("o_totalprice"))
+    document = F.struct(F.col("o_orderkey").alias("order"), price.alias("prices"))
+    orders = table(spark, sf_dir, "orders").select(F.to_json(document).alias("value"))
+    rows = apply_schema(orders, infer_schema(orders, most_keys=50))
+    return rows.select("order", F.explode("prices").alias("customer", "price"))
+
+
 @_query("flatten_struct")
 def _flatten_parsed_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parse_struct(_event_messages(spark, sf_dir), EVENT_PAYLOAD)
@@ -560,6 +571,19 @@ def _stream_running_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_kpi(read_kpi_store(spark, store, EVENT_PAYLOAD, checkpoint), "k")
 
 
+@_query("stream_expiring_kpi")
+def _stream_expiring_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In bounded batches, with counts that expire in between."""
+    source = _topic_folder(spark, sf_dir)
+    store = run_dir(spark, "kpi")
+    stream = stream_topic(spark, source, "earliest", max_per_trigger=10)
+    checkpoint = f"{store}-checkpoint"
+    rows = apply_schema(stream, EVENT_PAYLOAD)
+    idle = timedelta(milliseconds=500)
+    expiring_kpi(rows, "k", idle=idle, store=store, checkpoint=checkpoint).awaitTermination()
+    return expiring_totals(spark, store, EVENT_PAYLOAD, checkpoint)
+
+
 @_query("stream_fan_out")
 def _stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _topic_folder(spark, sf_dir)

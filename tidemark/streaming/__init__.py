@@ -1,6 +1,13 @@
 """Sinks and running queries; all progress lives in checkpoints."""
 
-from tidemark.streaming.kpi import KpiStore, kpi_per_batch, read_kpi_store, running_kpi
+from tidemark.streaming.kpi import (
+    KpiStore,
+    expiring_kpi,
+    expiring_totals,
+    kpi_per_batch,
+    read_kpi_store,
+    running_kpi,
+)
 from tidemark.streaming.queries import DeliveryLog, delivery_counts, run_all, start, with_delivery
 from tidemark.streaming.sinks import (
     as_documents,
@@ -21,6 +28,8 @@ __all__ = [
     "as_documents",
     "deliver",
     "delivery_counts",
+    "expiring_kpi",
+    "expiring_totals",
     "kpi_per_batch",
     "read_kpi_store",
     "run_all",
