@@ -3,6 +3,7 @@
 import json
 from random import Random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -255,3 +256,21 @@ def test_types_with_maps_are_those_without(spark):
     objects = parsing.only_documents(messages)
     assert parsing.open_objects(objects) == set()
     assert parsing._type_with_maps(objects, "doc", set()) == infer_schema(messages)
+
+
+@pytest.mark.parametrize("most_keys", [50, 1000])
+def test_levels_do_not_multiply_the_reads_of_messages(spark, most_keys):
+    """One pass over the messages for each level of nesting, whether or not names are data."""
+    read = spark.sparkContext.accumulator(0)
+
+    def made(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            values = [f'{{"a":[{{"b":{{"k{i}":{{"c":[{i}]}}}}}}]}}' for i in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(values)], ["value"])
+
+    schema = infer_schema(spark.range(200).mapInArrow(made, "value string"), most_keys=most_keys)
+    inner = schema["a"].dataType.elementType["b"].dataType
+    assert isinstance(inner, T.MapType if most_keys == 50 else T.StructType)
+    levels = 7  # the document, a, its elements, b, the names below it, c, its elements
+    assert read.value <= (levels + 1) * 200

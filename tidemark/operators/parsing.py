@@ -216,14 +216,55 @@ def _name_of(step: str) -> str:
 
 
 def _nodes_below(nodes: DataFrame, open_paths: set[str]) -> DataFrame:
-    """The members of objects and elements of arrays among ``nodes`` (``path``, ``v``), one row each."""
-    names = F.try_variant_get("v", "$", "map<string,variant>")
-    elements = F.try_variant_get("v", "$", "array<variant>")
+    """The members of objects and elements of arrays among ``nodes`` (``path``, ``v``), one row each.
+
+    One generator makes both: a union would take the messages apart once for each side, and
+    twice as often at every further level.
+    """
     in_map = F.col("path").isin(*open_paths) if open_paths else F.lit(False)
-    step = F.when(in_map, F.lit(_ANY_NAME)).otherwise(_step(F.col("name")))
-    members = nodes.select("path", F.explode(names).alias("name", "v"))
-    items = nodes.select(F.concat_ws("/", "path", F.lit(_ELEMENT)).alias("path"), F.explode(elements).alias("v"))
-    return members.select(F.concat_ws("/", "path", step).alias("path"), "v").unionByName(items)
+    members = F.transform(
+        F.map_entries(F.try_variant_get("v", "$", "map<string,variant>")),
+        lambda e: F.struct(e["key"].alias("name"), e["value"].alias("v")),
+    )
+    elements = F.transform(
+        F.try_variant_get("v", "$", "array<variant>"),
+        lambda e: F.struct(F.lit(None).cast("string").alias("name"), e.alias("v")),
+    )
+    step = F.when(F.col("name").isNull(), F.lit(_ELEMENT)).when(in_map, F.lit(_ANY_NAME)).otherwise(_step(F.col("name")))
+    found = nodes.select("path", F.inline(F.coalesce(members, elements)))
+    return found.select(F.concat_ws("/", "path", step).alias("path"), "v")
+
+
+def _walk(objects: DataFrame, doc: str, open_paths: set[str], most_keys: int | None) -> dict[str, tuple]:
+    """The kinds of nested values and the merged type of the others at each path, in one job for each level.
+
+    With ``most_keys`` the paths of objects with more different names are added to ``open_paths`` on
+    the way, before the level below them is read.
+    """
+    nodes = objects.select(F.lit("").alias("path"), F.col(doc).alias("v"))
+    found: dict[str, tuple] = {}
+    for level in range(DEEPEST_SCHEMA + 1):
+        names = F.map_keys(F.try_variant_get("v", "$", "map<string,variant>"))
+        given = nodes.select("path", "v", names.alias("names")).withColumn(
+            "kind",
+            F.when(F.col("names").isNotNull(), "object").when(
+                F.try_variant_get("v", "$", "array<variant>").isNotNull(), "array"
+            ),
+        )
+        results = [F.collect_set("kind").alias("kinds"), F.schema_of_variant_agg("scalar").alias("scalar")]
+        counted = most_keys is not None and level < DEEPEST_SCHEMA
+        if counted:
+            results.append(F.approx_count_distinct("name").alias("n"))
+        scalar = F.when(F.col("kind").isNull(), F.col("v")).alias("scalar")
+        given = given.select("path", "kind", scalar, *[F.explode_outer("names").alias("name")] * counted)
+        rows = given.groupBy("path").agg(*results).collect()
+        found |= {r["path"]: (r["kinds"], r["scalar"]) for r in rows}
+        if counted:
+            open_paths |= {r["path"] for r in rows if r["n"] > most_keys}
+        if not any(r["kinds"] for r in rows):
+            break
+        nodes = _nodes_below(nodes, open_paths)
+    return found
 
 
 def open_objects(objects: DataFrame, doc: str = "doc", most_keys: int = MOST_KEYS) -> set[str]:
@@ -233,35 +274,17 @@ def open_objects(objects: DataFrame, doc: str = "doc", most_keys: int = MOST_KEY
     number is bounded as names of open objects share one path.
     """
     found: set[str] = set()
-    nodes = objects.select(F.lit("").alias("path"), F.col(doc).alias("v"))
-    for _ in range(DEEPEST_SCHEMA):
-        names = nodes.select("path", F.explode(F.map_keys(F.try_variant_get("v", "$", "map<string,variant>"))).alias("name"))
-        arrays = nodes.where(F.try_variant_get("v", "$", "array<variant>").isNotNull())
-        counts = names.groupBy("path").agg(F.approx_count_distinct("name").alias("n"))
-        rows = counts.union(arrays.select("path", F.lit(0)).distinct()).collect()
-        if not rows:
-            break
-        found |= {r["path"] for r in rows if r["n"] > most_keys}
-        nodes = _nodes_below(nodes, found)
+    _walk(objects, doc, found, most_keys)
     return found
 
 
 def _type_with_maps(objects: DataFrame, doc: str, open_paths: set[str]) -> T.DataType:
     """The merged type of all documents, in which objects at ``open_paths`` are maps."""
-    nodes = objects.select(F.lit("").alias("path"), F.col(doc).alias("v"))
-    kinds: dict[str, tuple] = {}
-    for _ in range(DEEPEST_SCHEMA + 1):
-        kind = F.when(F.try_variant_get("v", "$", "map<string,variant>").isNotNull(), "object").when(
-            F.try_variant_get("v", "$", "array<variant>").isNotNull(), "array"
-        )
-        given = nodes.withColumn("kind", kind).withColumn("scalar", F.when(F.col("kind").isNull(), F.col("v")))
-        rows = given.groupBy("path").agg(
-            F.collect_set("kind").alias("kinds"), F.schema_of_variant_agg("scalar").alias("scalar")
-        ).collect()
-        if not rows:
-            break
-        kinds |= {r["path"]: (r["kinds"], r["scalar"]) for r in rows}
-        nodes = _nodes_below(nodes, open_paths)
+    return _built(_walk(objects, doc, open_paths, None), open_paths)
+
+
+def _built(kinds: dict[str, tuple], open_paths: set[str]) -> T.DataType:
+    """The type of what a walk found."""
     below: dict[str, list[str]] = {}
     for path in sorted(kinds):
         if path:
@@ -315,11 +338,12 @@ def infer_schema(
         picked = messages.sparkSession.createDataFrame(texts, "value string")
         objects = only_documents(picked)
     else:
-        found = open_objects(objects, "doc", most_keys)
+        found: set[str] = set()
+        kinds = _walk(objects, "doc", found, most_keys)
         if "" in found:
             raise ValueError(f"more than {most_keys} names at the top of the objects: read them as documents")
         if found:
-            return _type_with_maps(objects, "doc", found)
+            return _built(kinds, found)
     inferred = objects.agg(F.schema_of_variant_agg("doc").alias("t")).first()["t"]
     if inferred is None or not inferred.startswith("OBJECT<") or inferred == "OBJECT<>":
         raise ValueError("no JSON object with fields to infer a schema from")
