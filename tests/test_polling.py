@@ -195,3 +195,52 @@ def test_a_late_arrival_is_seen_at_a_short_interval(spark, folder):
     began = time.monotonic()
     assert list(watch.run(every=0.3, polls=3)) == [1, 1, 0]
     assert time.monotonic() - began >= 0.6
+
+
+@pytest.mark.parametrize("ties", [False, True])
+def test_all_polls_of_a_limit_read_the_table_once(spark, folder, ties):
+    """As many polls as one after the other would be, each within its limit, from a bounded number of scans."""
+    read = spark.sparkContext.accumulator(0)
+    rows = [(i % 5 if i % 7 else None, None if i % 11 == 0 else i // (4 if ties else 1)) for i in range(600)]
+    rows += [(2, 9)] * 45 * ties  # one position with more rows than a poll
+    rows += [] if ties else [(None, None)]
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    now = [rows]
+
+    def scan():
+        return spark.createDataFrame(now[-1], "c int, id int").mapInArrow(counted, "c int, id int")
+
+    watch = _watch(spark, folder, scan, limit=20)
+    assert watch.advance(all_polls=True) == len(rows)
+    assert read.value <= 3 * len(rows)  # 31 polls before
+    sizes = {r["poll"]: r["count"] for r in watch.seen().groupBy("poll").count().collect()}
+    assert sorted(sizes) == list(range(len(sizes))) and watch.last()[0] == len(sizes) - 1
+    key = lambda r: (r["c"] is not None, r["c"] or 0, r["id"] is not None, r["id"] or 0)
+    seen = watch.seen().collect()
+    assert sorted(map(key, seen)) == sorted((c is not None, c or 0, i is not None, i or 0) for c, i in rows)
+    # Polls follow each other in the order of positions and share none.
+    spans = {}
+    for r in seen:
+        low, high = spans.get(r["poll"], (key(r), key(r)))
+        spans[r["poll"]] = (min(low, key(r)), max(high, key(r)))
+    assert all(spans[i][1] < spans[i + 1][0] for i in range(len(spans) - 1))
+    most = max(map(len, (list(g) for _, g in itertools.groupby(sorted(map(key, seen))))))
+    assert max(sizes.values()) < 20 + most
+    # What comes later follows, with polls of either kind; polls that never got a mark are written again.
+    spark.createDataFrame([(99, 99)], "c int, id int").write.parquet(f"{watch.out}/poll={len(sizes)}")
+    now.append([*rows, (7, 1), (None, 1000), (8, 2)])
+    assert watch.advance(all_polls=True) == 3
+    now.append([*now[-1], (9, 1)])
+    assert [watch.advance(), watch.advance(all_polls=True)] == [1, 0]
+    assert watch.seen().count() == len(rows) + 4
+
+
+def test_all_polls_of_an_empty_table(spark, folder):
+    watch = _watch(spark, folder, lambda: spark.createDataFrame([], "c int, id int"), limit=5)
+    assert watch.advance(all_polls=True) == 0
+    assert watch.seen().count() == 0

@@ -14,13 +14,15 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass, replace
+from itertools import accumulate
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.values import named
+from tidemark.session import run_dir
 
 POLL_SECONDS = 10  # fixed value: pause between polls
 POLL_ROWS = 3  # fixed value: rows per poll of the original watcher
@@ -161,6 +163,35 @@ def _first_positions(rows: DataFrame, cursor: str, key: str, limit: int) -> Data
     return rows.withColumn("__at", order).join(F.broadcast(last), F.col("__at") <= F.col("__last")).drop("__at", "__last")
 
 
+def _cut_into_polls(rows: DataFrame, cursor: str, key: str, limit: int) -> tuple[DataFrame, int]:
+    """``rows`` with their ``poll`` from 0, and the number of polls: ``limit`` rows each in the order of positions.
+
+    Rows that agree in cursor and key stay together, in the poll where the first of them falls;
+    so a poll has less than ``limit`` rows more than the largest such group.  The order is made
+    of ranges, whose rows are numbered on their own and moved on by those of the ranges before.
+    """
+    _check_limit(limit)
+    spark = rows.sparkSession
+    placed = has_cursor(rows, cursor)
+    at = F.struct(placed, F.when(placed, named(cursor)), named(key)).alias("__at")
+    ranges = rows.select(F.struct(*[named(c) for c in rows.columns]).alias("__row"), at).repartitionByRange("__at")
+    kept = ranges.select("__row", "__at", F.spark_partition_id().alias("__range"))
+    # Written, so that every later read finds the same ranges.
+    folder = run_dir(spark, "polls")
+    kept.write.parquet(folder)
+    kept = spark.read.schema(kept.schema).parquet(folder)
+    sizes = sorted(kept.groupBy("__range").count().collect())
+    befores = list(accumulate([n for _, n in sizes], initial=0))
+    before = spark.createDataFrame([(r, b) for (r, _), b in zip(sizes, befores)], "__range int, __before long")
+    # The least number of the rows at a position.
+    number = F.col("__before") + F.rank().over(Window.partitionBy("__range").orderBy("__at")) - 1
+    cut = kept.join(F.broadcast(before), "__range").select("__row", F.floor(number / limit).alias("__cut"))
+    # One row for each poll; a group of more than ``limit`` rows leaves cuts without any.
+    used = sorted(r["__cut"] for r in cut.select("__cut").distinct().collect())
+    polls = spark.createDataFrame(list(zip(used, range(len(used)), strict=True)), "__cut long, poll long")
+    return cut.join(F.broadcast(polls), "__cut").select("__row.*", "poll"), len(used)
+
+
 def high_water_mark(df: DataFrame, cursor: str, key: str | None = None) -> DataFrame:
     """One row: the largest ``cursor``, and with ``key`` the largest key at it; NaN is no cursor."""
     seen = df.where(has_cursor(df, cursor))
@@ -205,8 +236,13 @@ class TableWatch:
         mark = Mark(row["cursor"], row["key"], *[bool(row[c]) for c in ("key_is_null", "loose")], row["loose_key"])
         return row["poll"], mark
 
-    def advance(self) -> int:
-        """One poll.  Returns the number of new rows; an empty poll keeps the mark."""
+    def advance(self, all_polls: bool = False) -> int:
+        """One poll.  Returns the number of new rows; an empty poll keeps the mark.
+
+        With ``all_polls`` and a limit, as many polls as the rows of one scan need, each
+        in its place: a poll on its own reads the table for every ``limit`` rows.  The mark
+        is stored after the last of them, so a crash repeats them all.
+        """
         done, mark = self.last()
         number = done + 1
         table = self.scan()
@@ -215,11 +251,22 @@ class TableWatch:
             placed = table.where(has_cursor(table, self.cursor))
             loose = new.where(~has_cursor(table, self.cursor))
             new = loose.unionByName(poll_late(placed, self.seen(), self.cursor, self.key, mark, self.overlap))
-        if self.limit is not None:
-            new = _first_positions(new, self.cursor, self.key, self.limit)
-        target = f"{self.out}/poll={number}"
-        new.write.mode("overwrite").parquet(target)
-        written = self.spark.read.schema(new.schema).parquet(target)
+        columns = T.StructType([*new.schema.fields, T.StructField("poll", T.LongType())])
+        polls = 0
+        if self.limit is not None and all_polls:
+            several, polls = _cut_into_polls(new, self.cursor, self.key, self.limit)
+        if polls:
+            several = several.withColumn("poll", F.col("poll") + number)
+            several.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("poll").parquet(self.out)
+            number = done + polls
+            these = F.col("poll").between(done + 1, number)
+            written = self.spark.read.schema(columns).parquet(self.out).where(these).drop("poll")
+        else:
+            if self.limit is not None:
+                new = _first_positions(new, self.cursor, self.key, self.limit)
+            target = f"{self.out}/poll={number}"
+            new.write.mode("overwrite").parquet(target)
+            written = self.spark.read.schema(new.schema).parquet(target)
         placed = has_cursor(written, self.cursor)
         position = F.struct(named(self.cursor).alias("cursor"), named(self.key).alias("key"))
         summary = written.agg(

@@ -650,7 +650,7 @@ def _watched_table_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     for limit in (None, LARGEST_LIMIT // 2):
         out = run_dir(spark, "watched")
         watch = TableWatch(spark, lambda: orders, "o_orderdate", "o_orderkey", out, f"{out}-mark", limit)
-        while watch.advance():
+        while watch.advance(all_polls=True):
             pass
         found.append(watch.seen().select(F.lit(limit is not None).alias("limited"), *orders.columns))
     return found[0].unionByName(found[1])
