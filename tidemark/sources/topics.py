@@ -137,9 +137,14 @@ def _first_files(spark: SparkSession, source: TopicSource, state: str) -> DataFr
     try:
         # The list is complete once its commit marker is there; a start that died is made again.
         spark.read.schema("value string").text(f"{state}/_SUCCESS").first()
+        kept = spark.read.parquet(state)
+        # A position of another form without a row says nothing either.
+        complete = "__file" in kept.columns or not kept.isEmpty()
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
+        complete = False
+    if not complete:
         files = spark.read.format(source.format).options(**source.reader_options())
         there = files.schema(ENVELOPE).load(source.path).select(F.col("_metadata.file_path").alias("__file"))
         there.distinct().write.mode("overwrite").parquet(state)
