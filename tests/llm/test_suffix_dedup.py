@@ -113,3 +113,11 @@ def test_odd_rows(odd, none):
     want = sorted(((i is not None, i or 0), *f) for (i, _), f in zip(rows, brute([t for _, t in rows], 400), strict=True))
     assert run(odd) == want
     assert run(none) == []
+
+
+def test_a_stage_has_one_python_step(odd):
+    """Two in one stage would keep twice the workers in each executor, in all later stages too."""
+    plan = suffix_dedup.digest(suffix_dedup.dedup(odd))._jdf.queryExecution().executedPlan().toString()
+    stages = plan.split("Exchange")
+    assert sum(s.count("MapInArrow") for s in stages) >= 2
+    assert max(s.count("MapInArrow") for s in stages) == 1
